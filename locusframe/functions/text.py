@@ -2,24 +2,41 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once.
+
+    A column used several times in an expression is copied into each place when Spark merges
+    projections or pushes a filter below one; a lambda variable is not.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def common_prefix_length(a: Column, b: Column) -> Column:
     """Number of leading characters two strings share.
 
     The length is found bit by bit, largest power of two first, so two strings of n characters need
     log2(n) substring comparisons and no per-character lambda.
     """
-    limit = F.least(F.length(a), F.length(b))
-    highest = F.floor(F.log2(F.greatest(limit, F.lit(1)))).cast("int")
+    def search(pair: Column) -> Column:
+        def grow(found: Column, bit: Column) -> Column:
+            step = F.call_function("shiftleft", F.lit(1), bit)
+            start = found + 1
+            same = pair["a"].substr(start, step) == pair["b"].substr(start, step)
+            return F.when((found + step <= pair["limit"]) & same, found + step).otherwise(found)
+
+        highest = F.floor(F.log2(F.greatest(pair["limit"], F.lit(1)))).cast("int")
+        return F.aggregate(F.sequence(highest, F.lit(0), F.lit(-1)), F.lit(0), grow)
 
-    def grow(found: Column, bit: Column) -> Column:
-        step = F.call_function("shiftleft", F.lit(1), bit)
-        same = a.substr(found + 1, step) == b.substr(found + 1, step)
-        return F.when((found + step <= limit) & same, found + step).otherwise(found)
+    def measured(pair: Column) -> Column:
+        limit = F.least(F.length(pair["a"]), F.length(pair["b"]))
+        return let(F.struct(pair["a"].alias("a"), pair["b"].alias("b"), limit.alias("limit")), search)
 
-    return F.aggregate(F.sequence(highest, F.lit(0), F.lit(-1)), F.lit(0), grow)
+    return let(F.struct(a.alias("a"), b.alias("b")), measured)
 
 
 def common_suffix_length(a: Column, b: Column) -> Column:

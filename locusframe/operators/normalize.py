@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
-from ..functions import common_prefix_length, common_suffix_length
+from ..functions import common_prefix_length, common_suffix_length, let
 from ..scratch import materialize
 
 BASES = "^[ACGTNacgtn]+$"
@@ -48,41 +48,46 @@ def _shortest(alleles: Column) -> Column:
     return F.array_min(F.transform(alleles, lambda a: F.length(a)))
 
 
+TRIM = "kind string, event array<string>, start bigint, alleles array<string>"
+
+
+def _trim(kind: str, event: Column | None = None, start: Column | None = None, alleles: Column | None = None) -> Column:
+    values = (F.lit(kind), event, start, alleles)
+    names = ("kind", "event", "start", "alleles")
+    return F.struct(*[(F.lit(None) if v is None else v).alias(n) for v, n in zip(values, names)]).cast(f"struct<{TRIM}>")
+
+
 def with_trim(df: DataFrame) -> DataFrame:
     """Add ``_trim``: what the record alone tells about its normal form.
 
     ``kind`` is plain (nothing to do), symbolic (left alone), trimmed (done, see start and alleles) or
     movable (trimming empties an allele, the reference is needed).
     """
-    ref, alts = F.col("referenceAllele"), F.col("alternateAlleles")
+    ref, alts, start = F.col("referenceAllele"), F.col("alternateAlleles"), F.col("start")
+
+    def by_bases(alleles: Column) -> Column:
+        ends = F.struct(_shared_tail(alleles).alias("tail"), _shortest(alleles).alias("shortest"))
+
+        def keep_head(cut: Column) -> Column:
+            head = F.least(_shared_head(cut), _shortest(cut) - 1)
+            return let(head, lambda h: F.when((h > 0) | (F.get(cut, F.lit(0)) != F.get(alleles, F.lit(0))), _trim(
+                "trimmed", None, start + h, F.transform(cut, lambda a: a.substr(h + 1, F.length(a)))
+            )).otherwise(_trim("plain")))
+
+        return let(ends, lambda e: F.when(e["tail"] == e["shortest"], _trim("movable", alleles)).otherwise(
+            let(_without_tail(alleles, e["tail"]), keep_head)))
+
     alleles = F.concat(F.array(ref), alts)
-    is_snv = (F.length(ref) == 1) & (F.size(alts) == 1) & (F.length(F.get(alts, F.lit(0))) == 1)
+    only_alt = F.get(alts, F.lit(0))
+    is_snv = (F.length(ref) == 1) & (F.size(alts) == 1) & (F.length(only_alt) == 1)
     named = F.forall(alleles, lambda a: F.coalesce(a.rlike(BASES), F.lit(False)))
     upper = F.transform(alleles, lambda a: F.upper(a))
-    kind = (
-        F.when(alleles.isNull() | (F.size(alts) == 0), "plain")
-        .when(is_snv & ref.rlike(BASES) & F.get(alts, F.lit(0)).rlike(BASES), "plain")
-        .when(~named, "symbolic")
-        .when(F.size(F.array_distinct(upper)) == 1, "plain")
-        .otherwise("bases")
-    )
-    rows = df.withColumn("_kind", kind).withColumn("_alleles", F.when(F.col("_kind") == "bases", upper))
-    rows = rows.withColumn("_tail", _shared_tail(F.col("_alleles")))
-    emptied = F.col("_tail") == _shortest(F.col("_alleles"))
-    rows = rows.withColumn("_cut", F.when(~emptied, _without_tail(F.col("_alleles"), F.col("_tail"))))
-    rows = rows.withColumn("_head", F.least(_shared_head(F.col("_cut")), _shortest(F.col("_cut")) - 1))
-    kind = (
-        F.when(F.col("_kind") != "bases", F.col("_kind"))
-        .when(emptied, "movable")
-        .when((F.col("_tail") == 0) & (F.col("_head") == 0), "plain")
-        .otherwise("trimmed")
-    )
-    cut = F.transform(F.col("_cut"), lambda a: a.substr(F.col("_head") + 1, F.length(a)))
-    trim = F.struct(
-        kind.alias("kind"), F.col("_alleles").alias("event"),
-        (F.col("start") + F.col("_head")).alias("start"), cut.alias("alleles"),
-    )
-    return rows.withColumn("_trim", trim).drop("_kind", "_alleles", "_tail", "_cut", "_head")
+    trim = (
+        F.when(F.coalesce(F.size(alts), F.lit(0)) <= 0, _trim("plain"))
+        .when(~named, _trim("symbolic"))
+        .when(is_snv | (F.size(F.array_distinct(upper)) == 1), _trim("plain"))
+        .otherwise(let(upper, by_bases)))
+    return df.withColumn("_trim", trim)
 
 
 def movable_events(df: DataFrame) -> DataFrame:

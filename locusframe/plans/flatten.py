@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.consequences import consequences_flat, has_consequences
 from ..operators.genotypes import has_genotypes, variant_calls
 from ..operators.variants import variants_flat
 from ..scratch import materialize, scratch_run
+from ..sources.files import VCF_SUFFIXES
 from ..sources.tables import SINGLE_CALLS_SCHEMA, SINGLE_CONSEQUENCES_SCHEMA, write_table
 from ..sources.vcf import read_vcf
 
@@ -27,18 +30,19 @@ def flatten_records(records: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def flatten_single(spark: SparkSession, path: str, database: str | None = None) -> dict[str, DataFrame]:
+def flatten_single(spark: SparkSession, path: str, database: str | None = None,
+                   suffixes: Sequence[str] = VCF_SUFFIXES) -> dict[str, DataFrame]:
     """Read one VCF file and flatten it as it is: no split, no normalization, no log.
 
     With ``database`` the text is parsed once, the tables are written and the written tables returned.
     """
-    def without_provenance(records: DataFrame) -> DataFrame:
-        return records.drop("source_file", "has_csq")
+    def read() -> DataFrame:
+        return read_vcf(spark, path, mode="fail", suffixes=suffixes).drop("source_file", "has_csq")
 
     if database is None:
-        return flatten_records(without_provenance(read_vcf(spark, path, mode="fail")))
+        return flatten_records(read())
     with scratch_run(spark, "flatten"):
-        records = materialize(without_provenance(read_vcf(spark, path, mode="fail")), "records")
+        records = materialize(read(), "records")
         for name, df in flatten_records(records).items():
             write_table(df, f"{database}.{name}")
     return {name: spark.table(f"{database}.{name}") for name in (VARIANTS, CONSEQUENCES, CALLS)}

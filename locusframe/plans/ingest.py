@@ -30,7 +30,7 @@ from ..operators.split import split_multiallelics
 from ..operators.variants import variants_flat
 from ..scratch import materialize, scratch_run
 from ..sources.fasta import reference_chunks
-from ..sources.files import discover_files
+from ..sources.files import VCF_SUFFIXES, discover_files
 from ..sources.header import per_file, read_headers
 from ..sources.tables import (
     CALLS_SCHEMA, CONSEQUENCES_SCHEMA, FILE_LOG_SCHEMA, PARTITION, QUARANTINE_SCHEMA, append_table, drop_files,
@@ -53,6 +53,7 @@ class IngestConfig:
     database: str
     only: frozenset[str] | None = None
     limit: int | None = None
+    suffixes: Sequence[str] = VCF_SUFFIXES
     reference_fasta: str | None = None
     chunk_size: int = 8192
     pipe_cmd: Sequence[str] | None = None
@@ -134,10 +135,10 @@ def ingest(spark: SparkSession, cfg: IngestConfig) -> DataFrame:
     ensure_table(spark, cfg.table(QUARANTINE), QUARANTINE_SCHEMA)
 
     with scratch_run(spark, f"ingest-{run_id}", keep=cfg.keep_scratch):
-        files = materialize(discover_files(spark, cfg.source, only=cfg.only, limit=cfg.limit), "files")
+        files = materialize(discover_files(spark, cfg.source, cfg.suffixes, cfg.only, cfg.limit), "files")
         headers = materialize(read_headers(spark, files), "headers")
         parsed = materialize(read_vcf(
-            spark, cfg.source, mode="keep", only=cfg.only, limit=cfg.limit, headers=headers,
+            spark, cfg.source, mode="keep", only=cfg.only, limit=cfg.limit, suffixes=cfg.suffixes, headers=headers,
             broadcast_bytes=cfg.broadcast_bytes), "records")
 
         stats = Observation()

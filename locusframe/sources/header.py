@@ -15,7 +15,10 @@ from .files import source_path
 
 HEADER_SCHEMA = "source_file string, line string"
 # Header types and their Spark types, and the order in which differing ones widen.
-SPARK_TYPES = {"Flag": "boolean", "Integer": "int", "Float": "double", "Character": "string", "String": "string"}
+SPARK_TYPES = {
+    "Flag": T.BooleanType(), "Integer": T.IntegerType(), "Float": T.DoubleType(), "Character": T.StringType(),
+    "String": T.StringType(),
+}
 WIDENING = ("Flag", "Integer", "Float", "Character", "String")
 # File systems whose files a task opens by itself; others are scanned as text.
 DIRECT_SCHEMES = ("file", "hdfs", "s3", "s3a", "gs", "gcs", "abfs", "abfss")
@@ -31,7 +34,7 @@ class Field:
 
     @property
     def spark_type(self) -> T.DataType:
-        base = T.DataType.fromDDL(SPARK_TYPES[self.type])
+        base = SPARK_TYPES[self.type]
         return base if self.is_scalar else T.ArrayType(base)
 
     @property
@@ -95,11 +98,13 @@ def read_headers(spark: SparkSession, files: DataFrame, method: str = "auto") ->
     ``direct`` opens each file in a task and stops after its header, ``scan`` filters a text scan of
     the whole files; ``auto`` takes direct where all paths allow it.
     """
-    if method == "auto":
-        schemes = files.select(F.regexp_extract("path", r"^(\w+):", 1).alias("scheme")).distinct()
-        method = "direct" if schemes.where(~F.col("scheme").isin(*DIRECT_SCHEMES)).isEmpty() else "scan"
-    if method == "direct":
-        tasks = spark.sparkContext.defaultParallelism * 4
+    if method not in ("auto", "direct", "scan"):
+        raise ValueError(f"method must be auto, direct or scan, got {method!r}")
+    if method != "scan":
+        scheme = F.regexp_extract("path", r"^(\w+):", 1)
+        listed = files.agg(F.count(F.lit(1)).alias("n"), F.bool_and(scheme.isin(*DIRECT_SCHEMES)).alias("direct")).first()
+    if method == "direct" or (method == "auto" and listed.direct):
+        tasks = min(max(listed.n, 1), spark.sparkContext.defaultParallelism * 4)
         return files.select("path").repartition(tasks, "path").mapInArrow(_head_reader(), HEADER_SCHEMA)
     paths = [row.path for row in files.select("path").toLocalIterator()]
     lines = spark.read.text(paths).select(source_path().alias("source_file"), F.col("value").alias("line"))

@@ -6,39 +6,30 @@ files give NULL for them and no reader has to merge file schemas.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 PARTITION = "source_file"
 
 
-def _schema(*columns: str) -> T.StructType:
-    return T.StructType([T.StructField(*_named(c)) for c in columns])
-
-
-def _named(column: str) -> tuple[str, T.DataType, bool]:
-    name, ddl, *rest = column.split()
-    return name, T.DataType.fromDDL(ddl), rest != ["required"]
-
-
-_FILE = ("filename string", "source_file string", "ingest_ts timestamp")
-_KEYS = ("variant_id string", "variant_key string", "chrom string", "pos bigint", "ref string", "alt string")
+_FILE = "filename string, source_file string, ingest_ts timestamp"
+_KEYS = "variant_id string, variant_key string, chrom string, pos bigint, ref string, alt string"
+_CALL = "variant_id string, sample_id string, GT string, DP int, GQ int, AD string, PL string, phased boolean"
 
 # Columns of the tables that must exist even without input for them.
-CONSEQUENCES_SCHEMA = _schema(*_FILE, *_KEYS, "csq_index int", "CSQ_raw string")
-SINGLE_CONSEQUENCES_SCHEMA = _schema(*_KEYS, "csq_index int", "CSQ_raw string")
-SINGLE_CALLS_SCHEMA = _schema(
-    "variant_id string", "sample_id string", "GT string", "DP int", "GQ int", "AD string", "PL string", "phased boolean")
-CALLS_SCHEMA = _schema(
-    *_FILE, "variant_id string", "sample_id string", "GT string", "DP int", "GQ int", "AD string", "PL string",
-    "phased boolean", "AF string", "SB string", "F1R2 string", "F2R1 string", "PID string", "PGT string", "PS int")
-FILE_LOG_SCHEMA = _schema(
-    "run_id string required", "run_ts timestamp required", "vcf_path string", "filename string", "status string",
-    "stage string", "pipe_enabled boolean", "pipe_cmd string", "pipe_header_mode string", "pipe_header_vcf string",
-    "pipe_quarantine_table string", "has_csq boolean", "has_genotypes boolean", "variants_rows bigint",
-    "calls_rows bigint", "csq_rows bigint", "error string")
-QUARANTINE_SCHEMA = _schema("raw string", "source_file string", "reason string")
+SINGLE_CONSEQUENCES_SCHEMA = f"{_KEYS}, csq_index int, CSQ_raw string"
+SINGLE_CALLS_SCHEMA = _CALL
+CONSEQUENCES_SCHEMA = f"{_FILE}, {SINGLE_CONSEQUENCES_SCHEMA}"
+CALLS_SCHEMA = (
+    f"{_FILE}, {_CALL}, AF string, SB string, F1R2 string, F2R1 string, PID string, PGT string, PS int")
+FILE_LOG_SCHEMA = (
+    "run_id string NOT NULL, run_ts timestamp NOT NULL, vcf_path string, filename string, status string, "
+    "stage string, pipe_enabled boolean, pipe_cmd string, pipe_header_mode string, pipe_header_vcf string, "
+    "pipe_quarantine_table string, has_csq boolean, has_genotypes boolean, variants_rows bigint, "
+    "calls_rows bigint, csq_rows bigint, error string")
+QUARANTINE_SCHEMA = "raw string, source_file string, reason string"
 
 
 def write_table(df: DataFrame, name: str, mode: str = "overwrite", partition_by: str | None = None,
@@ -77,6 +68,18 @@ def append_table(df: DataFrame, name: str, partition_by: str | None = None) -> N
         add_missing_columns(df, name).write.insertInto(name)
 
 
+@contextmanager
+def _overwrite_only_written_partitions(spark: SparkSession) -> Iterator[None]:
+    """insertInto takes this mode from the session alone."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def replace_files(df: DataFrame, name: str) -> None:
     """Replace the rows of the source files in ``df`` and leave those of other files alone.
 
@@ -86,7 +89,8 @@ def replace_files(df: DataFrame, name: str) -> None:
         write_table(df, name, partition_by=PARTITION)
     else:
         rows = add_missing_columns(df, name)
-        rows.write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
+        with _overwrite_only_written_partitions(df.sparkSession):
+            rows.write.insertInto(name, overwrite=True)
 
 
 def drop_files(spark: SparkSession, name: str, files: Iterable[str]) -> None:
@@ -96,7 +100,7 @@ def drop_files(spark: SparkSession, name: str, files: Iterable[str]) -> None:
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({PARTITION}='{literal}')")
 
 
-def ensure_table(spark: SparkSession, name: str, schema: T.StructType, first_write: bool = False,
+def ensure_table(spark: SparkSession, name: str, schema: T.StructType | str, first_write: bool = False,
                  partition_by: str | None = None) -> None:
     """Create an empty typed table if there is none; ``first_write`` empties an existing one too."""
     if first_write or not spark.catalog.tableExists(name):

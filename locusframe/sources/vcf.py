@@ -167,8 +167,8 @@ def scan_lines(spark: SparkSession, paths: str | Sequence[str], suffixes: Sequen
 
 def read_vcf(
     spark: SparkSession, paths: str | Sequence[str], mode: str = "drop", only: Iterable[str] | None = None,
-    limit: int | None = None, headers: DataFrame | None = None, gz_spread_bytes: int = 128 << 20,
-    broadcast_bytes: int = 64 << 20,
+    limit: int | None = None, suffixes: Sequence[str] = VCF_SUFFIXES, headers: DataFrame | None = None,
+    gz_spread_bytes: int = 128 << 20, broadcast_bytes: int = 64 << 20,
 ) -> DataFrame:
     """All variant-call files of a folder (or the given paths) as one frame of nested records.
 
@@ -176,7 +176,7 @@ def read_vcf(
     spread over tasks before the parse. The per-file header table is broadcast in groups of files whose
     sample names fit ``broadcast_bytes``, so it never has to be broadcast whole.
     """
-    files = discover_files(spark, paths, only=only, limit=limit)
+    files = discover_files(spark, paths, suffixes, only, limit)
     if headers is None:
         headers = materialize(read_headers(spark, files), "headers")
     layout = merge_layout(headers)
@@ -184,7 +184,7 @@ def read_vcf(
     gz = F.col("path").endswith("gz")
     sizes = files.agg(F.max("path").alias("last"), F.sum(F.when(gz, F.col("length"))).alias("gz"),
                       F.max(F.when(gz, F.col("length"))).alias("largest_gz")).first()
-    lines = scan_lines(spark, paths, only=only, last_path=sizes.last if limit is not None else None)
+    lines = scan_lines(spark, paths, suffixes, only, last_path=sizes.last if limit is not None else None)
     if (sizes.largest_gz or 0) > gz_spread_bytes:
         packed = F.lower("source_file").endswith(".gz")
         parts = max(spark.sparkContext.defaultParallelism, math.ceil(sizes.gz * 8 / gz_spread_bytes))
