@@ -14,12 +14,16 @@ VCF_SUFFIXES = (".vcf", ".vcf.gz")
 
 def source_path() -> Column:
     """Path of the file a row was read from, as it is written in the file system (not URL-encoded)."""
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    path = F.col("_metadata.file_path")
+    return F.when(path.contains("%"), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
 
 
-def has_suffix(path: Column, suffixes: Sequence[str]) -> Column:
-    endings = "|".join(s.replace(".", r"\.") for s in suffixes)
-    return F.lower(path).rlike(f"(?:{endings})$")
+def suffix_glob(suffixes: Sequence[str]) -> str:
+    """Glob for file names with one of the endings, in any case; files are dropped while listing."""
+    def any_case(suffix: str) -> str:
+        return "*" + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in suffix)
+
+    return "{" + ",".join(any_case(s) for s in suffixes) + "}"
 
 
 def discover_files(
@@ -32,9 +36,8 @@ def discover_files(
     ``limit`` the first paths. No match raises ValueError unless ``required`` is False.
     """
     paths = [root] if isinstance(root, str) else list(root)
-    listed = spark.read.format("binaryFile").load(paths).select(
-        "path", basename(F.col("path")).alias("filename"), "length")
-    files = listed.where(has_suffix(F.col("path"), suffixes))
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", suffix_glob(suffixes)).load(paths)
+    files = listed.select("path", basename(F.col("path")).alias("filename"), "length")
     if only is not None:
         files = files.where(F.col("filename").isin(sorted(set(only))))
     files = files.orderBy("path")

@@ -37,6 +37,10 @@ class Field:
         base = SPARK_TYPES[self.type]
         return base if self.is_scalar else T.ArrayType(base)
 
+    @property
+    def is_text(self) -> bool:
+        return self.type in ("Character", "String")
+
     @property
     def is_scalar(self) -> bool:
         return self.type == "Flag" or self.number in ("0", "1")

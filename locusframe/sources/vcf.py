@@ -12,10 +12,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..functions import basename
+from ..functions import basename, let
 from ..operators.split import NUMBER_KEY
 from ..scratch import materialize
-from .files import VCF_SUFFIXES, discover_files, has_suffix, source_path
+from .files import VCF_SUFFIXES, discover_files, source_path, suffix_glob
 from .header import Field, Layout, merge_layout, per_file, read_headers
 
 # Genotype fields with a name of their own in the record.
@@ -34,28 +34,39 @@ def _present(text: Column) -> Column:
 
 
 def _typed(text: Column, spec: Field) -> Column:
-    """Text of one INFO or FORMAT value as its header type; what does not parse is NULL."""
-    value = _present(text)
+    """Text of one INFO or FORMAT value as its header type; what does not parse is NULL.
+
+    The missing-value mark is taken out before the cast: a failed try_cast costs an exception.
+    """
     if spec.is_scalar:
-        return value.try_cast(spec.spark_type)
+        return _present(text) if spec.is_text else _present(text).try_cast(spec.spark_type)
     element = spec.spark_type.elementType
-    return F.transform(F.split(value, ","), lambda v: _present(v).try_cast(element))
+
+    def parse(value: Column) -> Column:
+        parts = F.split(_present(value), ",")
+        return F.transform(parts, lambda v: _present(v) if spec.is_text else _present(v).try_cast(element))
+
+    return let(text, parse)
 
 
-def _info_column(spec: Field, keys: Column, pairs: Column, layout: Layout) -> Column:
+def _after_equals(pair: Column) -> Column:
+    at = F.instr(pair, "=")
+    return F.when(at > 0, pair.substr(at + 1, F.length(pair))).otherwise("")
+
+
+def _info_column(spec: Field, keys: Column, values: Column, layout: Layout) -> Column:
     at = F.array_position(keys, spec.name)
     if spec.type == "Flag":
         found = F.coalesce(at > 0, F.lit(False))
         if spec.name in layout.optional_flags:
             found = F.when(F.array_contains("flags", spec.name), found)
         return found
-    pair = F.get(pairs, (at - 1).cast("int"))
-    return _typed(F.when(pair.contains("="), pair.substr(F.lit(len(spec.name) + 2), F.length(pair))), spec)
+    return _typed(F.get(values, (at - 1).cast("int")), spec)
 
 
-def _consequences(layout: Layout, keys: Column, pairs: Column) -> Column:
-    pair = F.get(pairs, (F.array_position(keys, "CSQ") - 1).cast("int"))
-    entries = F.split(_present(pair.substr(F.lit(5), F.length(pair))), ",")
+def _consequences(layout: Layout, keys: Column, values: Column) -> Column:
+    value = F.get(values, (F.array_position(keys, "CSQ") - 1).cast("int"))
+    entries = let(value, lambda v: F.split(_present(v), ","))
     if not layout.csq_fields:
         return entries
     names = layout.csq_fields
@@ -68,25 +79,31 @@ def _consequences(layout: Layout, keys: Column, pairs: Column) -> Column:
 
 
 def _genotypes(layout: Layout, cells: Column) -> Column:
-    keys = F.split(F.get(cells, F.lit(8)), ":")
-    parts = F.transform(F.slice(cells, F.lit(10), F.greatest(F.size(cells) - 9, F.lit(0))), lambda s: F.split(s, ":"))
+    """The sample cells as structs. Where each FORMAT key stands is worked out once per line."""
+    names = ["GT"] + [f.name for f in layout.formats if f.name != "GT"]
+    samples = F.slice(cells, F.lit(10), F.greatest(F.size(cells) - 9, F.lit(0)))
+
+    def all_samples(at: Column) -> Column:
+        def one(part: Column, i: Column) -> Column:
+            gt = F.get(part, at["GT"])
+            calls = F.transform(F.split(F.translate(gt, "|", "/"), "/"),
+                                lambda a: F.coalesce(_present(a).try_cast("int"), F.lit(-1)))
+            fields = [
+                F.get(F.col("samples"), i).alias("sampleId"),
+                calls.alias("calls"),
+                (gt.contains("|") & ~gt.contains("/")).alias("phased"),
+            ]
+            fields += [_typed(F.get(part, at[f.name]), f).alias(GENOTYPE_NAMES.get(f.name, f.name))
+                       for f in layout.formats if f.name != "GT"]
+            return F.struct(*fields)
 
-    def one(part: Column, i: Column) -> Column:
-        def text(name: str) -> Column:
-            return F.get(part, (F.array_position(keys, name) - 1).cast("int"))
+        return F.transform(F.transform(samples, lambda s: F.split(s, ":")), one)
 
-        gt = text("GT")
-        calls = F.transform(F.split(gt, r"[/|]"), lambda a: F.coalesce(a.try_cast("int"), F.lit(-1)))
-        fields = [
-            F.get(F.col("samples"), i).alias("sampleId"),
-            calls.alias("calls"),
-            (gt.contains("|") & ~gt.contains("/")).alias("phased"),
-        ]
-        fields += [_typed(text(f.name), f).alias(GENOTYPE_NAMES.get(f.name, f.name))
-                   for f in layout.formats if f.name != "GT"]
-        return F.struct(*fields)
+    def positions(keys: Column) -> Column:
+        return F.struct(*[(F.array_position(keys, n) - 1).cast("int").alias(n) for n in names])
 
-    return F.when(F.col("has_genotypes"), F.transform(parts, one))
+    described = let(let(F.split(F.get(cells, F.lit(8)), ":"), positions), all_samples)
+    return F.when(F.col("has_genotypes"), described)
 
 
 def _fault(cells: Column) -> Column:
@@ -119,15 +136,18 @@ def parse_records(lines: DataFrame, files: DataFrame, layout: Layout, mode: str
         rows = rows.where(F.when(F.col("fault").isNull(), True).otherwise(F.raise_error(message).cast("boolean")))
     rows = rows.withColumn("cells", F.when(F.col("fault").isNull(), F.col("cells")))
     rows = rows.withColumn("pairs", F.split(_present(F.get("cells", F.lit(7))), ";"))
-    rows = rows.withColumn("keys", F.transform("pairs", lambda p: F.substring_index(p, "=", 1)))
+    rows = rows.withColumns({
+        "keys": F.transform("pairs", lambda p: F.substring_index(p, "=", 1)),
+        "values": F.transform("pairs", _after_equals),
+    })
 
-    cells, keys, pairs = F.col("cells"), F.col("keys"), F.col("pairs")
+    cells, keys, values = F.col("cells"), F.col("keys"), F.col("values")
 
     def cell(i: int) -> Column:
         return _present(F.get(cells, F.lit(i)))
 
     start = cell(1).try_cast("long") - 1
-    info_end = F.get(pairs, (F.array_position(keys, "END") - 1).cast("int")).substr(F.lit(5), F.lit(20)).try_cast("long")
+    info_end = F.get(values, (F.array_position(keys, "END") - 1).cast("int")).try_cast("long")
     alts = F.when(cells.isNotNull(), F.coalesce(F.split(cell(4), ","), F.array().cast("array<string>")))
     columns = [
         cell(0).alias("contigName"), start.alias("start"),
@@ -137,10 +157,10 @@ def parse_records(lines: DataFrame, files: DataFrame, layout: Layout, mode: str
         F.when(cells.isNotNull(), F.coalesce(F.array_contains(keys, SPLIT_FLAG), F.lit(False)))
         .alias("splitFromMultiAllelic"),
     ]
-    columns += [_info_column(f, keys, pairs, layout).alias(f"INFO_{f.name}", metadata={NUMBER_KEY: f.number})
+    columns += [_info_column(f, keys, values, layout).alias(f"INFO_{f.name}", metadata={NUMBER_KEY: f.number})
                 for f in layout.info if f.name != SPLIT_FLAG]
     if layout.has_csq:
-        columns.append(_consequences(layout, keys, pairs).alias("INFO_CSQ"))
+        columns.append(_consequences(layout, keys, values).alias("INFO_CSQ"))
     if layout.has_samples:
         numbers = {GENOTYPE_NAMES.get(f.name, f.name): f.number for f in layout.formats}
         columns.append(_genotypes(layout, cells).alias("genotypes", metadata={NUMBER_KEY: numbers}))
@@ -154,15 +174,15 @@ def parse_records(lines: DataFrame, files: DataFrame, layout: Layout, mode: str
 def scan_lines(spark: SparkSession, paths: str | Sequence[str], suffixes: Sequence[str] = VCF_SUFFIXES,
                only: Iterable[str] | None = None, last_path: str | None = None) -> DataFrame:
     """Data lines (source_file, line) of the matching files; other files are dropped when listing."""
-    raw = spark.read.text([paths] if isinstance(paths, str) else list(paths))
+    reader = spark.read.option("pathGlobFilter", suffix_glob(suffixes))
+    raw = reader.text([paths] if isinstance(paths, str) else list(paths))
     path = source_path()
-    wanted = has_suffix(path, suffixes)
     if only is not None:
-        wanted &= basename(path).isin(sorted(set(only)))
+        raw = raw.where(basename(path).isin(sorted(set(only))))
     if last_path is not None:
-        wanted &= path <= last_path
-    lines = raw.where(wanted).select(path.alias("source_file"), F.col("value").alias("line"))
-    return lines.where(~F.col("line").startswith("#") & (F.trim("line") != ""))
+        raw = raw.where(path <= last_path)
+    lines = raw.select(path.alias("source_file"), F.col("value").alias("line"))
+    return lines.where(~F.col("line").startswith("#") & (F.col("line") != ""))
 
 
 def read_vcf(
