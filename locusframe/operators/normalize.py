@@ -19,6 +19,7 @@ from ..functions import common_prefix_length, common_suffix_length, let
 from ..scratch import materialize
 
 BASES = "^[ACGTNacgtn]+$"
+NEAR_BASES = 32
 EVENT = ("contigName", "start", "alleles")
 STATUS = T.StructType([T.StructField("changed", T.BooleanType()), T.StructField("errorMessage", T.StringType())])
 
@@ -34,20 +35,27 @@ def _without_tail(alleles: Column, tail: Column) -> Column:
 
 
 def _shared_tail(alleles: Column) -> Column:
-    """Length of the suffix all alleles share."""
+    """Length of the suffix all alleles share; most share none, which the last base shows."""
     first = F.get(alleles, F.lit(0))
-    return F.array_min(F.transform(alleles, lambda a: common_suffix_length(first, a)))
+    same_last = F.forall(alleles, lambda a: F.right(a, F.lit(1)) == F.right(first, F.lit(1)))
+    return F.when(same_last, F.array_min(F.transform(alleles, lambda a: common_suffix_length(first, a)))).otherwise(0)
 
 
 def _shared_head(alleles: Column) -> Column:
     first = F.get(alleles, F.lit(0))
-    return F.array_min(F.transform(alleles, lambda a: common_prefix_length(first, a)))
+    same_first = F.forall(alleles, lambda a: F.left(a, F.lit(1)) == F.left(first, F.lit(1)))
+    return F.when(same_first, F.array_min(F.transform(alleles, lambda a: common_prefix_length(first, a)))).otherwise(0)
 
 
 def _shortest(alleles: Column) -> Column:
     return F.array_min(F.transform(alleles, lambda a: F.length(a)))
 
 
+def _is_movable(alleles: Column) -> Column:
+    """Whether trimming empties an allele: the shortest one is the end of all others."""
+    return F.exists(alleles, lambda short: F.forall(alleles, lambda a: a.endswith(short)))
+
+
 TRIM = "kind string, event array<string>, start bigint, alleles array<string>"
 
 
@@ -66,16 +74,14 @@ def with_trim(df: DataFrame) -> DataFrame:
     ref, alts, start = F.col("referenceAllele"), F.col("alternateAlleles"), F.col("start")
 
     def by_bases(alleles: Column) -> Column:
-        ends = F.struct(_shared_tail(alleles).alias("tail"), _shortest(alleles).alias("shortest"))
-
         def keep_head(cut: Column) -> Column:
             head = F.least(_shared_head(cut), _shortest(cut) - 1)
             return let(head, lambda h: F.when((h > 0) | (F.get(cut, F.lit(0)) != F.get(alleles, F.lit(0))), _trim(
                 "trimmed", None, start + h, F.transform(cut, lambda a: a.substr(h + 1, F.length(a)))
             )).otherwise(_trim("plain")))
 
-        return let(ends, lambda e: F.when(e["tail"] == e["shortest"], _trim("movable", alleles)).otherwise(
-            let(_without_tail(alleles, e["tail"]), keep_head)))
+        trimmed = let(_shared_tail(alleles), lambda tail: let(_without_tail(alleles, tail), keep_head))
+        return F.when(_is_movable(alleles), _trim("movable", alleles)).otherwise(trimmed)
 
     alleles = F.concat(F.array(ref), alts)
     only_alt = F.get(alts, F.lit(0))
@@ -92,9 +98,12 @@ def with_trim(df: DataFrame) -> DataFrame:
 
 def movable_events(df: DataFrame) -> DataFrame:
     """The distinct (contigName, start, alleles) that need the reference."""
-    narrow = df.select("contigName", "start", "referenceAllele", "alternateAlleles")
-    rows = with_trim(narrow).where(F.col("_trim.kind") == "movable")
-    return rows.select("contigName", "start", F.col("_trim.event").alias("alleles")).distinct()
+    alleles = F.transform(F.concat(F.array("referenceAllele"), "alternateAlleles"), lambda a: F.upper(a))
+    rows = df.where(F.length("referenceAllele") + F.length(F.array_join("alternateAlleles", "")) > 2).select(
+        "contigName", "start", alleles.alias("alleles"))
+    named = F.forall("alleles", lambda a: F.coalesce(a.rlike(BASES), F.lit(False)))
+    several = (F.size("alleles") > 1) & (F.size(F.array_distinct("alleles")) > 1)
+    return rows.where(several & named & _is_movable(F.col("alleles"))).distinct()
 
 
 def _look_left(pending: DataFrame, chunks: DataFrame, size: int, span: int) -> DataFrame:
@@ -107,6 +116,8 @@ def _look_left(pending: DataFrame, chunks: DataFrame, size: int, span: int) -> D
     last = F.when(edge == start, F.call_function("div", start + F.length(ref) - 1, F.lit(size))).otherwise(nearest)
     wanted = pending.withColumn(
         "chunk", F.explode(F.sequence(F.greatest(nearest - (span - 1), F.lit(0)), F.greatest(nearest, last))))
+    # the partitioning a shuffled join needs anyway; it also spreads the work where the chunks are broadcast
+    wanted = wanted.repartition("contigName", "chunk")
     rows = wanted.join(chunks.select("contigName", "chunk", "bases"), ["contigName", "chunk"], "left")
 
     chunk_start = F.col("chunk") * size
@@ -115,13 +126,20 @@ def _look_left(pending: DataFrame, chunks: DataFrame, size: int, span: int) -> D
     length = F.length("left")
     distance = start - chunk_start - length
 
-    def repeats(b: Column) -> Column:
+    def repeats(b: Column, bases_left: Column, n: Column) -> Column:
+        """How many of the last ``n`` bases continue the pattern of ``b`` to the left."""
         period = F.length(b)
-        pattern = F.repeat(F.reverse(b), F.ceil(length / period).cast("int") + 1)
-        expected = pattern.substr(F.pmod(distance, period).cast("int") + 1, length)
-        return common_prefix_length(F.reverse(F.col("left")), expected)
+        pattern = F.repeat(F.reverse(b), F.ceil(n / period).cast("int") + 1)
+        expected = pattern.substr(F.pmod(distance, period).cast("int") + 1, n)
+        return common_prefix_length(F.reverse(bases_left), expected)
+
+    def over_all(bases_left: Column, n: Column) -> Column:
+        return F.array_min(F.transform(F.filter("cores", lambda b: b != ""), lambda b: repeats(b, bases_left, n)))
 
-    moved = F.array_min(F.transform(F.filter("cores", lambda b: b != ""), repeats))
+    # most events stop within a few bases; only the others are compared with the whole chunk
+    near = F.least(length, F.lit(NEAR_BASES))
+    moved = let(over_all(F.right(F.col("left"), near), near),
+                lambda m: F.when((m < near) | (length <= NEAR_BASES), m).otherwise(over_all(F.col("left"), length)))
     rows = rows.withColumn("moved", F.when(length > 0, moved))
     stop = F.when(
         F.col("moved") < length,
@@ -146,8 +164,8 @@ def resolve_events(events: DataFrame, chunks: DataFrame, size: int) -> tuple[Dat
 
     Also returns how many events there are and how many bytes they take.
     """
-    tail = _shared_tail(F.col("alleles"))
-    pending = events.withColumn("tail", tail).withColumn("cores", _without_tail(F.col("alleles"), F.col("tail")))
+    pending = events.withColumn("tail", _shortest(F.col("alleles")))
+    pending = pending.withColumn("cores", _without_tail(F.col("alleles"), F.col("tail")))
     pending = pending.withColumn("edge", F.col("start"))
     done: list[DataFrame] = []
     span, count, size_bytes = 2, 0, 0

@@ -57,7 +57,7 @@ def split_genotype(g: Column, struct_type: T.StructType, numbers: dict[str, str]
             value = split_calls(value, i)
         elif isinstance(field.dataType, T.ArrayType):
             value = subset(value, numbers.get(field.name), i, n)
-        fields.append(value.cast(field.dataType).alias(field.name))
+        fields.append(value.alias(field.name))
     return F.when(g.isNotNull(), F.struct(*fields))
 
 

@@ -32,8 +32,9 @@ def discover_files(
 ) -> DataFrame:
     """path, filename and length of the matching files directly below ``root``, sorted by path.
 
-    The listing is Spark's own; file content is never read. ``only`` keeps the given base names,
-    ``limit`` the first paths. No match raises ValueError unless ``required`` is False.
+    The listing is Spark's own, which leaves out files of zero bytes; file content is never read.
+    ``only`` keeps the given base names, ``limit`` the first paths. No match raises ValueError unless
+    ``required`` is False.
     """
     paths = [root] if isinstance(root, str) else list(root)
     listed = spark.read.format("binaryFile").option("pathGlobFilter", suffix_glob(suffixes)).load(paths)

@@ -83,7 +83,10 @@ FROM (SELECT o_orderkey, {block} AS b, cast(o_orderkey % 20 AS int) AS q, cast(1
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/orders.parquet")
+    """The orders table; a file with fewer splits than cores is spread, since one row becomes a wide record."""
+    df = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores, "o_orderkey") if df.rdd.getNumPartitions() < cores else df
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:

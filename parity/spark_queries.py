@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import locusframe as lf
 from locusframe.functions import provenance, resolve_core_columns, safe_col
 from locusframe.operators.genotypes import CALLER_FIELDS
+from locusframe.scratch import materialize
 from locusframe.sources.header import merge_layout, per_file
 from locusframe.sources.vcf import parse_by_file, scan_lines
 from locusframe.sources.vcf_text import record_lines
@@ -205,7 +206,8 @@ def split_multiallelics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _normalized(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     chunks = lf.reference_chunks(spark, fx.write_fasta(spark, sf_dir), fx.CHUNK_SIZE)
-    rows = lf.normalize_variants(fx.alleles(spark, sf_dir), chunks, fx.CHUNK_SIZE, **options)
+    records = materialize(fx.alleles(spark, sf_dir), "alleles")
+    rows = lf.normalize_variants(records, materialize(chunks, "chunks"), fx.CHUNK_SIZE, **options)
     return rows.select(
         "rec", "contigName", "start", "end", "referenceAllele",
         F.get("alternateAlleles", F.lit(0)).alias("alternateAllele"),
