@@ -110,17 +110,26 @@ def without_files(records: DataFrame, bad: DataFrame, bad_count: int, broadcast_
     return records.join(F.broadcast(names) if bad_count <= broadcast_rows else names, "source_file", "left_anti")
 
 
+def _rows_of(spark: SparkSession, name: str, files: DataFrame, most: int = 1000) -> DataFrame:
+    """The rows of some source files; a short list prunes partitions when the query is planned."""
+    some = [row[0] for row in files.select(PARTITION).limit(most + 1).collect()]
+    table = spark.table(name)
+    if len(some) <= most:
+        return table.where(F.col(PARTITION).isin(some))
+    return table.join(files.select(PARTITION), PARTITION, "left_semi")
+
+
 def _stale_files(spark: SparkSession, name: str, files: DataFrame, run_ts: datetime) -> list[str]:
     """Files of this run whose rows in a table come from an earlier run: the new version has none."""
-    old = spark.table(name).where(F.col("ingest_ts") < F.lit(run_ts)).select(PARTITION)
-    return [row[0] for row in old.join(files.select(PARTITION), PARTITION, "left_semi").distinct().toLocalIterator()]
+    old = _rows_of(spark, name, files).where(F.col("ingest_ts") < F.lit(run_ts))
+    return [row[0] for row in old.select(PARTITION).distinct().toLocalIterator()]
 
 
 def _file_counts(spark: SparkSession, cfg: IngestConfig, files: DataFrame) -> DataFrame:
-    """Rows of each file in each table, from partition metadata and row counts in the file footers."""
+    """Rows of each file in each table, from partition names and the row counts in file footers."""
     counts = files.select(PARTITION)
     for table, column in ((VARIANTS, "variants_rows"), (CALLS, "calls_rows"), (CONSEQUENCES, "csq_rows")):
-        rows = spark.table(cfg.table(table)).groupBy(PARTITION).agg(F.count(F.lit(1)).alias(column))
+        rows = _rows_of(spark, cfg.table(table), files).groupBy(PARTITION).agg(F.count(F.lit(1)).alias(column))
         counts = counts.join(rows, PARTITION, "left")
     return counts
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from .files import source_path
 
@@ -115,44 +115,43 @@ def read_headers(spark: SparkSession, files: DataFrame, method: str = "auto") ->
     return lines.where(F.col("line").startswith("#"))
 
 
-def definitions(headers: DataFrame) -> DataFrame:
-    """INFO and FORMAT lines as columns: source_file, kind, id, number, type, csq_format."""
-    line = F.col("line")
+def _attribute(name: str) -> Column:
+    return F.regexp_extract("line", rf"[<,]{name}=([^,>]*)", 1)
 
-    def attribute(name: str):
-        return F.regexp_extract(line, rf"[<,]{name}=([^,>]*)", 1)
 
-    lines = headers.where(line.rlike("^##(INFO|FORMAT)=<"))
+def definitions(headers: DataFrame) -> DataFrame:
+    """INFO and FORMAT lines as columns: source_file, kind, id, number, type, csq_format."""
+    lines = headers.where(F.col("line").rlike("^##(INFO|FORMAT)=<"))
     return lines.select(
         "source_file",
-        F.regexp_extract(line, "^##(INFO|FORMAT)=", 1).alias("kind"),
-        attribute("ID").alias("id"), attribute("Number").alias("number"), attribute("Type").alias("type"),
-        F.nullif(F.trim(F.regexp_extract(line, r'Format:\s*([^">]*)', 1)), F.lit("")).alias("csq_format"),
+        F.regexp_extract("line", "^##(INFO|FORMAT)=", 1).alias("kind"),
+        _attribute("ID").alias("id"), _attribute("Number").alias("number"), _attribute("Type").alias("type"),
+        _csq_format().alias("csq_format"),
     ).where(F.col("id") != "")
 
 
+def _csq_format() -> Column:
+    return F.nullif(F.trim(F.regexp_extract("line", r'Format:\s*([^">]*)', 1)), F.lit(""))
+
+
 def per_file(headers: DataFrame) -> DataFrame:
-    """One row per file: samples, column_count, csq_format, flags and what sections it has."""
+    """One row per file with a title line: samples, column_count, csq_format, flags and what sections it has."""
     line = F.col("line")
-    columns = F.split(line, "\t")
-    titles = headers.where(line.startswith("#CHROM")).groupBy("source_file").agg(F.first("line").alias("line"))
-    titles = titles.select(
+    is_csq = line.rlike("^##INFO=<.*?ID=CSQ[,>]")
+    is_flag = line.rlike("^##INFO=<.*?Type=Flag[,>]")
+    columns = F.split("title", "\t")
+    grouped = headers.groupBy("source_file").agg(
+        F.max(F.when(line.startswith("#CHROM"), line)).alias("title"),
+        F.bool_or(is_csq).alias("has_csq"),
+        F.max(F.when(is_csq, _csq_format())).alias("csq_format"),
+        F.collect_set(F.when(is_flag, _attribute("ID"))).alias("flags"))
+    return grouped.where(F.col("title").isNotNull()).select(
         "source_file",
         F.size(columns).alias("column_count"),
         (F.size(columns) > 8).alias("has_genotypes"),
         F.when(F.size(columns) > 9, F.slice(columns, F.lit(10), F.size(columns))).otherwise(
             F.array().cast("array<string>")).alias("samples"),
-    )
-    is_csq = (F.col("kind") == "INFO") & (F.col("id") == "CSQ")
-    fields = definitions(headers).groupBy("source_file").agg(
-        F.bool_or(is_csq).alias("has_csq"),
-        F.max(F.when(is_csq, F.col("csq_format"))).alias("csq_format"),
-        F.collect_set(F.when((F.col("kind") == "INFO") & (F.col("type") == "Flag"), F.col("id"))).alias("flags"),
-    )
-    return titles.join(fields, "source_file", "left").withColumns({
-        "has_csq": F.coalesce("has_csq", F.lit(False)),
-        "flags": F.coalesce("flags", F.array().cast("array<string>")),
-    })
+        "has_csq", "csq_format", "flags")
 
 
 def merge_layout(headers: DataFrame) -> Layout:

@@ -127,14 +127,16 @@ def parse_records(lines: DataFrame, files: DataFrame, layout: Layout, mode: str
     if mode not in MODES:
         raise ValueError(f"mode must be one of {', '.join(MODES)}, got {mode!r}")
     described = lines.join(files, "source_file", "left")
-    rows = described.withColumn("cells", F.split("line", "\t"))
-    rows = rows.withColumn("fault", _fault(F.col("cells")))
-    if mode == "drop":
-        rows = rows.where(F.col("fault").isNull())
-    elif mode == "fail":
-        message = F.concat(F.lit("malformed VCF line in "), F.col("source_file"), F.lit(": "), F.col("fault"))
-        rows = rows.where(F.when(F.col("fault").isNull(), True).otherwise(F.raise_error(message).cast("boolean")))
-    rows = rows.withColumn("cells", F.when(F.col("fault").isNull(), F.col("cells")))
+    split_line = F.split("line", "\t")
+    if mode == "keep":
+        rows = described.withColumn("cells", split_line).withColumn("fault", _fault(F.col("cells")))
+        rows = rows.withColumn("cells", F.when(F.col("fault").isNull(), F.col("cells")))
+    else:
+        # as a filter condition the check is pushed below the split, so it splits the line once by itself
+        fault = let(split_line, _fault)
+        message = F.concat(F.lit("malformed VCF line in "), F.col("source_file"), F.lit(": "), fault)
+        good = F.coalesce(F.raise_error(message).cast("boolean"), F.lit(False)) if mode == "fail" else F.lit(False)
+        rows = described.where(F.when(fault.isNull(), True).otherwise(good)).withColumn("cells", split_line)
     rows = rows.withColumn("pairs", F.split(_present(F.get("cells", F.lit(7))), ";"))
     rows = rows.withColumns({
         "keys": F.transform("pairs", lambda p: F.substring_index(p, "=", 1)),
