@@ -54,6 +54,7 @@ class IngestConfig:
     only: frozenset[str] | None = None
     limit: int | None = None
     suffixes: Sequence[str] = VCF_SUFFIXES
+    header_method: str = "auto"
     reference_fasta: str | None = None
     chunk_size: int = 8192
     pipe_cmd: Sequence[str] | None = None
@@ -145,7 +146,7 @@ def ingest(spark: SparkSession, cfg: IngestConfig) -> DataFrame:
 
     with scratch_run(spark, f"ingest-{run_id}", keep=cfg.keep_scratch):
         files = materialize(discover_files(spark, cfg.source, cfg.suffixes, cfg.only, cfg.limit), "files")
-        headers = materialize(read_headers(spark, files), "headers")
+        headers = materialize(read_headers(spark, files, cfg.header_method), "headers")
         parsed = materialize(read_vcf(
             spark, cfg.source, mode="keep", only=cfg.only, limit=cfg.limit, suffixes=cfg.suffixes, headers=headers,
             broadcast_bytes=cfg.broadcast_bytes), "records")

@@ -190,17 +190,17 @@ def scan_lines(spark: SparkSession, paths: str | Sequence[str], suffixes: Sequen
 def read_vcf(
     spark: SparkSession, paths: str | Sequence[str], mode: str = "drop", only: Iterable[str] | None = None,
     limit: int | None = None, suffixes: Sequence[str] = VCF_SUFFIXES, headers: DataFrame | None = None,
-    gz_spread_bytes: int = 128 << 20, broadcast_bytes: int = 64 << 20,
+    header_method: str = "auto", gz_spread_bytes: int = 128 << 20, broadcast_bytes: int = 64 << 20,
 ) -> DataFrame:
     """All variant-call files of a folder (or the given paths) as one frame of nested records.
 
-    ``headers`` takes header lines already read. Large gzip files, which one task must unpack, are
+    ``headers`` takes header lines already read; ``header_method`` is that of :func:`read_headers`. Large gzip files, which one task must unpack, are
     spread over tasks before the parse. The per-file header table is broadcast in groups of files whose
     sample names fit ``broadcast_bytes``, so it never has to be broadcast whole.
     """
     files = discover_files(spark, paths, suffixes, only, limit)
     if headers is None:
-        headers = materialize(read_headers(spark, files), "headers")
+        headers = materialize(read_headers(spark, files, header_method), "headers")
     layout = merge_layout(headers)
     table = per_file(headers)
     gz = F.col("path").endswith("gz")
