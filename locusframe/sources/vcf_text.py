@@ -11,10 +11,9 @@ from ..operators.split import genotype_numbers, info_number
 from .header import read_headers
 from .vcf import GENOTYPE_NAMES, SPLIT_FLAG
 
-# The eight site columns of the title line and the two header-only parts around them.
+# The format line and the title of the eight site columns.
 FILE_FORMAT = "##fileformat=VCFv4.2"
 SITE_TITLE = "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO"
-LINE_SCHEMA = "source_file string, title string, line string"
 
 
 def _header_type(data_type: T.DataType) -> str:
