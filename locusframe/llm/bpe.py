@@ -22,10 +22,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
-#: Chunks kept by a worker, and the longest chunk that is kept.
-KEPT_CHUNKS, KEPT_LENGTH = 400_000, 200
+#: Chunks and words kept by a worker, and the longest one that is kept.
+KEPT_CHUNKS, KEPT_WORDS, KEPT_LENGTH = 300_000, 700_000, 64
 
-_UNEVEN = re.compile(r"\s | \s")
+#: White space besides the plain space and the line feed.
+_OTHER_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + (
+    "\u2028\u2029\u202f\u205f\u3000")
+_MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 _codecs: dict[str, ByteBpe] = {}
 
@@ -38,24 +41,42 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class _Chunks(dict):
-    """Ids of chunks as little-endian unsigned 32-bit integers."""
+    """Ids of chunks that follow ``prefix``, as little-endian unsigned 32-bit integers.
+
+    ASCII marks at the end of a chunk begin a match of their own after a letter or digit, so that the words
+    before them are encoded once for all their endings.
+    """
 
     def __init__(self, tokenizer, prefix: str):
-        self.tokenizer, self.prefix = tokenizer, prefix
+        self.tokenizer, self.prefix, self.words, self.marks = tokenizer, prefix, {}, {}
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in found]
 
     def learn(self, chunks: set[str]) -> None:
-        new = [c for c in chunks if c not in self and len(c) <= KEPT_LENGTH]
-        if len(self) + len(new) > KEPT_CHUNKS:
+        if len(self) + len(chunks) > KEPT_CHUNKS:
             self.clear()
-            new = [c for c in chunks if len(c) <= KEPT_LENGTH]
-        for begin in range(0, len(new), 20_000):
-            part = new[begin:begin + 20_000]
-            encoded = self.tokenizer.encode_batch_fast([self.prefix + c for c in part], add_special_tokens=False)
-            self.update(zip(part, (np.array(e.ids, "<u4").tobytes() for e in encoded)))
+        parts = {}
+        for chunk in chunks:
+            if chunk not in self and len(chunk) <= KEPT_LENGTH:
+                word = chunk.rstrip(_MARKS)
+                parts[chunk] = word if word and word[-1].isalnum() else chunk
+        if len(self.words) + len(parts) > KEPT_WORDS:
+            self.words.clear()
+        if len(self.marks) + len(parts) > KEPT_WORDS:
+            self.marks.clear()
+        ends = {chunk: chunk[len(word):] for chunk, word in parts.items()}
+        for known, needed, prefix in ((self.words, parts, self.prefix), (self.marks, ends, "")):
+            new = list({x for x in needed.values() if x not in known})
+            for begin in range(0, len(new), 10_000):
+                some = new[begin:begin + 10_000]
+                known.update(zip(some, self._encode([prefix + x for x in some])))
+        for chunk, word in parts.items():
+            self[chunk] = self.words[word] + self.marks[ends[chunk]]
 
     def __missing__(self, chunk: str) -> bytes:
-        ids = self.tokenizer.encode(self.prefix + chunk, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        return self._encode([self.prefix + chunk])[0]
 
 
 class ByteBpe:
@@ -79,22 +100,25 @@ class ByteBpe:
         self.words = list(map(str, range(len(self.bytes_of))))
         self.first, self.rest = _Chunks(tokenizer, ""), _Chunks(tokenizer, " ")
 
+        self.newline = self.first["\n"]
+
     @staticmethod
-    def cut(text: str) -> list[str]:
-        """The chunks of a text; all but the first stand for themselves with a space before them."""
-        if not _UNEVEN.search(text):
-            return text.split(" ")
-        head, *others = _CUT.split(text)
-        return [head, *(c[1:] for c in others)]
+    def cut(text: str) -> list[list[str]]:
+        """Lines of chunks; each chunk but the first of a line stands for itself with a space before it."""
+        if any(x in text for x in ("  ", "\n\n", " \n", "\n ", *_OTHER_SPACE)):
+            head, *others = _CUT.split(text)
+            return [[head, *(c[1:] for c in others)]]
+        return [line.split(" ") for line in text.split("\n")]
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""
         for begin in range(0, len(texts), 500):
             cut = [self.cut(t or "") for t in texts[begin:begin + 500]]
-            self.first.learn({c[0] for c in cut})
-            self.rest.learn(set(chain.from_iterable(c[1:] for c in cut)))
-            for chunks in cut:
-                yield self.first[chunks[0]] + b"".join(map(self.rest.__getitem__, chunks[1:]))
+            self.first.learn({line[0] for lines in cut for line in lines})
+            self.rest.learn(set(chain.from_iterable(line[1:] for lines in cut for line in lines)))
+            for lines in cut:
+                yield self.newline.join(
+                    [self.first[line[0]] + b"".join(map(self.rest.__getitem__, line[1:])) for line in lines])
 
     def decode(self, ids: list[int]) -> bytes:
         try:
