@@ -2,14 +2,31 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 TOKENIZER_JSON = "byte_bpe_50k.json"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, wherever the driver was started from."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        root = Path(__file__).resolve().parents[2]
+        archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='locusframe-')}/locusframe", "zip", root, "locusframe")
+        context.addPyFile(archive)
+        _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -25,6 +42,12 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(TOKENIZER_JSON))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from locusframe.llm import warc
+
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from locusframe.llm import quality
 
@@ -32,6 +55,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from locusframe.llm import secrets
+
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from locusframe.llm import bpe
 
@@ -39,6 +68,6 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_best_fit_packing, op6_quality_rules, op9_byte_bpe)
+    f.__name__: f for f in (op2_best_fit_packing, op5_warc, op6_quality_rules, op7_secret_scans, op9_byte_bpe)
 }
 SQL: dict[str, str] = {}
