@@ -42,6 +42,18 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(TOKENIZER_JSON))
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from locusframe.llm import suffixes
+
+    return suffixes.report(table(spark, sf_dir, "documents"))
+
+
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from locusframe.llm import jaccard
+
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from locusframe.llm import warc
 
@@ -68,6 +80,6 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_best_fit_packing, op5_warc, op6_quality_rules, op7_secret_scans, op9_byte_bpe)
+    f.__name__: f for f in (op2_best_fit_packing, op3_suffix_array_dedup, op4_ngram_jaccard, op5_warc, op6_quality_rules, op7_secret_scans, op9_byte_bpe)
 }
 SQL: dict[str, str] = {}
