@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
 #: Chunks and words kept by a worker, and the longest one that is kept.
-KEPT_CHUNKS, KEPT_WORDS, KEPT_LENGTH = 300_000, 700_000, 64
+KEPT_CHUNKS, KEPT_WORDS, KEPT_LENGTH = 400_000, 1_000_000, 64
 
 #: White space besides the plain space and the line feed.
 _OTHER_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + (
@@ -41,7 +42,7 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class _Chunks(dict):
-    """Ids of chunks that follow ``prefix``, as little-endian unsigned 32-bit integers.
+    """Ids of chunks that follow ``prefix``, as unsigned 32-bit integers, little-endian as on every machine Spark runs on.
 
     ASCII marks at the end of a chunk begin a match of their own after a letter or digit, so that the words
     before them are encoded once for all their endings.
@@ -52,7 +53,7 @@ class _Chunks(dict):
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [array("I", e.ids).tobytes() for e in found]
 
     def learn(self, chunks: set[str]) -> None:
         if len(self) + len(chunks) > KEPT_CHUNKS:

@@ -7,7 +7,7 @@ import tempfile
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 TOKENIZER_JSON = "byte_bpe_50k.json"
 
@@ -36,6 +36,13 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from locusframe.llm import pii
+
+    docs = table(spark, sf_dir, "documents")
+    return pii.report(docs, pii.train(docs))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from locusframe.llm import packing
 
@@ -73,13 +80,27 @@ def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op8_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from locusframe.llm import neighbours
+
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from locusframe.llm import bpe
 
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path(TOKENIZER_JSON))
 
 
+def op10_debruijn_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from locusframe.llm import debruijn
+
+    return debruijn.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_best_fit_packing, op3_suffix_array_dedup, op4_ngram_jaccard, op5_warc, op6_quality_rules, op7_secret_scans, op9_byte_bpe)
+    f.__name__: f for f in (
+        op1_pii, op2_best_fit_packing, op3_suffix_array_dedup, op4_ngram_jaccard, op5_warc, op6_quality_rules, op7_secret_scans,
+        op8_permutation_index, op9_byte_bpe, op10_debruijn_dedup)
 }
 SQL: dict[str, str] = {}
