@@ -25,11 +25,11 @@ KeysOf = Callable[[str], np.ndarray]
 
 
 def stable_copy(df: DataFrame, id_col: str, text_col: str, others: tuple[str, ...] = ()) -> DataFrame:
-    """Written rows (batch, row, doc_id, digest, n_bytes, text, other_0...); a null text is empty."""
+    """Written rows (batch, row, doc_id, digest, n_bytes, was_null, text, other_0...); a null text is empty."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     numbered = df.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
                          F.sha2(text, 256).alias("digest"), F.octet_length(text).cast("long").alias("n_bytes"),
-                         text.alias("text"), *(F.col(f"`{c}`").alias(f"other_{k}") for k, c in enumerate(others)))
+                         F.col(text_col).isNull().alias("was_null"), text.alias("text"), *(F.col(f"`{c}`").alias(f"other_{k}") for k, c in enumerate(others)))
     path = scratch_path(df.sparkSession, "corpus")
     numbered.select(F.shiftright("row", BATCH_BITS).alias("batch"), "*").write.option("compression", "zstd").option(
         "maxRecordsPerFile", 1 << BATCH_BITS).parquet(path)

@@ -223,7 +223,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     ``component_id`` is the smallest id of the component; of a text without words its own.
     """
-    copy = exchange.stable_copy(docs, id_col, text_col)
+    return _grouped(exchange.stable_copy(docs, id_col, text_col))
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates: the one of smallest id, then first in the input.
+
+    Rows without words are in no group and stay. All columns are as they were.
+    """
+    names = [c for c in docs.columns if c != text_col]
+    copy = exchange.stable_copy(docs, id_col, text_col, tuple(names))
+    gone = exchange.write_answers(_grouped(copy).where("row <> component_row").select(
+        F.shiftright("row", exchange.BATCH_BITS).alias("batch"), "row"), "near-duplicate-rows")
+    others = [f"other_{k}" for k in range(len(names))]
+    schema = copy.select("batch", "row", "was_null", "text", *others).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        answers = exchange.Answers(gone)
+        for whole in batches:
+            for number, part in exchange.segments(whole):
+                rows = part.column(1).to_numpy()
+                yield part.filter(pa.array(~np.isin(rows, answers.values(number, "row"))))
+
+    kept = copy.select("batch", "row", "was_null", "text", *others).mapInArrow(run, schema)
+    place = dict(zip(names, others))
+    text = F.when(~F.col("was_null"), F.col("text"))
+    return kept.select(*((text if c == text_col else F.col(place[c])).alias(c) for c in docs.columns))
+
+
+def _grouped(copy: DataFrame) -> DataFrame:
     every = _survivors(copy)
     sizes, found = every.select("row", "doc_id", "n"), every.where("tokens IS NOT NULL").select("row", "n", "tokens")
     # Equal sets are one node, named by its smallest row.

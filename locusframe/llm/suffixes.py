@@ -223,8 +223,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Rows stay, also those with no text left, and other columns are as they were; a null text becomes empty.
     """
-    copy = exchange.stable_copy(docs, id_col, text_col, tuple(docs.columns))
-    others = [f"other_{k}" for k in range(len(docs.columns))]
+    names = [c for c in docs.columns if c != text_col]
+    copy = exchange.stable_copy(docs, id_col, text_col, tuple(names))
+    others = [f"other_{k}" for k in range(len(names))]
     schema = T.StructType([*(copy.schema[c] for c in others), T.StructField("kept_text", T.StringType())])
     made = _kept_bytes(copy, others, schema, lambda kept, n, removed, spans: (kept.decode(errors="ignore"),))
-    return made.select(*(F.col("kept_text" if c == text_col else o).alias(c) for o, c in zip(others, docs.columns)))
+    place = dict(zip(names, others)) | {text_col: "kept_text"}
+    return made.select(*(F.col(place[c]).alias(c) for c in docs.columns))
