@@ -8,7 +8,7 @@ summed over all sets, meets that of the lists.
 
 Leading means: rarest first, in an order all sets agree on. A set of n shingles shares at least
 ceil(0.8 n) with any partner, so two sets that link share their k first common shingles among the first
-n - ceil(0.8 n) + k of each, for every k. With k = n/50 this is also the filter that comes first: a set
+n - ceil(0.8 n) + k of each, for every k. With k = n/5 this is also the filter that comes first: a set
 whose leading shingles are not in other sets often enough has no partner and leaves, before any set is
 shuffled. Lists never give all pairs: a list links its members to its first member, and members that this
 does not settle are joined within bands of their distance to it, since the Jaccard distance is a metric.
@@ -66,31 +66,34 @@ def leading(n: int, k: int) -> int:
 
 
 def _filter_k(n: int) -> int:
-    return -(-n // 50)
+    return -(-n // 5)
 
 
-def _survivors(copy: DataFrame) -> DataFrame:
-    """Written rows (row, doc_id, n, tokens); tokens are null where no other set can be a partner."""
-    bits = exchange.bucket_bits(copy, 0.04)
+def _survivors(copy: DataFrame, skip: str) -> DataFrame:
+    """Written rows (row, doc_id, n, tokens); tokens are null where no other set can be a partner.
+
+    So are those of the rows that ``skip`` names, texts that an earlier row has as well.
+    """
+    bits = exchange.bucket_bits(copy, 0.07)
 
     def leads(text: str) -> np.ndarray:
         tokens = shingles(text)
         return tokens[:leading(len(tokens), _filter_k(len(tokens)))] if len(tokens) else tokens
 
-    shared = exchange.shared_keys(copy, leads, bits, None, "shared-shingles")
+    shared = exchange.shared_keys(copy, leads, bits, skip, "shared-shingles")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        answers = exchange.Answers(shared)
+        answers, skipped = exchange.Answers(shared), exchange.Answers(skip)
         for whole in batches:
             for number, part in exchange.segments(whole):
-                keys, sizes, sets = answers.keys(number, "keys"), [], []
-                for text in part.column(2).to_pylist():
+                out, keys, sizes, sets = set(skipped.values(number, "row").tolist()), answers.keys(number, "keys"), [], []
+                for row, text in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
                     tokens = shingles(text)
                     n = len(tokens)
                     # The smallest partner may have looked at fewer of the common shingles.
                     need = _filter_k(least_common(n))
                     head = tokens[:leading(n, _filter_k(n))]
-                    some = n and exchange.contains(keys, exchange.coarse(head, bits)).sum() >= need
+                    some = n and row not in out and exchange.contains(keys, exchange.coarse(head, bits)).sum() >= need
                     sizes.append(n)
                     sets.append(tokens.view(np.int64) if some else None)
                 yield pa.RecordBatch.from_arrays(
@@ -252,18 +255,25 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def _grouped(copy: DataFrame) -> DataFrame:
-    every = _survivors(copy)
-    sizes, found = every.select("row", "doc_id", "n"), every.where("tokens IS NOT NULL").select("row", "n", "tokens")
+    seen = exchange.copies(copy)
+    every = _survivors(copy, exchange.write_answers(seen.where("row <> first_row").select("batch", "row"), "copied-rows"))
+    found = every.where("tokens IS NOT NULL").select("row", "n", "tokens")
     # Equal sets are one node, named by its smallest row.
     pair = F.struct(F.xxhash64("tokens").alias("x"), F.hash("tokens").alias("y"), "n")
-    keyed = found.select("row", pair.alias("digest"))
+    keyed = materialize(found.select("row", pair.alias("digest")), "set-digests")
     nodes = materialize(keyed.groupBy("digest").agg(F.min("row").alias("node")), "classes")
-    members = materialize(materialize(keyed, "set-digests").join(nodes, "digest").select("row", "node"), "class-members")
+    members = keyed.join(nodes, "digest").select("row", "node")
     distinct = nodes.select(F.col("node").alias("row")).join(found, "row").select(F.col("row").alias("node"), "n", "tokens")
     joined = materialize(components(links(materialize(distinct, "distinct-sets"))), "components")
-    placed = members.join(joined, "node", "left").select("row", F.coalesce("component", "node").alias("component_row"))
-    rows = materialize(sizes.join(placed, "row", "left").select(
-        "row", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_row", "row").alias("component_row")), "placed")
+    placed = materialize(members.join(joined, "node", "left").select(
+        F.col("row").alias("anchor"), F.coalesce("component", "node").alias("component_row")), "class-members")
+    anchored = materialize(every.select("row", "doc_id", F.col("n").alias("n_shingles")).join(
+        seen.where("row <> first_row").select("row", "first_row"), "row", "left").withColumn(
+        "anchor", F.coalesce("first_row", "row")).drop("first_row"), "anchored")
+    # A text without words is linked with nothing, its copies included.
+    own = F.when(F.col("n_shingles") > 0, F.coalesce("component_row", "anchor")).otherwise(F.col("row"))
+    rows = materialize(anchored.join(placed, "anchor", "left").select(
+        "row", "doc_id", "n_shingles", own.alias("component_row")), "placed")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("is_null"), "doc_id", "row")).alias("first")
     groups = materialize(rows.groupBy("component_row").agg(first, F.count(F.lit(1)).alias("members")).where(
         "members > 1").select("component_row", F.col("first.doc_id").alias("first_id"), F.col("first.row").alias("first_row")), "groups")
