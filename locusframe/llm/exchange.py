@@ -10,11 +10,13 @@ scan reads those of the batches it meets. Scans can be repeated, so a lost execu
 
 from __future__ import annotations
 
+import gc
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from locusframe.scratch import materialize, scratch_path
 
@@ -54,21 +56,39 @@ def bucket_bits(copy: DataFrame, keys_per_byte: float) -> int:
     return min(20, max(6, int(np.ceil(np.log2(max(1.0, total * keys_per_byte / BUCKET_KEYS))))))
 
 
-def squeeze(numbers: np.ndarray) -> bytes:
-    """Sorted unsigned numbers as differences, byte plane by byte plane, without the upper planes that are empty."""
-    planes = np.diff(numbers, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8)
+def pack(numbers: np.ndarray) -> bytes:
+    """Unsigned numbers byte plane by byte plane, without the upper planes that are empty; the top one is compressed."""
+    planes = numbers.astype("<u8").view(np.uint8).reshape(-1, 8)
     used = 8
     while used > 1 and not planes[:, used - 1].any():
         used -= 1
-    return bytes([used]) + planes[:, :used].T.tobytes()
+    top = zlib.compress(planes[:, used - 1].tobytes(), 1)
+    return bytes([used]) + len(top).to_bytes(4, "little") + top + planes[:, :used - 1].T.tobytes()
+
+
+def unpack(data: bytes) -> np.ndarray:
+    used, size = data[0], int.from_bytes(data[1:5], "little")
+    top = np.frombuffer(zlib.decompress(data[5:5 + size]), np.uint8)
+    whole = np.zeros((len(top), 8), np.uint8)
+    whole[:, used - 1] = top
+    if used > 1:
+        whole[:, :used - 1] = np.frombuffer(data, np.uint8, offset=5 + size).reshape(used - 1, -1).T
+    return whole.view("<u8").ravel()
+
+
+def squeeze(numbers: np.ndarray) -> bytes:
+    """Sorted unsigned numbers, as their differences."""
+    return pack(np.diff(numbers, prepend=np.uint64(0)))
 
 
 def unsqueeze(data: bytes) -> np.ndarray:
-    used = data[0]
-    planes = np.frombuffer(data, np.uint8, offset=1).reshape(used, -1)
-    whole = np.zeros((planes.shape[1], 8), np.uint8)
-    whole[:, :used] = planes.T
-    return np.cumsum(whole.view("<u8").ravel(), dtype=np.uint64)
+    return np.cumsum(unpack(data), dtype=np.uint64)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of frames that are gone; it does so once the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def segments(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
@@ -117,6 +137,7 @@ def write_answers(df: DataFrame, label: str) -> str:
     parted = df.withColumn("part", F.pmod("batch", F.lit(ANSWER_PARTS)).cast("int"))
     parted.repartition("part").sortWithinPartitions("part", "batch").write.option(
         "compression", "zstd").partitionBy("part").parquet(path)
+    release(df.sparkSession)
     return path
 
 

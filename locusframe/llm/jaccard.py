@@ -197,6 +197,7 @@ def links(sets: DataFrame) -> DataFrame:
         "a", "b", F.col("nb").alias("n"), distance.alias("d"), _similar(F.col("na"), F.col("nb"), F.col("common")).alias("linked")), "stars")
     first = star.where("linked").select("a", "b")
     settled = materialize(components(first), "first-components")
+    exchange.release(sets.sparkSession)
 
     # Members of a hub that are in different components, in bands of their distance to the hub.
     bands = star.select(F.col("a").alias("hub"), F.col("b").alias("node"), "n", "d").join(settled, "node", "left").select(

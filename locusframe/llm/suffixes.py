@@ -3,9 +3,9 @@
 Of each text the bytes go that lie in a string of 50 bytes which also starts in a document of smaller id.
 Suffixes need to be told apart to 50 bytes only, and are sorted one bucket at a time, never all together.
 
-The positions whose remainder modulo 31 is in ``COVER`` are the sample: any two positions have a common
-shift below 31 that takes both into it, so two equal strings of 50 bytes hold, at one shift, equal sample
-strings of 20 bytes. Sample strings are ranked first (``exchange.shared_keys``; a rank is a hash, as only
+The positions whose remainder modulo 13 is in ``COVER`` are the sample: any two positions have a common
+shift below 13 that takes both into it, so two equal strings of 50 bytes hold, at one shift, equal sample
+strings of 38 bytes. Sample strings are ranked first (``exchange.shared_keys``; a rank is a hash, as only
 ties matter). Where no sample string of a window is tied with another text the suffix is settled; only
 suffixes with a tie go on to a bucket, cut by the upper bits of their key. A bucket is sorted alone, the
 first document of every group of equal keys is found, and batches learn which of their keys start earlier.
@@ -27,9 +27,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from locusframe.llm import exchange, hashing
 
-WIDTH, PERIOD = 50, 31
-#: A difference cover: every remainder modulo 31 is a difference of two of these.
-COVER = (0, 1, 3, 8, 12, 18)
+WIDTH, PERIOD = 50, 13
+#: A difference cover: every remainder modulo 13 is a difference of two of these.
+COVER = (0, 1, 3, 9)
 SAMPLE_WIDTH = WIDTH - PERIOD + 1
 #: Bytes hashed at a time, and keys of a batch sent at a time.
 SLICE, SENT = 1 << 20, 4_000_000
@@ -110,7 +110,6 @@ def _earlier_keys(copy: DataFrame, ties: str, bits: int, skip: str) -> str:
     def blobs(number: int, held: list[np.ndarray], owned: list[np.ndarray]) -> pa.RecordBatch:
         keys, owners, more = _first_owners(np.concatenate(held), np.concatenate(owned))
         names, places = np.unique(owners, return_inverse=True)
-        places = places.astype(np.uint16 if len(names) <= 1 << 16 else np.uint32)
         cuts = np.r_[np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)), len(keys)]
         low = keys & np.uint64((1 << (64 - bits)) - 1)
         rows = [(k, a, b) for k, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
@@ -118,7 +117,7 @@ def _earlier_keys(copy: DataFrame, ties: str, bits: int, skip: str) -> str:
             pa.array([k for k, _, _ in rows], pa.int32()), pa.array([number] * len(rows), pa.int64()),
             pa.array([exchange.squeeze(low[a:b]) for _, a, b in rows], pa.binary()),
             pa.array([np.packbits(more[a:b]).tobytes() for _, a, b in rows], pa.binary()),
-            pa.array([places[a:b].tobytes() for _, a, b in rows], pa.binary()),
+            pa.array([exchange.pack(places[a:b]) for _, a, b in rows], pa.binary()),
             pa.array([exchange.squeeze(names.view(np.uint64))] * len(rows), pa.binary())],
             ["bucket", "batch", "keys", "more", "places", "names"])
 
@@ -127,7 +126,7 @@ def _earlier_keys(copy: DataFrame, ties: str, bits: int, skip: str) -> str:
         keys, owners, more = np.concatenate(parts), [], []
         for part, flags, places, names in zip(parts, *(table.column(c).to_pylist() for c in ("more", "places", "names"))):
             table_of = exchange.unsqueeze(names).view(np.int64)
-            owners.append(table_of[np.frombuffer(places, np.uint16 if len(table_of) <= 1 << 16 else np.uint32)])
+            owners.append(table_of[exchange.unpack(places).astype(np.int64)])
             more.append(np.unpackbits(np.frombuffer(flags, np.uint8), count=len(part)).astype(bool))
         batches = np.repeat(table.column("batch").to_numpy(), list(map(len, parts)))
         owners, more = np.concatenate(owners), np.concatenate(more)
@@ -149,7 +148,7 @@ def _earlier_keys(copy: DataFrame, ties: str, bits: int, skip: str) -> str:
             b, i = own[before[chosen]], own[inside[chosen]]
             if len(b) or len(i):
                 rows.append({"batch": number, "before": exchange.squeeze(keys[b] | bucket) if len(b) else None,
-                             "inside": exchange.squeeze(keys[i] | bucket) if len(i) else None, "first": owners[i].tobytes()})
+                             "inside": exchange.squeeze(keys[i] | bucket) if len(i) else None, "first": exchange.pack(owners[i].view(np.uint64)) if len(i) else None})
         return pa.Table.from_pylist(rows, pa.schema([
             ("batch", pa.int64()), ("before", pa.binary()), ("inside", pa.binary()), ("first", pa.binary())]))
 
@@ -176,7 +175,7 @@ def _kept_bytes(copy: DataFrame, columns: list[str], schema: T.StructType, finis
                 out, tied = set(skipped.values(number, "row").tolist()), tie_answers.keys(number, "keys")
                 before, inside, first = answers.keys(number, "before"), np.zeros(0, np.uint64), np.zeros(0, np.int64)
                 if (table := answers.of(number)) is not None:
-                    pairs = [(exchange.unsqueeze(k), np.frombuffer(f, np.int64)) for k, f in zip(
+                    pairs = [(exchange.unsqueeze(k), exchange.unpack(f).view(np.int64)) for k, f in zip(
                         table.column("inside").to_pylist(), table.column("first").to_pylist()) if k]
                     if pairs:
                         inside, first = (np.concatenate(x) for x in zip(*pairs))
