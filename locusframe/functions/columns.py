@@ -30,14 +30,16 @@ def has_field(schema: T.DataType, name: str) -> bool:
     return field_type(schema, name) is not None
 
 
-def is_complex(data_type: T.DataType) -> bool:
-    return isinstance(data_type, (T.ArrayType, T.MapType, T.StructType))
+def typed_columns(df: DataFrame, **wanted: str) -> list[Column]:
+    """The wanted columns under their names, each as the given type; NULL of that type where the frame has none."""
+    present = set(df.columns)
+    return [(F.col(f"`{name}`") if name in present else F.lit(None)).cast(ddl).alias(name) for name, ddl in wanted.items()]
 
 
-def safe_col(df: DataFrame, name: str, cast_to: str | None = None) -> Column:
-    """The column if the frame has it, else NULL; cast when a type is given."""
-    column = F.col(f"`{name}`") if name in df.columns else F.lit(None)
-    return column.cast(cast_to) if cast_to else column
+def text_unless_scalar(column: Column, data_type: T.DataType) -> Column:
+    """Arrays, maps and structs as JSON text, other values as they are."""
+    nested = hasattr(data_type, "elementType") or hasattr(data_type, "keyType") or hasattr(data_type, "fields")
+    return F.to_json(column) if nested else column
 
 
 def first_field(struct: Column, struct_type: T.StructType, *names: str) -> Column:
@@ -110,7 +112,7 @@ def leaf_value(struct: Column, path: tuple[str, ...]) -> Column:
 def flatten_struct(prefix: str, struct: Column, struct_type: T.StructType) -> list[Column]:
     """Every leaf of a struct as a string column; arrays and maps become JSON."""
     return [
-        (F.to_json(value) if is_complex(leaf) else value.cast("string")).alias(name)
+        text_unless_scalar(value, leaf).cast("string").alias(name)
         for name, value, leaf in (
             (name, leaf_value(struct, path), leaf) for name, path, leaf in struct_leaves(struct_type, prefix))
     ]

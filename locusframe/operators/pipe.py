@@ -14,49 +14,112 @@ from ..sources.vcf_text import infer_header, record_lines
 PIPED_SCHEMA = "source_file string, line string, error string"
 
 
-def _command_runner(cmd: Sequence[str], header: Sequence[str], chunk_bytes: int):
-    """The task that feeds runs of lines of one file to the command and yields what it answers.
+#: Longest error text kept, a fixed value.
+ERROR_CHARS = 32000
+#: How the error of a command begins, as opposed to the fault of an answered line.
+COMMAND_FAILED = "command "
 
-    A run ends where the source file changes or ``chunk_bytes`` are reached, so a task holds a bounded
-    amount of text. If the command fails, the lines of that run come back with the error.
+
+def _command_runner(cmd: Sequence[str], header: Sequence[str], chunk_bytes: int | None):
+    """The task that streams the lines of each file through the command and yields what it answers.
+
+    One process serves all neighbouring lines of a file; ``chunk_bytes`` starts another one after so many.
+    Lines are written as they come and answers handed on as they are read, so a task holds neither in full.
+    A process that fails gives a row without a line that holds the error.
     """
     def run(batches: Iterator) -> Iterator:
         import subprocess
+        import threading
 
         import pyarrow as pa
 
         schema = pa.schema([("source_file", pa.string()), ("line", pa.string()), ("error", pa.string())])
 
-        def call(source: str, title: str, lines: list[str]):
-            text = "\n".join([*header, title, *lines]) + "\n"
-            done = subprocess.run(list(cmd), input=text.encode(), capture_output=True)
-            error = None
-            answer = done.stdout.decode("utf-8", "replace").splitlines()
-            if done.returncode != 0:
-                tail = done.stderr.decode("utf-8", "replace").strip()[-2000:]
-                answer, error = lines, f"command ended with status {done.returncode}: {tail}"
-            return pa.RecordBatch.from_pydict(
-                {"source_file": [source] * len(answer), "line": answer, "error": [error] * len(answer)}, schema)
-
-        current, waiting, size = None, [], 0
-        for batch in batches:
-            files, titles, lines = (batch.column(i).to_pylist() for i in range(3))
-            for source, title, line in zip(files, titles, lines):
-                if waiting and ((source, title) != current or size > chunk_bytes):
-                    yield call(*current, waiting)
-                    waiting, size = [], 0
-                current = (source, title)
-                waiting.append(line)
-                size += len(line)
-        if waiting:
-            yield call(*current, waiting)
+        class Process:
+            def __init__(self, source: str, title: str):
+                self.source, self.size, self.answers, self.complaint, self.broken = source, 0, [], [], None
+                self.child = subprocess.Popen(
+                    list(cmd), stdin=subprocess.PIPE, stdout=subprocess.PIPE, stderr=subprocess.PIPE)
+                self.threads = [threading.Thread(target=self.listen), threading.Thread(target=self.hear)]
+                for thread in self.threads:
+                    thread.start()
+                self.write([*header, title])
+
+            def listen(self) -> None:
+                for line in self.child.stdout:  # ends at line feeds alone
+                    self.answers.append(line)
+
+            def hear(self) -> None:
+                kept = 0
+                for part in iter(lambda: self.child.stderr.read(4096), b""):
+                    if kept < 4 * ERROR_CHARS:
+                        self.complaint.append(part)
+                        kept += len(part)
+
+            def write(self, lines: list[str]) -> None:
+                try:
+                    self.child.stdin.write(("\n".join(lines) + "\n").encode())
+                    self.child.stdin.flush()
+                except BrokenPipeError:
+                    pass  # the status says why; a command may also stop reading when it has enough
+
+            def take(self):
+                count = len(self.answers)
+                lines, self.answers[:count] = self.answers[:count], []
+                try:
+                    text = [x.decode().removesuffix("\n") for x in lines]
+                except UnicodeDecodeError as error:
+                    self.broken, text = f"command answered in other than UTF-8: {error}", []
+                return pa.RecordBatch.from_pydict(
+                    {"source_file": [self.source] * len(text), "line": text, "error": [None] * len(text)}, schema)
+
+            def end(self):
+                try:
+                    self.child.stdin.close()
+                except BrokenPipeError:
+                    pass
+                for thread in self.threads:
+                    thread.join()
+                status = self.child.wait()
+                yield self.take()
+                error = self.broken
+                if status != 0:
+                    said = b"".join(self.complaint).decode("utf-8", "replace").strip()[:ERROR_CHARS]
+                    error = f"command ended with status {status}: {said}"
+                if error:
+                    yield pa.RecordBatch.from_pydict({"source_file": [self.source], "line": [None], "error": [error]}, schema)
+
+        process, current, waiting, size = None, None, [], 0
+        try:
+            for batch in batches:
+                files, titles, lines = (batch.column(i).to_pylist() for i in range(3))
+                for source, title, line in zip(files, titles, lines):
+                    if process is None or (source, title) != current or (chunk_bytes is not None and process.size > chunk_bytes):
+                        if process is not None:
+                            process.write(waiting) if waiting else None
+                            yield from process.end()
+                        process, current, waiting, size = Process(source, title), (source, title), [], 0
+                    waiting.append(line)
+                    size += len(line)
+                    process.size += len(line)
+                    if size > 1 << 20:
+                        process.write(waiting)
+                        waiting, size = [], 0
+                        yield process.take()
+            if process is not None:
+                process.write(waiting) if waiting else None
+                ended, process = process, None
+                yield from ended.end()
+        finally:
+            if process is not None:
+                process.child.kill()
 
     return run
 
 
 def pipe_lines(df: DataFrame, cmd: Sequence[str], header: Sequence[str] | None = None,
-               chunk_bytes: int = 64 << 20) -> DataFrame:
-    """Answer of the command, line by line: source_file, line, error (NULL where it succeeded)."""
+               chunk_bytes: int | None = None) -> DataFrame:
+    """Answer of the command, line by line: source_file, line, error. A failure is a row with an error and no line."""
     lines = record_lines(df, inferred=header is None)
     header = list(header) if header is not None else infer_header(df)
     return lines.mapInArrow(_command_runner(list(cmd), header, chunk_bytes), PIPED_SCHEMA)
@@ -64,33 +127,38 @@ def pipe_lines(df: DataFrame, cmd: Sequence[str], header: Sequence[str] | None =
 
 def pipe_partitions(
     df: DataFrame, cmd: Sequence[str], header: Sequence[str] | None = None, on_error: str = "quarantine",
-    chunk_bytes: int = 64 << 20,
+    chunk_bytes: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Run records through ``cmd`` and parse its answer; returns (records, quarantined lines).
 
     The columns of the result follow the header the command prints, so an annotator may add fields.
-    The command runs once: its answer is written to scratch and both results read it there. Lines of a
-    failed run, and answers that are no records, are quarantined as (source_file, raw, reason); with
-    ``on_error="fail"`` they raise instead.
+    The command runs once: its answer is written to scratch and both results read it there. A file for which
+    the command failed anywhere gives no records: its lines are quarantined, as are answers that are no
+    records, as (source_file, raw, reason). With ``on_error="fail"`` they raise instead. ``chunk_bytes`` is
+    for commands without state only: after so many bytes of a file another process takes over.
     """
     if on_error not in ("quarantine", "fail"):
         raise ValueError(f"on_error must be 'quarantine' or 'fail', got {on_error!r}")
     answer = materialize(pipe_lines(df, cmd, header, chunk_bytes), "piped")
-    failed = answer.where(F.col("error").isNotNull())
-    if on_error == "fail" and (first := failed.first()) is not None:
+    failed = materialize(answer.where(F.col("error").isNotNull()).groupBy("source_file").agg(F.min("error").alias("error")), "piped-failures")
+    first = failed.orderBy("source_file").first()
+    if on_error == "fail" and first is not None:
         raise RuntimeError(f"{' '.join(cmd)} failed on {first.source_file}: {first.error}")
     answered = answer.where(F.col("error").isNull())
+    if first is not None:
+        answered = answered.join(failed.select("source_file"), "source_file", "left_anti")
     is_header = F.col("line").startswith("#")
     headers = answered.where(is_header).select("source_file", "line").distinct()
     headers = materialize(headers, "piped-headers")
     layout = merge_layout(headers)
     lines = answered.where(~is_header & (F.trim("line") != "")).select("source_file", "line")
     parsed = parse_by_file(lines, per_file(headers), layout, "keep" if on_error == "quarantine" else "fail")
+    bad = record_lines(df, inferred=header is None).select("source_file", "line").join(failed, "source_file").select(
+        "source_file", F.col("line").alias("raw"), F.col("error").alias("reason"))
     if on_error == "fail":
-        return parsed, failed.select("source_file", F.col("line").alias("raw"), F.col("error").alias("reason"))
+        return parsed, bad
     parsed = materialize(parsed, "piped-records")
-    bad = parsed.where(F.col("corrupt_reason").isNotNull()).select(
-        "source_file", F.col("corrupt_line").alias("raw"), F.col("corrupt_reason").alias("reason"))
-    bad = bad.unionByName(failed.select("source_file", F.col("line").alias("raw"), F.col("error").alias("reason")))
+    bad = bad.unionByName(parsed.where(F.col("corrupt_reason").isNotNull()).select(
+        "source_file", F.col("corrupt_line").alias("raw"), F.col("corrupt_reason").alias("reason")))
     good = parsed.where(F.col("corrupt_reason").isNull()).drop("corrupt_line", "corrupt_reason")
     return good, bad

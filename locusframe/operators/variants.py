@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import is_complex, one_based_pos, resolve_core_columns, safe_col, variant_id, variant_key
+from ..functions import one_based_pos, resolve_core_columns, text_unless_scalar, typed_columns, variant_id, variant_key
 
 PROVENANCE = ("filename", "source_file", "ingest_ts")
 KEY_COLUMNS = ("variant_id", "variant_key", "chrom", "pos", "ref", "alt")
@@ -48,7 +48,7 @@ def info_columns(df: DataFrame) -> list[str]:
 def flatten_info(df: DataFrame) -> list[Column]:
     """INFO columns in sorted order: scalars keep their type, nested values become JSON."""
     return [
-        (F.to_json(F.col(f"`{name}`")) if is_complex(df.schema[name].dataType) else F.col(f"`{name}`")).alias(name)
+        text_unless_scalar(F.col(f"`{name}`"), df.schema[name].dataType).alias(name)
         for name in info_columns(df)
     ]
 
@@ -62,8 +62,8 @@ def variants_flat(df: DataFrame) -> DataFrame:
     """The flat variant table: keys, site columns and INFO values, one row per allele."""
     site = [
         json_col(df, "names"),
-        safe_col(df, "qual", "double").alias("qual"),
+        *typed_columns(df, qual="double"),
         json_col(df, "filters"),
-        safe_col(df, "splitFromMultiAllelic", "boolean").alias("splitFromMultiAllelic"),
+        *typed_columns(df, splitFromMultiAllelic="boolean"),
     ]
     return explode_alleles(df, site + flatten_info(df))

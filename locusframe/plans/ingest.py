@@ -14,7 +14,7 @@ All files go through one plan, not a loop:
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -25,7 +25,7 @@ from ..operators.checks import quarantine
 from ..operators.consequences import consequences_flat, has_consequences
 from ..operators.genotypes import has_genotypes, variant_calls
 from ..operators.normalize import normalize_variants
-from ..operators.pipe import pipe_partitions
+from ..operators.pipe import COMMAND_FAILED, pipe_partitions
 from ..operators.split import split_multiallelics
 from ..operators.variants import variants_flat
 from ..scratch import materialize, scratch_run
@@ -34,7 +34,7 @@ from ..sources.files import VCF_SUFFIXES, discover_files
 from ..sources.header import per_file, read_headers
 from ..sources.tables import (
     CALLS_SCHEMA, CONSEQUENCES_SCHEMA, FILE_LOG_SCHEMA, PARTITION, QUARANTINE_SCHEMA, append_table, drop_files,
-    ensure_table, replace_files, reset_outputs,
+    ensure_table, replace_files, reset_outputs, rewrite_table,
 )
 from ..sources.vcf import read_vcf
 from ..sources.vcf_text import file_header
@@ -62,7 +62,7 @@ class IngestConfig:
     pipe_header_vcf: str | None = None
     reset_first: bool = False
     skip_bad_files: bool = True
-    max_malformed_share: float = 0.1
+    max_malformed_share: float | None = None
     capture_row_counts: bool = True
     match_allele: bool = False
     broadcast_bytes: int = 64 << 20
@@ -78,11 +78,13 @@ class IngestConfig:
         return f"{self.database}.{name}"
 
 
-def judge_files(files: DataFrame, headers: DataFrame, records: DataFrame, max_malformed_share: float) -> DataFrame:
+def judge_files(files: DataFrame, headers: DataFrame, records: DataFrame, max_malformed_share: float | None,
+                unreadable: DataFrame) -> DataFrame:
     """One row per listed file: path, filename, has_csq, has_genotypes, lines, malformed, error.
 
-    A file is bad if it has no title line, or if too many of its lines are malformed. Files without any
-    line are listed too.
+    A file is bad if it cannot be read, if it has no title line, or if more than ``max_malformed_share`` of
+    its lines are malformed (None: any number may be; they are in quarantine). Files without any line are
+    listed too.
     """
     counted = records.groupBy("source_file").agg(
         F.count(F.lit(1)).alias("lines"), F.count("corrupt_reason").alias("malformed"),
@@ -90,11 +92,13 @@ def judge_files(files: DataFrame, headers: DataFrame, records: DataFrame, max_ma
     sections = per_file(headers).select("source_file", "has_csq", "has_genotypes", F.lit(True).alias("has_header"))
     rows = (
         files.select(F.col("path").alias("source_file"), "filename")
-        .join(sections, "source_file", "left").join(counted, "source_file", "left"))
+        .join(sections, "source_file", "left").join(counted, "source_file", "left").join(unreadable, "source_file", "left"))
     lines, malformed = F.coalesce("lines", F.lit(0)), F.coalesce("malformed", F.lit(0))
+    too_many = F.lit(False) if max_malformed_share is None else malformed > lines * max_malformed_share
     error = (
-        F.when(F.col("has_header").isNull(), "file has no header")
-        .when(malformed > lines * max_malformed_share,
+        F.when(F.col("read_error").isNotNull(), F.col("read_error"))
+        .when(F.col("has_header").isNull(), "file has no header")
+        .when(too_many,
               F.concat(malformed.cast("string"), F.lit(" of "), lines.cast("string"),
                        F.lit(" lines malformed: "), F.col("first_reason"))))
     return rows.select(
@@ -103,6 +107,40 @@ def judge_files(files: DataFrame, headers: DataFrame, records: DataFrame, max_ma
         lines.alias("lines"), malformed.alias("malformed"), error.alias("error"))
 
 
+def unreadable_files(files: DataFrame) -> DataFrame:
+    """(source_file, read_error) of the gzip files that do not unpack, found by tasks that unpack them to the end."""
+    def test(batches: Iterator) -> Iterator:
+        import gzip
+        import zlib
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        schema = pa.schema([("source_file", pa.string()), ("read_error", pa.string())])
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                uri = path.replace("s3a://", "s3://", 1).replace("%", "%25").replace(" ", "%20")
+                system, inner = fs.FileSystem.from_uri(uri)
+                with system.open_input_stream(inner, compression=None) as stream, gzip.GzipFile(fileobj=stream) as unpacked:
+                    try:
+                        while unpacked.read(1 << 20):
+                            pass
+                    except (EOFError, gzip.BadGzipFile, zlib.error) as error:
+                        found = {"source_file": [path], "read_error": [f"file cannot be read: {error}"]}
+                        yield pa.RecordBatch.from_pydict(found, schema)
+
+    packed = files.where(F.lower("path").endswith(".gz")).select("path")
+    tasks = files.sparkSession.sparkContext.defaultParallelism * 4
+    return packed.repartition(tasks, "path").mapInArrow(test, "source_file string, read_error string")
+
+
+def _is_damage(error: Exception) -> bool:
+    """Whether a job ended because of what a file holds, not because of where it is."""
+    text = str(error)
+    return any(x in text for x in ("EOFException", "Unexpected end of", "ZipException", "not a gzip file", "incorrect header check",
+                                   "invalid stored block", "invalid block type", "invalid distance", "incorrect data check", "FAILED_READ_FILE"))
+
+
 def without_files(records: DataFrame, bad: DataFrame, bad_count: int, broadcast_rows: int = 100_000) -> DataFrame:
     """Drop the records of bad files; their list is broadcast while it is short."""
     if bad_count == 0:
@@ -142,22 +180,32 @@ def ingest(spark: SparkSession, cfg: IngestConfig) -> DataFrame:
     if cfg.reset_first:
         reset_outputs(spark, [cfg.table(name) for name in outputs])
     ensure_table(spark, cfg.table(FILE_LOG), FILE_LOG_SCHEMA)
-    ensure_table(spark, cfg.table(QUARANTINE), QUARANTINE_SCHEMA)
+    ensure_table(spark, cfg.table(QUARANTINE), QUARANTINE_SCHEMA, partition_by=PARTITION)
 
     with scratch_run(spark, f"ingest-{run_id}", keep=cfg.keep_scratch):
         files = materialize(discover_files(spark, cfg.source, cfg.suffixes, cfg.only, cfg.limit), "files")
         headers = materialize(read_headers(spark, files, cfg.header_method), "headers")
-        parsed = materialize(read_vcf(
-            spark, cfg.source, mode="keep", only=cfg.only, limit=cfg.limit, suffixes=cfg.suffixes, headers=headers,
-            broadcast_bytes=cfg.broadcast_bytes), "records")
+        options = {"mode": "keep", "only": cfg.only, "limit": cfg.limit, "suffixes": cfg.suffixes, "headers": headers,
+                   "broadcast_bytes": cfg.broadcast_bytes}
+        unreadable = spark.createDataFrame([], "source_file string, read_error string")
+        try:
+            parsed = materialize(read_vcf(spark, cfg.source, **options), "records")
+        except Exception as error:  # whole archives are unpacked a second time only if one is damaged
+            if not _is_damage(error):
+                raise
+            unreadable = materialize(unreadable_files(files), "unreadable")
+            names = [r.source_file for r in unreadable.select("source_file").toLocalIterator()]
+            if not names:
+                raise
+            parsed = materialize(read_vcf(spark, cfg.source, **options, without=names), "records")
 
         stats = Observation()
-        verdicts = judge_files(files, headers, parsed, cfg.max_malformed_share)
+        verdicts = judge_files(files, headers, parsed, cfg.max_malformed_share, unreadable)
         verdicts = materialize(verdicts.observe(stats, F.count("error").alias("bad"), F.min("error").alias("error")), "verdicts")
         bad_count = stats.get["bad"]
         if bad_count and not cfg.skip_bad_files:
             first = verdicts.where(F.col("error").isNotNull()).orderBy("source_file").first()
-            _log(verdicts, run_id, run_ts, cfg, None, None)
+            _log(verdicts.where(F.col("error").isNotNull()), run_id, run_ts, cfg, None, None)
             raise ValueError(f"{first.source_file}: {first.error}")
 
         good, rejected = quarantine(parsed)
@@ -176,16 +224,25 @@ def ingest(spark: SparkSession, cfg: IngestConfig) -> DataFrame:
             flags = records.groupBy("source_file").agg(F.bool_or("has_csq").alias("piped_csq"))
             verdicts = verdicts.join(flags, "source_file", "left").withColumn(
                 "has_csq", F.coalesce("piped_csq", "has_csq")).drop("piped_csq")
-        append_table(rejected.select("raw", "source_file", "reason"), cfg.table(QUARANTINE))
+        _replace_quarantine(spark, cfg, materialize(rejected, "rejected"), verdicts, run_id)
 
         replaced = verdicts.where(F.col("error").isNull())
         _write_outputs(spark, cfg, records, replaced, run_ts)
         counts = _file_counts(spark, cfg, replaced) if cfg.capture_row_counts else None
-        failed = piped_out.groupBy("source_file").agg(F.min("reason").alias("pipe_error")) if cfg.pipe_cmd else None
-        _log(verdicts, run_id, run_ts, cfg, counts, failed)
+        _log(verdicts, run_id, run_ts, cfg, counts, piped_out)
     return spark.table(cfg.table(FILE_LOG)).where(F.col("run_id") == run_id)
 
 
+def _replace_quarantine(spark: SparkSession, cfg: IngestConfig, rejected: DataFrame, files: DataFrame, run_id: str) -> None:
+    """The rejected lines of this run take the place of those that earlier runs had for the same files."""
+    name = cfg.table(QUARANTINE)
+    if PARTITION not in [c.name for c in spark.catalog.listColumns(name) if c.isPartition]:
+        rewrite_table(spark.table(name), name, PARTITION)  # a table of an older version
+    replace_files(rejected.select("raw", "reason", F.lit(run_id).alias("run_id"), "source_file"), name)
+    old = _rows_of(spark, name, files).where(F.col("run_id").isNull() | (F.col("run_id") != run_id))
+    drop_files(spark, name, [row[0] for row in old.select(PARTITION).distinct().toLocalIterator()])
+
+
 def _write_outputs(spark: SparkSession, cfg: IngestConfig, records: DataFrame, files: DataFrame, run_ts: datetime) -> None:
     stamped = provenance(records, F.col("source_file"), run_ts)
     replace_files(variants_flat(stamped.drop("has_csq")), cfg.table(VARIANTS))
@@ -202,10 +259,17 @@ def _write_outputs(spark: SparkSession, cfg: IngestConfig, records: DataFrame, f
 
 
 def _log(verdicts: DataFrame, run_id: str, run_ts: datetime, cfg: IngestConfig,
-         counts: DataFrame | None, pipe_failures: DataFrame | None) -> None:
-    """Append one row per file: what happened to it and how many rows it gave."""
-    rows = verdicts
-    for extra in (counts, pipe_failures):
+         counts: DataFrame | None, piped_out: DataFrame | None) -> None:
+    """Append one row per file: what happened to it and how many rows it gave.
+
+    A file is skipped at its reading if it has an error there, skipped in the pipe if the command failed on
+    it, and else processed, with the reason of a rejected answer as error if there is one.
+    """
+    rows, failures = verdicts, None
+    if piped_out is not None:
+        failures = piped_out.groupBy("source_file").agg(
+            F.min("reason").alias("pipe_error"), F.max(F.col("reason").startswith(COMMAND_FAILED)).alias("pipe_failed"))
+    for extra in (counts, failures):
         if extra is not None:
             rows = rows.join(extra, "source_file", "left")
 
@@ -213,9 +277,8 @@ def _log(verdicts: DataFrame, run_id: str, run_ts: datetime, cfg: IngestConfig,
         return F.col(name) if name in rows.columns else F.lit(None).cast(ddl)
 
     read_error, pipe_error = F.col("error"), given("pipe_error", "string")
-    lost = pipe_error.isNotNull() & (F.coalesce(given("variants_rows", "bigint"), F.lit(0)) == 0)
     good = read_error.isNull()
-    stopped = not cfg.skip_bad_files and counts is None and pipe_failures is None
+    lost = good & F.coalesce(given("pipe_failed", "boolean"), F.lit(False))
     done = good & ~lost
 
     def counted(name: str):
@@ -237,7 +300,4 @@ def _log(verdicts: DataFrame, run_id: str, run_ts: datetime, cfg: IngestConfig,
         counted("variants_rows"), counted("calls_rows"), counted("csq_rows"),
         F.substring(F.coalesce(read_error, pipe_error), 1, ERROR_CHARS).alias("error"),
     ]
-    log = rows.select(*columns)
-    if stopped:
-        log = log.where(F.col("status") == "skipped")
-    append_table(log, cfg.table(FILE_LOG))
+    append_table(rows.select(*columns), cfg.table(FILE_LOG))

@@ -72,6 +72,7 @@ def _head_reader():
     def read(batches: Iterator) -> Iterator:
         import gzip
         import io
+        import zlib
 
         import pyarrow as pa
         from pyarrow import fs
@@ -89,7 +90,7 @@ def _head_reader():
                             if not line.startswith("#"):
                                 break
                             lines.append(line.rstrip("\r\n"))
-                    except (EOFError, OSError):
+                    except (EOFError, gzip.BadGzipFile, zlib.error):
                         pass  # a damaged archive: whatever was readable is its header
                 yield pa.RecordBatch.from_pydict({"source_file": [path] * len(lines), "line": lines}, schema)
 

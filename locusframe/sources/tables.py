@@ -1,7 +1,8 @@
 """Result tables: write, append with new columns, replace by source file, placeholders, reset, load.
 
 Parquet tables of the session catalog. New columns are added to the catalog entry first, so older
-files give NULL for them and no reader has to merge file schemas.
+files give NULL for them and no reader has to merge file schemas. Columns whose type changes between runs
+widen and never lose a value.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 PARTITION = "source_file"
 
@@ -29,7 +30,11 @@ FILE_LOG_SCHEMA = (
     "stage string, pipe_enabled boolean, pipe_cmd string, pipe_header_mode string, pipe_header_vcf string, "
     "pipe_quarantine_table string, has_csq boolean, has_genotypes boolean, variants_rows bigint, "
     "calls_rows bigint, csq_rows bigint, error string")
-QUARANTINE_SCHEMA = "raw string, source_file string, reason string"
+QUARANTINE_SCHEMA = "raw string, reason string, run_id string, source_file string"
+
+#: Types that hold every value of the ones before them. A 64-bit integer does not fit a double.
+_NUMBERS = (T.BooleanType(), T.IntegerType(), T.DoubleType(), T.StringType())
+_LONGS = (T.BooleanType(), T.IntegerType(), T.LongType(), T.StringType())
 
 
 def write_table(df: DataFrame, name: str, mode: str = "overwrite", partition_by: str | None = None,
@@ -43,29 +48,91 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite", partition_by:
     writer.saveAsTable(name)
 
 
-def add_missing_columns(df: DataFrame, name: str) -> DataFrame:
-    """Make table and frame agree: new columns are added to the table, absent ones to the frame as NULL."""
+def common_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The narrowest type that holds all values of both: numbers widen, a scalar beside an array becomes one, the rest is text."""
+    if a == b:
+        return a
+    for order in (_NUMBERS, _LONGS):
+        if a in order and b in order:
+            return order[max(order.index(a), order.index(b))]
+    if isinstance(a, T.ArrayType) or isinstance(b, T.ArrayType):
+        inner = [t.elementType if isinstance(t, T.ArrayType) else t for t in (a, b)]
+        if not any(isinstance(t, (T.StructType, T.MapType, T.ArrayType)) for t in inner):
+            return T.ArrayType(common_type(*inner))
+    return T.StringType()
+
+
+def widened(column: Column, own: T.DataType, wanted: T.DataType) -> Column:
+    """A column as a type that ``common_type`` gave for it."""
+    if own == wanted:
+        return column
+    if isinstance(wanted, T.ArrayType):
+        if isinstance(own, T.ArrayType):
+            return F.transform(column, lambda x: widened(x, own.elementType, wanted.elementType))
+        return F.when(column.isNotNull(), F.array(widened(column, own, wanted.elementType)))
+    if isinstance(own, (T.StructType, T.MapType, T.ArrayType)):
+        return F.to_json(column)
+    return column.cast(wanted)
+
+
+def _widen_table(spark: SparkSession, name: str, wanted: dict[str, T.DataType]) -> None:
+    """Rewrite a table with wider columns under another name, then let it take the place of the old one."""
+    table = spark.table(name)
+    columns = [widened(F.col(f"`{f.name}`"), f.dataType, wanted[f.name]).alias(f.name) if f.name in wanted else F.col(f"`{f.name}`")
+               for f in table.schema.fields]
+    partitions = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    rewrite_table(table.select(*columns), name, partitions[0] if partitions else None)
+
+
+def rewrite_table(df: DataFrame, name: str, partition_by: str | None = None) -> None:
+    """Replace a table by a frame that reads it: by way of another table, which a broken run leaves whole.
+
+    It is written twice and not renamed, as catalogs keep the old places of a renamed table's partitions.
+    """
+    spark, other = df.sparkSession, f"{name}__rewritten"
+    spark.sql(f"DROP TABLE IF EXISTS {other}")
+    write_table(df, other, partition_by=partition_by)
+    write_table(spark.table(other), name, partition_by=partition_by)
+    spark.sql(f"DROP TABLE {other}")
+
+
+def agree_on_columns(df: DataFrame, name: str) -> DataFrame:
+    """Make table and frame agree, without loss.
+
+    New columns are added to the table, absent ones to the frame as NULL. Where the types of a column differ
+    both sides take the type that holds all values of both: the frame by a cast, the table by a rewrite.
+    """
     spark = df.sparkSession
     table = spark.table(name).schema
-    known = {f.name.lower() for f in table.fields}
+    known = {f.name.lower(): f for f in table.fields}
     new = [f for f in df.schema.fields if f.name.lower() not in known]
     if new:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
-        table = spark.table(name).schema
-    given = {c.lower() for c in df.columns}
+    given = {f.name.lower(): f for f in df.schema.fields}
+    plain = {k: T.StringType() if isinstance(f.dataType, (T.CharType, T.VarcharType)) else f.dataType for k, f in known.items()}
+    wider = {f.name: common_type(plain[k], given[k].dataType) for k, f in known.items()
+             if k in given and not same_type(common_type(plain[k], given[k].dataType), plain[k])}
+    if wider:
+        _widen_table(spark, name, wider)
     return df.select(*[
-        F.col(f"`{f.name}`") if f.name.lower() in given else F.lit(None).cast(f.dataType).alias(f.name)
-        for f in table.fields
+        widened(F.col(f"`{given[f.name.lower()].name}`"), given[f.name.lower()].dataType,
+                common_type(f.dataType, given[f.name.lower()].dataType)).alias(f.name)
+        if f.name.lower() in given else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in spark.table(name).schema.fields
     ])
 
 
+def same_type(a: T.DataType, b: T.DataType) -> bool:
+    return a.simpleString() == b.simpleString()
+
+
 def append_table(df: DataFrame, name: str, partition_by: str | None = None) -> None:
     """Append; columns the table lacks are added to it, columns the frame lacks become NULL."""
     if not df.sparkSession.catalog.tableExists(name):
         write_table(df, name, partition_by=partition_by)
     else:
-        add_missing_columns(df, name).write.insertInto(name)
+        agree_on_columns(df, name).write.insertInto(name)
 
 
 @contextmanager
@@ -88,16 +155,17 @@ def replace_files(df: DataFrame, name: str) -> None:
     if not df.sparkSession.catalog.tableExists(name):
         write_table(df, name, partition_by=PARTITION)
     else:
-        rows = add_missing_columns(df, name)
+        rows = agree_on_columns(df, name)
         with _overwrite_only_written_partitions(df.sparkSession):
             rows.write.insertInto(name, overwrite=True)
 
 
 def drop_files(spark: SparkSession, name: str, files: Iterable[str]) -> None:
     """Drop the partitions of the given source files."""
-    for path in files:
-        literal = path.replace("\\", "\\\\").replace("'", "\\'")
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({PARTITION}='{literal}')")
+    names = [path.replace("\\", "\\\\").replace("'", "\\'") for path in files]
+    for begin in range(0, len(names), 1000):
+        parts = ", ".join(f"PARTITION ({PARTITION}='{x}')" for x in names[begin:begin + 1000])
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {parts}")
 
 
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType | str, first_write: bool = False,

@@ -174,7 +174,8 @@ def parse_records(lines: DataFrame, files: DataFrame, layout: Layout, mode: str
 
 
 def scan_lines(spark: SparkSession, paths: str | Sequence[str], suffixes: Sequence[str] = VCF_SUFFIXES,
-               only: Iterable[str] | None = None, last_path: str | None = None) -> DataFrame:
+               only: Iterable[str] | None = None, last_path: str | None = None,
+               without: Sequence[str] = ()) -> DataFrame:
     """Data lines (source_file, line) of the matching files; other files are dropped when listing."""
     reader = spark.read.option("pathGlobFilter", suffix_glob(suffixes))
     raw = reader.text([paths] if isinstance(paths, str) else list(paths))
@@ -183,6 +184,8 @@ def scan_lines(spark: SparkSession, paths: str | Sequence[str], suffixes: Sequen
         raw = raw.where(basename(path).isin(sorted(set(only))))
     if last_path is not None:
         raw = raw.where(path <= last_path)
+    if without:
+        raw = raw.where(~path.isin(list(without)))
     lines = raw.select(path.alias("source_file"), F.col("value").alias("line"))
     return lines.where(~F.col("line").startswith("#") & (F.col("line") != ""))
 
@@ -191,10 +194,12 @@ def read_vcf(
     spark: SparkSession, paths: str | Sequence[str], mode: str = "drop", only: Iterable[str] | None = None,
     limit: int | None = None, suffixes: Sequence[str] = VCF_SUFFIXES, headers: DataFrame | None = None,
     header_method: str = "auto", gz_spread_bytes: int = 128 << 20, broadcast_bytes: int = 64 << 20,
+    without: Sequence[str] = (),
 ) -> DataFrame:
     """All variant-call files of a folder (or the given paths) as one frame of nested records.
 
-    ``headers`` takes header lines already read; ``header_method`` is that of :func:`read_headers`. Large gzip files, which one task must unpack, are
+    ``headers`` takes header lines already read; ``header_method`` is that of :func:`read_headers`;
+    ``without`` names paths to leave out. Large gzip files, which one task must unpack, are
     spread over tasks before the parse. The per-file header table is broadcast in groups of files whose
     sample names fit ``broadcast_bytes``, so it never has to be broadcast whole.
     """
@@ -206,7 +211,7 @@ def read_vcf(
     gz = F.col("path").endswith("gz")
     sizes = files.agg(F.max("path").alias("last"), F.sum(F.when(gz, F.col("length"))).alias("gz"),
                       F.max(F.when(gz, F.col("length"))).alias("largest_gz")).first()
-    lines = scan_lines(spark, paths, suffixes, only, last_path=sizes.last if limit is not None else None)
+    lines = scan_lines(spark, paths, suffixes, only, last_path=sizes.last if limit is not None else None, without=without)
     if (sizes.largest_gz or 0) > gz_spread_bytes:
         packed = F.lower("source_file").endswith(".gz")
         parts = max(spark.sparkContext.defaultParallelism, math.ceil(sizes.gz * 8 / gz_spread_bytes))

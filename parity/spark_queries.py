@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import locusframe as lf
-from locusframe.functions import provenance, resolve_core_columns, safe_col
+from locusframe.functions import provenance, resolve_core_columns, typed_columns
 from locusframe.operators.genotypes import CALLER_FIELDS
 from locusframe.scratch import materialize
 from locusframe.sources.header import merge_layout, per_file
@@ -75,7 +75,7 @@ def core_columns_alt_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def safe_missing_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _records(spark, sf_dir)
-    return df.select("rec", safe_col(df, "qual", "double").alias("qual"), safe_col(df, "absent", "int").alias("absent"))
+    return df.select("rec", *typed_columns(df, qual="double", absent="int"))
 
 
 @query

@@ -246,3 +246,55 @@ def test_calls_are_samples_times_alleles(spark, folder):
     df = lf.read_vcf(spark, str(folder))
     want = df.agg(F.sum(F.size("genotypes") * F.greatest(F.size("alternateAlleles"), F.lit(1)))).first()[0]
     assert lf.variant_calls(df).count() == want == 6
+
+
+def test_wider_types_lose_nothing(spark, folder, database):
+    for number, (kind, value) in enumerate([("Integer", "7"), ("Float", "0.75"), ("String", "x1"), ("Integer", "3")]):
+        vcf(folder / f"f{number}.vcf", [info("X", 1, kind)], [line("1", number + 1, ".", "A", "T", ".", ".", f"X={value}")])
+        log = lf.ingest(spark, lf.IngestConfig(str(folder), database, only=frozenset({f"f{number}.vcf"}))).first()
+        assert log.status == "processed"
+        held = sorted(str(r.INFO_X) for r in spark.table(f"{database}.variants_flat").collect())
+        assert held == [["7"], ["0.75", "7.0"], ["0.75", "7.0", "x1"], ["0.75", "3", "7.0", "x1"]][number]
+
+
+def test_scalar_beside_array_and_large_numbers(spark, database):
+    name = f"{database}.grown"
+    lf.write_table(spark.sql("SELECT 1 AS k, 5 AS a, CAST(9007199254740993 AS bigint) AS b"), name)
+    lf.append_table(spark.sql("SELECT 2 AS k, array(1.5D, 2D) AS a, 0.5D AS b"), name)
+    rows = {r.k: (r.a, r.b) for r in spark.table(name).collect()}
+    assert rows == {1: ([5.0], "9007199254740993"), 2: ([1.5, 2.0], "0.5")}
+
+
+def test_damaged_archive_is_skipped_and_logged(spark, folder, database):
+    import gzip
+
+    vcf(folder / "good.vcf", STANDARD, [ROW], ["S1", "S2"])
+    text = (folder / "good.vcf").read_bytes() + b"".join(b"chr1\t%d\t.\tA\tT\t.\t.\t.\tGT\t0/1\t%d/1\n" % (k, k * k % 7) for k in range(4000))
+    packed = gzip.compress(text)
+    (folder / "cut.vcf.gz").write_bytes(packed[:len(packed) // 2])
+    log = log_rows(lf.ingest(spark, lf.IngestConfig(str(folder), database)))
+    assert (log["good.vcf"].status, log["good.vcf"].variants_rows) == ("processed", 2)
+    assert (log["cut.vcf.gz"].status, log["cut.vcf.gz"].stage) == ("skipped", "read")
+    assert log["cut.vcf.gz"].error.startswith("file cannot be read")
+
+
+def test_pipe_cuts_at_line_feeds_only_and_starts_once_per_file(spark, folder, tmp_path):
+    odd = "a\x85b\u2028c\x0cd"
+    vcf(folder / "a.vcf", [info("T", 1, "String")], [line("1", k + 1, ".", "A", "T", ".", ".", f"T={odd}") for k in range(500)])
+    starts = tmp_path / "starts"
+    cmd = ["/bin/sh", "-c", f"echo x >> {starts}; cat"]
+    good, bad = lf.pipe_partitions(lf.read_vcf(spark, str(folder)), cmd)
+    assert good.where(F.col("INFO_T") == odd).count() == 500 and bad.count() == 0
+    assert len(starts.read_text().split()) == 1
+
+
+def test_log_says_what_happened_without_counts(spark, folder, database):
+    vcf(folder / "a.vcf", STANDARD, [ROW], ["S1", "S2"])
+    plain = lf.IngestConfig(str(folder), database, skip_bad_files=False, capture_row_counts=False)
+    assert [(r.status, r.variants_rows) for r in lf.ingest(spark, plain).collect()] == [("processed", None)]
+    adds = lf.IngestConfig(str(folder), database, capture_row_counts=False, pipe_cmd=["/bin/sh", "-c", "cat; echo broken"])
+    for _ in range(2):  # rejected lines of a file are replaced, not doubled
+        log = lf.ingest(spark, adds).first()
+        assert (log.status, log.stage) == ("processed", "write") and "wrong number" in log.error
+        rejected = spark.table(f"{database}.vcf_pipe_quarantine").collect()
+        assert [(r.raw, r.run_id) for r in rejected] == [("broken", log.run_id)]
