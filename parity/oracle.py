@@ -168,11 +168,11 @@ UNION ALL SELECT false, false, count(*), 'none' FROM orders""",
     "consequences_raw": f"""WITH {C} SELECT {SITE}, csq_index,
   CASE WHEN csq IS NOT NULL THEN csq.Allele || '|' || csq.Consequence END AS CSQ_raw FROM c""",
     "calls_explode": f"WITH {G} SELECT variant_key, g.sampleId AS sample_id, g.depth AS depth FROM g",
-    "gt_string": f"WITH {G} SELECT g.sampleId AS sample_id, {gt()} AS GT, g.phased AS phased FROM g",
-    "call_dp_gq": f"WITH {G} SELECT g.sampleId AS sample_id, g.depth AS DP, g.conditionalQuality AS GQ FROM g",
-    "call_ad_pl": f"""WITH {G} SELECT g.sampleId AS sample_id, {js('g.alleleDepths')} AS AD,
+    "gt_string": f"WITH {G} SELECT variant_key, g.sampleId AS sample_id, {gt()} AS GT, g.phased AS phased FROM g",
+    "call_dp_gq": f"WITH {G} SELECT variant_key, g.sampleId AS sample_id, g.depth AS DP, g.conditionalQuality AS GQ FROM g",
+    "call_ad_pl": f"""WITH {G} SELECT variant_key, g.sampleId AS sample_id, {js('g.alleleDepths')} AS AD,
   {js('g.phredLikelihoods')} AS PL FROM g""",
-    "variant_calls": f"WITH {G} SELECT {CALL} FROM g",
+    "variant_calls": f"WITH {G} SELECT variant_key, {CALL} FROM g",
     "calls_short_names": f"""WITH {G} SELECT g.sampleId AS sample_id, NULL::varchar AS GT, g.depth AS DP,
   g.conditionalQuality AS GQ, {js('g.alleleDepths')} AS AD, {js('g.phredLikelihoods')} AS PL, NULL::boolean AS phased FROM g""",
     "calls_raw_fallback": f"""WITH {G} SELECT NULL::varchar AS sample_id, g.sampleId AS GT, NULL::int AS DP, NULL::int AS GQ,
@@ -211,6 +211,10 @@ UNION ALL SELECT false, false, count(*), 'none' FROM orders""",
     "write_read_back": f"WITH {A} SELECT {FLAT} FROM a",
     "schema_merge_append": f"""WITH {A} SELECT variant_key, NULL::varchar AS INFO_AC, INFO_DB, INFO_DP FROM a
 UNION ALL SELECT variant_key, {js('INFO_AC')}, NULL, NULL FROM a""",
+    "schema_widen_append": """SELECT 0 AS run, o_orderkey AS rec, (o_orderkey % 7)::double::varchar AS x,
+  '[' || (o_orderkey % 7) || ']' AS y FROM orders
+UNION ALL SELECT 1, o_orderkey, (o_orderkey / 4)::double::varchar, '[' || (o_orderkey % 7) || ']' FROM orders
+UNION ALL SELECT 2, o_orderkey, 'r' || o_orderkey, '[' || (o_orderkey % 5) || ']' FROM orders""",
     "replace_source_files": f"""WITH {A} SELECT 'batch' || (rec % 7) || '.vcf' AS filename, count(*) AS n,
   CASE WHEN rec % 7 = 3 THEN 0 ELSE count(*) END AS with_dp FROM a GROUP BY 1, rec % 7""",
     "placeholder_tables": f"""WITH {SUMS} SELECT 'variants_flat' AS table_name, variants_rows AS n FROM t

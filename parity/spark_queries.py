@@ -142,10 +142,10 @@ def calls_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _calls(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Calls with the key of their allele, so that values of another row cannot pass for right."""
     df = _records(spark, sf_dir)
-    key = F.concat_ws(":", F.col("rec").cast("string"), F.lit("g"))
-    rows = lf.variant_calls(df.withColumn("contigName", key))
-    return rows.select("sample_id", *columns)
+    keys = lf.explode_alleles(df, []).select("variant_id", "variant_key").distinct()
+    return lf.variant_calls(df).join(keys, "variant_id").select("variant_key", "sample_id", *columns)
 
 
 @query
@@ -165,7 +165,7 @@ def call_ad_pl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def variant_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lf.variant_calls(_records(spark, sf_dir)).drop("variant_id")
+    return _calls(spark, sf_dir, "GT", "DP", "GQ", "AD", "PL", "phased")
 
 
 @query
@@ -329,6 +329,17 @@ def schema_merge_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lf.load_table(spark, name).select("variant_key", "INFO_AC", "INFO_DB", "INFO_DP")
 
 
+@query
+def schema_widen_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column that is an integer, then a double, then text; and one that becomes an array."""
+    name = f"{fx.database(spark)}.grown"
+    rec = _records(spark, sf_dir).select("rec")
+    for run, (value, list_value) in enumerate((("rec % 7", "rec % 7"), ("rec / 4", "array(rec % 7)"), ("concat('r', rec)", "rec % 5"))):
+        kind = ("int", "double", "string")[run]
+        lf.append_table(rec.selectExpr(f"{run} AS run", "rec", f"cast({value} AS {kind}) AS x", f"{list_value} AS y"), name)
+    return lf.load_table(spark, name).select("run", "rec", "x", F.to_json("y").alias("y"))
+
+
 @query
 def replace_source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = f"{fx.database(spark)}.variants_flat"
