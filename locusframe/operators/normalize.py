@@ -219,6 +219,25 @@ def resolve_events(events: DataFrame, chunks: DataFrame, size: int) -> tuple[Dat
     return resolved, count, size_bytes
 
 
+def differing_references(df: DataFrame, chunks: DataFrame, size: int) -> DataFrame:
+    """The distinct (contigName, start, ref) whose reference allele is not what the reference holds there.
+
+    A narrow projection of the records is checked, each distinct one once. Where the reference has no bases
+    there is nothing to compare with.
+    """
+    refs = df.select("contigName", "start", F.upper("referenceAllele").alias("ref")).where(F.col("ref").rlike(BASES)).distinct()
+    start, last = F.col("start"), F.col("start") + F.length("ref") - 1
+    first_chunk, last_chunk = (F.call_function("div", x, F.lit(size)) for x in (start, last))
+    wanted = refs.where("start >= 0").withColumn("chunk", F.explode(F.sequence(first_chunk, last_chunk)))
+    rows = wanted.join(chunks.select("contigName", "chunk", "bases"), ["contigName", "chunk"])
+    chunk_start = F.col("chunk") * size
+    begin, end = F.greatest(start, chunk_start), F.least(last + 1, chunk_start + F.length("bases"))
+    count = F.greatest(end - begin, F.lit(0)).cast("int")
+    found = F.col("bases").substr((begin - chunk_start + 1).cast("int"), count)
+    expected = F.col("ref").substr((begin - start + 1).cast("int"), count)
+    return rows.where(F.upper(found) != expected).select("contigName", "start", "ref").distinct()
+
+
 def normalize_variants(
     df: DataFrame, chunks: DataFrame, chunk_size: int, broadcast_bytes: int = 64 << 20, salts: int = 16,
 ) -> DataFrame:
@@ -245,12 +264,24 @@ def normalize_variants(
         moved = salted.join(copies, [*match, F.col("_salt") == F.col("_other")], "left").drop("_salt", "_other")
         joined = moved.unionByName(rows.where(~movable), allowMissingColumns=True)
 
-    kind = F.col("_trim.kind")
+    wrong = materialize(differing_references(df, chunks, chunk_size).select(
+        F.col("contigName").alias("_wrong_contig"), F.col("start").alias("_wrong_start"), F.col("ref").alias("_wrong_ref")), "wrong-references")
+    wrong_bytes = wrong.agg(F.sum(F.length("_wrong_contig") + F.length("_wrong_ref") + 64)).first()[0] or 0
+    if wrong_bytes:
+        joined = joined.join(F.broadcast(wrong) if wrong_bytes <= broadcast_bytes else wrong, [
+            F.col("contigName") == F.col("_wrong_contig"), F.col("start") == F.col("_wrong_start"),
+            F.upper("referenceAllele") == F.col("_wrong_ref")], "left")
+    else:
+        joined = joined.withColumn("_wrong_ref", F.lit(None).cast("string"))
+
+    is_wrong = F.col("_wrong_ref").isNotNull()
+    kind = F.when(~is_wrong | (F.col("_trim.kind") == "symbolic"), F.col("_trim.kind"))
     new_start = F.when(kind == "trimmed", F.col("_trim.start")).otherwise(F.col("new_start"))
-    new_alleles = F.when(kind == "trimmed", F.col("_trim.alleles")).otherwise(F.col("new_alleles"))
+    new_alleles = F.when(kind == "trimmed", F.col("_trim.alleles")).otherwise(F.when(~is_wrong, F.col("new_alleles")))
     moved = new_alleles.isNotNull()
     new_ref = F.get(new_alleles, F.lit(0))
-    message = F.when(kind == "symbolic", "symbolic or unnamed allele").otherwise(F.col("message"))
+    message = F.when(kind == "symbolic", "symbolic or unnamed allele").when(
+        is_wrong, "REF differs from the reference").otherwise(F.col("message"))
     changes = {
         "start": F.when(moved, new_start).otherwise(F.col("start")),
         "end": F.when(moved, new_start + F.length(new_ref)).otherwise(F.col("end")) if "end" in df.columns else None,

@@ -164,3 +164,18 @@ def test_one_hot_event(spark, tmp_path):
         out = lf.normalize_variants(df, lf.reference_chunks(spark, path, 8), 8, broadcast_bytes=limit)
         rows = out.groupBy("start", "referenceAllele", "alternateAlleles").count().collect()
         assert [tuple(r) for r in rows] == [(0, "GA", ["G"], 5000)]
+
+
+@pytest.mark.parametrize("limit", [64 << 20, 0])
+def test_every_reference_allele_is_checked(spark, tmp_path, limit):
+    path = fasta(tmp_path / "r.fa", [("c", "GTTACAGT" * 3)])
+    chunks = lf.reference_chunks(spark, path, 4)
+    rows = [(0, "GTT", ["TTA"]), (0, "TTA", ["TTG"]), (3, "A", ["C"]), (3, "C", ["A"]), (5, "AGTG", ["AGTC"]), (5, "ACTG", ["ACTC"]),
+            (1, "TT", ["T"]), (1, "TA", ["T"]), (100, "A", ["C"])]
+    df = spark.createDataFrame([("c", s, s + len(r), r, a) for s, r, a in rows],
+                               "contigName string, start long, end long, referenceAllele string, alternateAlleles array<string>")
+    got = lf.normalize_variants(df, chunks, 4, broadcast_bytes=limit)
+    flagged = {(r.start, r.referenceAllele): r.normalizationStatus.changed for r in got.collect()
+               if r.normalizationStatus.errorMessage == "REF differs from the reference"}
+    assert flagged == {(0, "TTA"): False, (3, "C"): False, (5, "ACTG"): False, (1, "TA"): False}
+    assert got.where("normalizationStatus.errorMessage IS NULL").count() == 5
