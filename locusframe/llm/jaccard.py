@@ -109,12 +109,17 @@ def _similar(a: Column, b: Column, common: Column) -> Column:
     return 100 * common >= LEAST_PERCENT * (a + b - common)
 
 
-def _with_common(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (columns a, b) with na, nb and common, the size of the intersection."""
+def _differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` (columns a, b) with na, nb and delta, the shingles that only one of the two has."""
     left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
     return pairs.join(left, "a").join(right, "b").select(
-        *pairs.columns, "na", "nb", F.size(F.array_intersect("ta", "tb")).cast("long").alias("common"))
+        *pairs.columns, "na", "nb", F.concat(F.array_except("ta", "tb"), F.array_except("tb", "ta")).alias("delta"))
+
+
+def _common(a: Column, b: Column, apart: Column) -> Column:
+    """Shingles in both sets, from their sizes and the number that only one has."""
+    return (a + b - apart) / 2
 
 
 def _boundary(leads: DataFrame) -> int:
@@ -191,34 +196,35 @@ def links(sets: DataFrame) -> DataFrame:
         F.min("node").alias("hub"), F.count(F.lit(1)).alias("members"), F.max("heavy").alias("scanned"))
     hubs = materialize(hubs.where("members > 1 AND scanned"), "hubs")
     member = materialize(postings.join(hubs.select("key", "hub"), "key").select("hub", "node").distinct(), "hub-members")
-    measured = _with_common(member.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")), sets)
-    distance = 1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
+    measured = _differences(member.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")), sets)
+    common = _common(F.col("na"), F.col("nb"), F.size("delta"))
     star = materialize(measured.select(
-        "a", "b", F.col("nb").alias("n"), distance.alias("d"), _similar(F.col("na"), F.col("nb"), F.col("common")).alias("linked")), "stars")
+        "a", "b", F.col("nb").alias("n"), "delta", (1 - common / (F.col("na") + F.col("nb") - common)).alias("d"),
+        _similar(F.col("na"), F.col("nb"), common).alias("linked")), "stars")
+    exchange.release(sets.sparkSession)
     first = star.where("linked").select("a", "b")
     settled = materialize(components(first), "first-components")
     exchange.release(sets.sparkSession)
 
-    # Members of a hub that are in different components, in bands of their distance to the hub.
-    bands = star.select(F.col("a").alias("hub"), F.col("b").alias("node"), "n", "d").join(settled, "node", "left").select(
-        "hub", "node", "n", "d", F.coalesce("component", "node").alias("component"))
-    bands = materialize(bands, "bands")
-    mixed = bands.groupBy("hub").agg(F.min("component").alias("low"), F.max("component").alias("high")).where(
-        "low <> high").select("hub")
-    bands = materialize(bands.join(mixed, "hub", "left_semi"), "mixed-bands")
+    # Members of a hub that are in different components, in bands of their distance to the hub. What a member
+    # does not share with the hub says what two members do not share with each other.
+    bands = star.select(F.col("a").alias("hub"), F.col("b").alias("node"), "n", "d", "delta").join(settled, "node", "left").withColumn(
+        "component", F.coalesce("component", "node"))
+    mixed = materialize(bands.groupBy("hub").agg(F.min("component").alias("low"), F.max("component").alias("high")).where(
+        "low <> high").select("hub"), "mixed-hubs")
     reach = (100 - LEAST_PERCENT) / 100 + 1e-9
-    cell = F.floor(F.col("d") / reach).cast("long")
+    x = bands.join(mixed, "hub", "left_semi").withColumn("cell", F.floor(F.col("d") / reach).cast("long"))
     # Each side of a pair is spread over its cell and the next, so a pair meets once, in the larger cell.
-    x = bands.withColumn("cell", cell).withColumn("own", F.lit(True))
-    x = x.unionByName(x.withColumn("cell", F.col("cell") + 1).withColumn("own", F.lit(False)))
-    x = materialize(x, "cells")
-    p, q = (x.select("hub", "cell", *(F.col(c).alias(c + s) for c in ("node", "n", "d", "component", "own"))) for s in "pq")
-    small, large = F.least("np", "nq"), F.greatest("np", "nq")
-    close = (F.col("componentp") < F.col("componentq")) & (F.col("ownp") | F.col("ownq")) & (
-        F.abs(F.col("dp") - F.col("dq")) <= reach) & (F.col("dp") + F.col("dq") >= 0) & (100 * small >= LEAST_PERCENT * large)
-    rest = materialize(p.join(q, ["hub", "cell"]).where(close).select(
-        F.least("nodep", "nodeq").alias("a"), F.greatest("nodep", "nodeq").alias("b")).distinct(), "other-pairs")
-    second = _with_common(rest, sets).where(_similar(F.col("na"), F.col("nb"), F.col("common"))).select("a", "b")
+    x = materialize(x.withColumn("place", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("cell", F.col("cell") + F.col("place")), "cells")
+    p, q = (x.select("hub", "cell", *(F.col(c).alias(c + s) for c in ("node", "n", "d", "delta", "component", "place"))) for s in "pq")
+    smaller, larger = F.least("np", "nq"), F.greatest("np", "nq")
+    close = (F.col("componentp") < F.col("componentq")) & (F.col("placep") * F.col("placeq") == 0) & (
+        F.abs(F.col("dp") - F.col("dq")) <= reach) & (100 * smaller >= LEAST_PERCENT * larger)
+    apart = F.size("deltap") + F.size("deltaq") - 2 * F.size(F.array_intersect("deltap", "deltaq"))
+    # The join itself decides, so no pair leaves it that is not a link.
+    linked = F.when(close, _similar(F.col("np"), F.col("nq"), _common(F.col("np"), F.col("nq"), apart))).otherwise(False)
+    second = p.join(q, (p["hub"] == q["hub"]) & (p["cell"] == q["cell"]) & linked).select(
+        F.least("nodep", "nodeq").alias("a"), F.greatest("nodep", "nodeq").alias("b")).distinct()
     return materialize(first.unionByName(second), "all-links")
 
 
