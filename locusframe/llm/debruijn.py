@@ -139,6 +139,7 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             return grams[np.unique(at)]
 
         shared = exchange.shared_keys(copy, keys_of, bits, skip, "shared-minimizers", within=True)
+        exchange.release(copy.sparkSession)
         spans = _spans(_edges(copy, shared, skip, bits, salt))
         if _unverified(copy, spans).isEmpty():
             break

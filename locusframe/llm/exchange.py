@@ -86,7 +86,10 @@ def unsqueeze(data: bytes) -> np.ndarray:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of frames that are gone; it does so once the driver collects its garbage."""
+    """Let Spark delete the shuffle files of frames that are gone; it does so once the driver collects its garbage.
+
+    Call it where no variable holds such a frame any more.
+    """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 
@@ -137,7 +140,6 @@ def write_answers(df: DataFrame, label: str) -> str:
     parted = df.withColumn("part", F.pmod("batch", F.lit(ANSWER_PARTS)).cast("int"))
     parted.repartition("part").sortWithinPartitions("part", "batch").write.option(
         "compression", "zstd").partitionBy("part").parquet(path)
-    release(df.sparkSession)
     return path
 
 

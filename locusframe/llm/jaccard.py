@@ -81,6 +81,7 @@ def _survivors(copy: DataFrame, skip: str) -> DataFrame:
         return tokens[:leading(len(tokens), _filter_k(len(tokens)))] if len(tokens) else tokens
 
     shared = exchange.shared_keys(copy, leads, bits, skip, "shared-shingles")
+    exchange.release(copy.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         answers, skipped = exchange.Answers(shared), exchange.Answers(skip)

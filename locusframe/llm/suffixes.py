@@ -166,7 +166,9 @@ def _kept_bytes(copy: DataFrame, columns: list[str], schema: T.StructType, finis
     bits = exchange.bucket_bits(copy, len(COVER) / PERIOD)
     ties = exchange.shared_keys(
         copy, lambda text: sample_keys(hashing.to_bytes(text)), bits, skip, "tied-samples")
+    exchange.release(copy.sparkSession)
     earlier = _earlier_keys(copy, ties, bits, skip)
+    exchange.release(copy.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tie_answers, skipped, answers = exchange.Answers(ties), exchange.Answers(skip), exchange.Answers(earlier)
