@@ -186,6 +186,17 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return fit(np.array([r[1:] for r in rows]), y, tuple(FEATURES.values()))
 
 
+def verdicts(texts: list[str | None], forest: Forest | None, keep_from: float = KEEP_FROM) -> tuple[np.ndarray, ...]:
+    """Base statistics, whether the base rules failed, log odds, and whether a text is kept, for a batch of texts."""
+    base = np.array([base_statistics(t) for t in texts], np.int64).reshape(-1, len(BASE))
+    failed = (base[:, 0] < MIN_WORDS) | (100 * base[:, 4] > MAX_REPEAT_PERCENT * base[:, 0])
+    score = np.zeros(len(texts))
+    if forest is None or not len(texts):
+        return base, failed, score, ~failed
+    score = forest.score(np.array([features(t, tuple(map(int, b))) for t, b in zip(texts, base)]))
+    return base, failed, score, ~failed & (score >= float(np.log(keep_from / (1 - keep_from))))
+
+
 def assess(docs: DataFrame, forest: Forest | None, id_col: str = "doc_id", text_col: str = "text",
            keep_from: float = KEEP_FROM) -> DataFrame:
     """Per row: the id, base statistics, base_failed, quality_score (log odds), kept."""
@@ -193,17 +204,10 @@ def assess(docs: DataFrame, forest: Forest | None, id_col: str = "doc_id", text_
     schema = T.StructType([rows.schema[id_col], *(T.StructField(c, T.LongType()) for c in BASE),
                            T.StructField("base_failed", T.BooleanType()), T.StructField("quality_score", T.DoubleType()),
                            T.StructField("kept", T.BooleanType())])
-    least = float(np.log(keep_from / (1 - keep_from)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            base = np.array([base_statistics(t) for t in texts], np.int64).reshape(-1, len(BASE))
-            failed = (base[:, 0] < MIN_WORDS) | (100 * base[:, 4] > MAX_REPEAT_PERCENT * base[:, 0])
-            score = np.zeros(len(texts))
-            if forest is not None and len(texts):
-                score = forest.score(np.array([features(t, tuple(map(int, b))) for t, b in zip(texts, base)]))
-            kept = ~failed & ((score >= least) if forest is not None else True)
+            base, failed, score, kept = verdicts(batch.column(1).to_pylist(), forest, keep_from)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *map(pa.array, base.T), pa.array(failed), pa.array(score), pa.array(kept)], schema.names)
 
@@ -212,18 +216,10 @@ def assess(docs: DataFrame, forest: Forest | None, id_col: str = "doc_id", text_
 
 def keep_good(docs: DataFrame, forest: Forest | None, text_col: str = "text", keep_from: float = KEEP_FROM) -> DataFrame:
     """The rows of ``docs`` that the rules keep, all columns as they are."""
-    least, at = float(np.log(keep_from / (1 - keep_from))), docs.columns.index(text_col)
+    at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(at).to_pylist()
-            keep = []
-            for t in texts:
-                base = base_statistics(t)
-                good = base[0] >= MIN_WORDS and 100 * base[4] <= MAX_REPEAT_PERCENT * base[0]
-                if good and forest is not None:
-                    good = bool(forest.score(np.array([features(t, base)]))[0] >= least)
-                keep.append(good)
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            yield batch.filter(pa.array(verdicts(batch.column(at).to_pylist(), forest, keep_from)[3]))
 
     return docs.mapInArrow(run, docs.schema)
