@@ -11,6 +11,7 @@ scan reads those of the batches it meets. Scans can be repeated, so a lost execu
 from __future__ import annotations
 
 import gc
+import time
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -90,8 +91,10 @@ def release(spark: SparkSession) -> None:
 
     Call it where no variable holds such a frame any more.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # the first round lets go of what Python still named, the second finds it gone
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def segments(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
