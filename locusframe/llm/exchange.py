@@ -146,9 +146,28 @@ def write_answers(df: DataFrame, label: str) -> str:
     return path
 
 
-def contains(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
+class Members:
+    """Sorted keys with a table of their lowest bits, which settles most keys that are not among them."""
+
+    BITS = 24
+
+    def __init__(self, keys: np.ndarray):
+        self.keys, self.table = keys, np.zeros(1 << self.BITS if len(keys) else 1, bool)
+        self.mask = np.uint64(len(self.table) - 1)
+        self.table[keys & self.mask] = len(keys) > 0
+
+    def __len__(self) -> int:
+        return len(self.keys)
+
+
+def contains(sorted_keys: np.ndarray | Members, keys: np.ndarray) -> np.ndarray:
     if not len(sorted_keys):
         return np.zeros(len(keys), bool)
+    if isinstance(sorted_keys, Members):
+        found = sorted_keys.table[keys & sorted_keys.mask]
+        maybe = np.flatnonzero(found)
+        found[maybe] = contains(sorted_keys.keys, keys[maybe])
+        return found
     at = np.searchsorted(sorted_keys, keys)
     at[at == len(sorted_keys)] = 0
     return sorted_keys[at] == keys

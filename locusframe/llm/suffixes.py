@@ -59,15 +59,17 @@ def sample_keys(data: np.ndarray) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 
-def tied_windows(data: np.ndarray, ties: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+def tied_windows(data: np.ndarray, ties: np.ndarray | exchange.Members, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions and keys of the windows that hold a sample string which is tied."""
     n = len(data) - WIDTH + 1
     if n <= 0 or not len(ties):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     tied = cover_positions(len(data))[exchange.contains(ties, exchange.coarse(sample_keys(data), bits))]
     change = np.zeros(len(data) + 1, np.int32)
-    np.add.at(change, np.maximum(tied - PERIOD + 1, 0), 1)
-    np.add.at(change, tied + 1, -1)
+    begin = tied - PERIOD + 1  # positions are distinct, but for those before the text
+    change[0] = np.count_nonzero(begin <= 0)
+    change[begin[begin > 0]] += 1
+    change[tied + 1] -= 1
     at = np.flatnonzero(np.cumsum(change[:n]) > 0)
     keys = []
     for begin, end in _slices(len(data), WIDTH):
@@ -93,7 +95,7 @@ def _earlier_keys(copy: DataFrame, ties: str, bits: int, skip: str) -> str:
         answers, skipped = exchange.Answers(ties), exchange.Answers(skip)
         for whole in batches:
             for number, part in exchange.segments(whole):
-                out, tied, keys, owners, size = set(skipped.values(number, "row").tolist()), answers.keys(number, "keys"), [], [], 0
+                out, tied, keys, owners, size = set(skipped.values(number, "row").tolist()), exchange.Members(answers.keys(number, "keys")), [], [], 0
                 for row, text, doc in zip(*(part.column(k).to_pylist() for k in (1, 2, 3))):
                     if row in out:
                         continue
@@ -174,8 +176,8 @@ def _kept_bytes(copy: DataFrame, columns: list[str], schema: T.StructType, finis
         tie_answers, skipped, answers = exchange.Answers(ties), exchange.Answers(skip), exchange.Answers(earlier)
         for whole in batches:
             for number, part in exchange.segments(whole):
-                out, tied = set(skipped.values(number, "row").tolist()), tie_answers.keys(number, "keys")
-                before, inside, first = answers.keys(number, "before"), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+                out, tied = set(skipped.values(number, "row").tolist()), exchange.Members(tie_answers.keys(number, "keys"))
+                before, inside, first = exchange.Members(answers.keys(number, "before")), np.zeros(0, np.uint64), np.zeros(0, np.int64)
                 if (table := answers.of(number)) is not None:
                     pairs = [(exchange.unsqueeze(k), exchange.unpack(f).view(np.int64)) for k, f in zip(
                         table.column("inside").to_pylist(), table.column("first").to_pylist()) if k]
@@ -196,8 +198,8 @@ def _kept_bytes(copy: DataFrame, columns: list[str], schema: T.StructType, finis
                         k = np.minimum(np.searchsorted(inside, keys), len(inside) - 1)
                         gone |= (inside[k] == keys) & (first[k] < (_LAST if doc is None else doc))
                     change = np.zeros(n + 1, np.int32)
-                    np.add.at(change, at[gone], 1)
-                    np.add.at(change, at[gone] + WIDTH, -1)
+                    change[at[gone]] += 1
+                    change[at[gone] + WIDTH] -= 1
                     removed = np.cumsum(change[:n]) > 0
                     spans = int(np.count_nonzero(np.diff(removed.astype(np.int8), prepend=0) == 1))
                     results.append(finish(data[~removed].tobytes(), n, int(removed.sum()), spans))
