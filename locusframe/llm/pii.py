@@ -1,14 +1,18 @@
 """Personal data by rules, and by a character-level bidirectional LSTM with CRF transitions.
 
 Base spans come from fixed patterns and always stay. The network is trained in numpy on labelled spans: base
-spans of a bounded sample of rows, in their contexts, and the same spans as people disguise them, (at) for @,
-[.] for a dot, no plus sign. It adds spans that the patterns miss.
+spans of a bounded sample of rows, in their contexts, and the same spans as people disguise them, (at) or at for
+@, [.] or dot for a dot, no plus sign, also with long names. It adds spans that the patterns miss.
 
-Personal data of these kinds hold a digit, an @ or a written-out (at). Stretches of text around such places
-are cut into overlapping windows; the network scores each window; scores of a character are averaged over
-its windows, more weight to those where it is central; and one Viterbi pass over a whole stretch reconciles
-them, so a span that several windows see is one span. Text far from such places is not scored, whatever its
-length. What is added must score well against no span and must not overlap a base span.
+A whole text is cut into overlapping windows; the network scores each window; scores of a character are
+averaged over its windows, more weight to those where it is central; and one Viterbi pass over the whole text
+reconciles them, so a span that several windows see is one span. What is added must score well against no
+span, must not overlap a base span, and must hold an anchor: a digit, an @ or the word at.
+
+Spans are those of the whole text, but windows that cannot matter are left out: no span is without an anchor,
+and around anchors windows are scored until the best path is settled, that is, until the tags of the anchor
+and of its whole run are the same for every tag the path may have at the two edges of what was scored. The
+path through the whole text has some tags there, so it is the same as well, however far away its text goes on.
 
 A null text counts as empty: no spans. Repeated rows get equal spans. If the sample holds no base span there
 is nothing to train on and base spans alone are given. An empty table gives an empty result. Columns other
@@ -31,8 +35,8 @@ TAGS = len(KINDS) + 1  # the first is: no personal data
 
 #: Rows that the network is fitted on, chosen by a hash of their id, and windows taken of a row at most.
 SAMPLE_ROWS, SAMPLE_WINDOWS = 600, 16
-WIDTH, STRIDE, REACH, HIDDEN = 64, 32, 24, 16
-STEPS, BATCH, RATE = 160, 96, 0.02
+WIDTH, STRIDE, HIDDEN = 64, 32, 16
+STEPS, BATCH, RATE = 480, 96, 0.02
 #: Least mean advantage of a span's tags over no personal data, in log space.
 MARGIN = 3.0
 
@@ -42,7 +46,10 @@ _DOTTED = re.compile(r"[0-9][0-9.]*")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_ANCHOR = re.compile(r"[0-9@]|[(\[]at[)\]]")
+_AT = re.compile(r"(?<![^\W_])at(?![^\W_])", re.I)
+_DOT = re.compile(r"\.|(?<![^\W_])dot(?![^\W_])", re.I)
+#: Whatever ``_is_plausible`` accepts holds a match from its first character to the last.
+_ANCHOR = re.compile(f"[0-9@]|{_AT.pattern}", re.I)
 
 
 def luhn(digits: str) -> bool:
@@ -108,18 +115,6 @@ def symbols(text: str) -> np.ndarray:
     return out
 
 
-def stretches(text: str) -> list[tuple[int, int]]:
-    """Parts of the text within ``REACH`` of a digit, an @ or a written-out (at)."""
-    found: list[tuple[int, int]] = []
-    for match in _ANCHOR.finditer(text):
-        begin, end = max(0, match.start() - REACH), min(len(text), match.end() + REACH)
-        if found and begin <= found[-1][1]:
-            found[-1] = (found[-1][0], end)
-        else:
-            found.append((begin, end))
-    return found
-
-
 class Network:
     """Parameters, scores of windows, and gradients."""
 
@@ -232,6 +227,46 @@ def viterbi(scores: np.ndarray, moves: np.ndarray) -> np.ndarray:
     return tags
 
 
+def settled_paths(scores: list[np.ndarray], moves: np.ndarray, is_open: list[tuple[bool, bool]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of each part of a text the best tags, and where they are the same whatever the tags at its open edges.
+
+    An edge that is not open is one of the text. Parts are walked together, the longest first.
+    """
+    order = sorted(range(len(scores)), key=lambda k: -len(scores[k]))
+    sizes = np.array([len(scores[k]) for k in order])
+    padded = np.zeros((sizes[0], len(order), TAGS), np.float32)
+    for at, k in enumerate(order):
+        padded[:len(scores[k]), at] = scores[k]
+    left, right = (np.array([is_open[k][side] for k in order]) for side in (0, 1))
+    # best[part, tag at the left edge, tag]
+    best = np.repeat(padded[0][:, None], TAGS, 1)
+    best[left] += np.where(np.eye(TAGS, dtype=bool), np.float32(0), np.float32(-1e9))
+    came = np.zeros((sizes[0], len(order), TAGS, TAGS), np.int8)
+    counts = [int(np.searchsorted(-sizes, -t)) for t in range(sizes[0] + 1)]  # parts longer than t
+    for t in range(1, sizes[0]):
+        n = counts[t]
+        before = best[:n]
+        top, origin = before[:, :, :1] + moves[0], came[t, :n]
+        for tag in range(1, TAGS):
+            way = before[:, :, tag:tag + 1] + moves[tag]
+            origin[way > top] = tag
+            np.maximum(top, way, out=top)
+        top += padded[t, :n, None]
+        best[:n] = top - top.max(2, keepdims=True)
+    # path[part, tag at the left edge, tag at the right edge]
+    path = np.repeat(best.argmax(2)[:, :, None], TAGS, 2)
+    path[right] = np.arange(TAGS)
+    tags, same = np.zeros((sizes[0], len(order)), np.int8), np.zeros((sizes[0], len(order)), bool)
+    for t in range(sizes[0] - 1, -1, -1):
+        own = path[:counts[t]]
+        tags[t, :len(own)] = own[:, 0, 0]
+        same[t, :len(own)] = (own == own[:, :1, :1]).all((1, 2))
+        if t:
+            own[:] = np.take_along_axis(came[t, :len(own)], own, 2)
+    place = {k: at for at, k in enumerate(order)}
+    return [(tags[:len(x), place[k]], same[:len(x), place[k]]) for k, x in enumerate(scores)]
+
+
 #: Weight of a character by its place in a window.
 _WEIGHT = np.minimum(np.arange(1, WIDTH + 1), np.arange(WIDTH, 0, -1)).astype(np.float32)
 
@@ -241,57 +276,127 @@ def _windows(begin: int, end: int) -> list[int]:
     return list(range(begin, max(begin + 1, end - WIDTH + STRIDE), STRIDE))
 
 
-def _is_plausible(kind: int, text: str) -> bool:
-    digits = len(_DIGIT.findall(text))
+def _is_plausible(kind: int, text: str, begin: int, end: int) -> bool:
+    piece = text[begin:end]
+    digits = len(_DIGIT.findall(piece))
     if kind == 0:
-        return ("@" in text or "(at)" in text or "[at]" in text) and len(text) >= 6
+        at = _AT.search(text, begin, end)  # the bare word needs a dot behind it
+        return len(piece) >= 6 and bool("@" in piece or at and (
+            "(at)" in piece or "[at]" in piece or _DOT.search(text, at.end(), end)))
     return (4 <= digits <= 12, 13 <= digits <= 19, 7 <= digits <= 15)[kind - 1]
 
 
+class _Scores:
+    """Scores of the characters of some texts; a window is scored when it is first needed."""
+
+    def __init__(self, network: Network, texts: list[str]):
+        self.network, self.texts, self.marks = network, texts, {}
+        self.row: dict[tuple[int, int], int] = {}
+        self.table = np.zeros((1, WIDTH, TAGS), np.float32)  # the first row stands for windows that do not exist
+
+    def of(self, parts: list[tuple[int, int, int]]) -> list[np.ndarray]:
+        """Of each part: text, first character, a multiple of the stride, and the character after the last."""
+        wanted, missing = [], []
+        for k, begin, end in parts:
+            last = _windows(0, len(self.texts[k]))[-1]
+            for at in range(begin, end, STRIDE):
+                pair = [(k, x) if 0 <= x <= last else None for x in (at - STRIDE, at)]
+                wanted.append(pair)
+                for window in pair:
+                    if window and window not in self.row:
+                        self.row[window] = len(self.table) + len(missing)
+                        missing.append(window)
+        made = [self.table]
+        for first in range(0, len(missing), 2048):
+            some = np.zeros((len(missing[first:first + 2048]), WIDTH), np.int64)
+            for row, (k, at) in zip(some, missing[first:first + 2048]):
+                if k not in self.marks:
+                    self.marks[k] = symbols(self.texts[k])
+                cut = self.marks[k][at:at + WIDTH]
+                row[:len(cut)] = cut
+            made.append(self.network.score(some))
+        self.table = np.concatenate(made)
+        rows = np.array([[self.row[w] if w else 0 for w in pair] for pair in wanted])
+        weights = [_WEIGHT[half] * (rows[:, side] > 0)[:, None] for side, half in enumerate((slice(STRIDE, WIDTH), slice(0, STRIDE)))]
+        total = (self.table[rows[:, 0], STRIDE:] * weights[0][:, :, None] + self.table[rows[:, 1], :STRIDE] * weights[1][:, :, None])
+        total /= (weights[0] + weights[1])[:, :, None]
+        out, at = [], 0
+        for _, begin, end in parts:
+            blocks = -(-(end - begin) // STRIDE)
+            out.append(total[at:at + blocks].reshape(-1, TAGS)[:end - begin])
+            at += blocks
+        return out
+
+
+def _groups(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Texts that are taken together."""
+    begin, size = 0, 0
+    for k, text in enumerate(texts):
+        if k > begin and (k - begin == 256 or size + len(text) > 2_000_000):
+            yield begin, k
+            begin, size = k, 0
+        size += len(text)
+    if begin < len(texts):
+        yield begin, len(texts)
+
+
 def find(network: Network | None, texts: list[str]) -> list[list[tuple[int, int, int]]]:
     """All spans of each text: base ones and what the network adds."""
     found = [base_spans(t) for t in texts]
     if network is None:
         return found
-    moves = network.p["moves"]
-    for first in range(0, len(texts), 256):
-        places, rows = [], []
-        for k, text in enumerate(texts[first:first + 256], first):
-            parts = stretches(text)
-            if not parts:
-                continue
-            marks = symbols(text)
-            for begin, end in parts:
-                for at in _windows(begin, end):
-                    cut = marks[at:min(at + WIDTH, end)]
-                    rows.append(np.pad(cut, (0, WIDTH - len(cut)), constant_values=0))
-                    places.append((k, begin, end, at))
-        scores = [network.score(np.stack(rows[a:a + 2048])) for a in range(0, len(rows), 2048)]
-        scores = np.concatenate(scores) if scores else []
-        at = 0
-        while at < len(places):
-            k, begin, end, _ = places[at]
-            total, weight = np.zeros((end - begin, TAGS), np.float32), np.zeros(end - begin, np.float32)
-            while at < len(places) and places[at][:3] == (k, begin, end):
-                start = places[at][3]
-                width = min(WIDTH, end - start)
-                total[start - begin:start - begin + width] += scores[at][:width] * _WEIGHT[:width, None]
-                weight[start - begin:start - begin + width] += _WEIGHT[:width]
-                at += 1
-            found[k] = sorted(found[k] + _added(texts[k], begin, total / weight[:, None], moves, found[k]))
+    for first, last in _groups(texts):
+        scores, jobs = _Scores(network, texts[first:last]), []
+        added: list[set[tuple[int, int, int]]] = [set() for _ in range(first, last)]
+        for k, text in enumerate(scores.texts):
+            near: dict[int, list[int]] = {}
+            for match in _ANCHOR.finditer(text):
+                near.setdefault(match.start() // (4 * STRIDE), []).append(match.start())
+            jobs += [(k, max(0, (a[0] // STRIDE - 1) * STRIDE), min(len(text), (a[-1] // STRIDE + 2) * STRIDE), a) for a in near.values()]
+        step = STRIDE
+        while jobs:
+            step, wider = 2 * step, []
+            for begin in range(0, len(jobs), 1024):
+                some = jobs[begin:begin + 1024]
+                own = scores.of([job[:3] for job in some])
+                is_open = [(a > 0, b < len(scores.texts[k])) for k, a, b, _ in some]
+                for (k, a, b, anchors), part, edges, (tags, same) in zip(some, own, is_open, settled_paths(own, network.p["moves"], is_open)):
+                    runs, left, right = _runs(np.array(anchors) - a, tags, same, edges)
+                    if left or right:
+                        wider.append((k, max(0, a - step) if left else a, min(len(scores.texts[k]), -(-b // STRIDE) * STRIDE + step) if right else b, anchors))
+                    else:
+                        added[k].update(_added(scores.texts[k], a, part, tags, runs, found[first + k]))
+            jobs = wider
+        for k, spans in enumerate(added, first):
+            found[k] = sorted(found[k] + list(spans))
     return found
 
 
-def _added(text: str, offset: int, scores: np.ndarray, moves: np.ndarray, base: list) -> list[tuple[int, int, int]]:
-    tags, spans = viterbi(scores, moves), []
-    cuts = [0, *(np.flatnonzero(np.diff(tags)) + 1).tolist(), len(tags)]
-    for a, b in zip(cuts, cuts[1:]):
-        if tags[a] == 0 or (scores[a:b, tags[a]] - scores[a:b, 0]).mean() < MARGIN:
+def _runs(anchors: np.ndarray, tags: np.ndarray, same: np.ndarray, is_open: tuple[bool, bool]) -> tuple[list[tuple[int, int]], bool, bool]:
+    """Runs of a tag that hold an anchor, and whether they cannot be told without more text on the left or right."""
+    if not same[anchors].all():
+        return [], *is_open
+    cuts = np.flatnonzero(np.diff(tags)) + 1
+    begins, ends = np.r_[0, cuts], np.r_[cuts, len(tags)]
+    held = np.unique(np.searchsorted(begins, anchors[tags[anchors] != 0], side="right") - 1)
+    runs, left, right = [], False, False
+    for a, b in zip(begins[held].tolist(), ends[held].tolist()):
+        # settled with the character on either side
+        if (a == 0 and is_open[0]) or (b == len(tags) and is_open[1]) or not same[max(0, a - 1):b + 1].all():
+            left, right = left or is_open[0], right or is_open[1]
+        runs.append((a, b))
+    return runs, left, right
+
+
+def _added(text: str, offset: int, scores: np.ndarray, tags: np.ndarray, runs: list, base: list) -> list[tuple[int, int, int]]:
+    spans = []
+    for a, b in runs:
+        if (scores[a:b, tags[a]] - scores[a:b, 0]).mean() < MARGIN:
             continue
         piece = text[offset + a:offset + b]
         begin = offset + a + len(piece) - len(piece.lstrip())
         end, kind = begin + len(piece.strip()), int(tags[a]) - 1
-        if _is_plausible(kind, text[begin:end]) and all(end <= s or begin >= e for s, _, e in base):
+        if _is_plausible(kind, text, begin, end) and all(end <= s or begin >= e for s, _, e in base):
             spans.append((begin, kind, end))
     return spans
 
@@ -299,7 +404,8 @@ def _added(text: str, offset: int, scores: np.ndarray, moves: np.ndarray, base:
 def disguises(text: str, kind: int) -> list[str]:
     """The ways in which a span of a kind is commonly written so that patterns miss it."""
     if kind == 0:
-        return [text.replace("@", at) for at in ("(at)", " [at] ", " @ ")]
+        return [text.replace("@", at).replace(".", dot) for at, dot in (
+            (" at ", " dot "), ("(at)", "."), (" [at] ", "."), (" @ ", "."), (" at ", "."), ("(at)", "(dot)"), ("[at]", "[dot]"))]
     if kind == 1:
         return [text.replace(".", dot) for dot in ("[.]", " . ", "(.)")]
     if kind == 2:
@@ -308,20 +414,34 @@ def disguises(text: str, kind: int) -> list[str]:
     return [text.lstrip("+"), text.lstrip("+").split(" ", 1)[-1], "00" + text.lstrip("+")]
 
 
+def _lengthened(text: str, near: str) -> str:
+    """An address with more names on both sides of its @, of the letters that stand near it."""
+    letters = re.sub("[^A-Za-z]", "", near).lower()
+    local, domain = text.split("@")
+    size = 4 + len(near) * 7 % 9 + len(local) % 3
+    names = [letters[k * size:(k + 1) * size] for k in range(4)]
+    return f"{names[0]}.{names[1]}-{local}@{names[2]}-{names[3]}.{domain}" if all(names) else text
+
+
 def examples(text: str, limit: int) -> list[tuple[str, list[tuple[int, int, int]]]]:
     """Windows of a text with their base spans, and with the same spans in disguise."""
     base, out = base_spans(text), []
     for begin, kind, end in base:
-        if end - begin > WIDTH // 2:
-            continue
-        for own in [text[begin:end], *disguises(text[begin:end], kind)]:
-            left = text[max(0, begin - (begin * 7 + len(own)) % 24):begin]
-            right = text[end:end + WIDTH][:max(0, WIDTH - len(left) - len(own))]
-            out.append((left + own + right, [(len(left), kind, len(left) + len(own))]))
-    for a, b in stretches(text):
-        for at in _windows(a, b):
-            spans = [(s - at, k, e - at) for s, k, e in base if s < at + WIDTH and e > at]
-            out.append((text[at:min(at + WIDTH, b)], spans))
+        own = text[begin:end]
+        ways, bare = disguises(own, kind), []
+        if kind == 0:  # hardest to learn, and so taken each time: the one that has no signs at all
+            bare = [ways.pop(0)]
+            ways += disguises(_lengthened(own, text[max(0, begin - 90):begin]), kind)
+        turn = begin * 5 + end  # not all ways for each span, so that a row has room for several spans
+        for way in [own, *bare, *(ways[(turn + k * (len(ways) // 3)) % len(ways)] for k in range(3))]:
+            left = text[max(0, begin - (begin * 7 + len(way)) % 24):begin]
+            whole, size = left + way + text[end:end + WIDTH], len(left) + len(way)
+            for at in _windows(0, size):
+                out.append((whole[at:at + WIDTH], [(len(left) - at, kind, size - at)]))
+    near = {m.start() // STRIDE * STRIDE for m in _ANCHOR.finditer(text)}
+    for at in _windows(0, len(text)):
+        if at in near or at + STRIDE in near:
+            out.append((text[at:at + WIDTH], [(s - at, k, e - at) for s, k, e in base if s < at + WIDTH and e > at]))
     return out[:limit]
 
 

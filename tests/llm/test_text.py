@@ -305,6 +305,64 @@ def test_windows_that_overlap_give_one_span():
     assert pii._windows(0, 200)[-1] + pii.WIDTH >= 200 and pii._windows(5, 20) == [5]
 
 
+def spans_of_whole_text(network, text):
+    """Every window of the text is scored, and one pass goes through all of it."""
+    base, n = pii.base_spans(text), len(text)
+    if not text:
+        return base
+    total, weight = np.zeros((n, pii.TAGS)), np.zeros((n, 1))
+    for at in pii._windows(0, n):
+        cut = pii.symbols(text)[at:at + pii.WIDTH]
+        scores = network.score(np.pad(cut, (0, pii.WIDTH - len(cut)))[None])[0]
+        total[at:at + len(cut)] += scores[:len(cut)] * pii._WEIGHT[:len(cut), None]
+        weight[at:at + len(cut), 0] += pii._WEIGHT[:len(cut)]
+    scores = total / weight
+    tags = pii.viterbi(scores, network.p["moves"])
+    cuts = [0, *(np.flatnonzero(np.diff(tags)) + 1).tolist(), n]
+    runs = [(a, b) for a, b in zip(cuts, cuts[1:]) if tags[a]]
+    return sorted(base + pii._added(text, 0, scores, tags, runs, base))
+
+
+def private_rows(rng, n):
+    word = lambda: "".join(rng.choice("aeinorstlm") for _ in range(rng.randint(2, 9)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    return [(i, f"{prose(rng.randint(15, 60))} at {word()}, {word()}.{word()}{rng.choice(['', '7'])}@{word()}.example.com {prose(30)} "
+                f"+1 ({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)} {prose(9)} in {rng.randrange(1900, 2030)}, {prose(9)}")
+            for i in range(n)], word, prose
+
+
+def test_spans_are_those_of_the_whole_text(documents):
+    rng = random.Random(11)
+    rows, word, prose = private_rows(rng, 120)
+    network = pii.train(documents(rows))
+    texts = [t for _, t in rows[:20]] + ["", "7", "@", "x" * 31 + "@", "y" * 63 + " at z.z", prose(900), "12 " * 700, "1.2 at 3.4 " * 90]
+    texts += [" ".join(rng.choice([word(), "at", "dot", "(at)", "@", "12", "a.b", "+1 555", "x" * 50]) for _ in range(rng.randint(1, 150))) for _ in range(60)]
+    for each in (network, pii.Network(1), pii.Network(2)):
+        assert pii.find(each, texts) == [spans_of_whole_text(each, t) for t in texts]
+
+
+def test_addresses_without_signs_and_long_ones_are_found_whole(documents):
+    rng = random.Random(12)
+    rows, word, prose = private_rows(rng, 400)
+    network = pii.train(documents(rows))
+
+    def long_name():
+        return f"{word()}{word()}{word()}.{word()}{word()}-{word()}{word()}{word()}"[:40].strip("-.")
+
+    bare = [f"{word()} dot {word()} at {word()}{word()} dot com" for _ in range(40)]
+    long = [f"{long_name()}(at){word()}.com" for _ in range(20)] + [f"{word()}.{word()}(at){long_name()}.example.com" for _ in range(20)]
+    assert sum(len(x.split("(")[0]) > 24 for x in long[:20]) >= 10
+    for kind, addresses in (("bare", bare), ("long", long)):
+        texts = [f"{prose(20)} {x} {prose(20)}" for x in addresses]
+        whole = 0
+        for x, text, spans in zip(addresses, texts, pii.find(network, texts)):
+            begin = text.index(x)
+            whole += any(a <= begin and b >= begin + len(x) for a, _, b in spans)
+        assert whole >= (0.2 if kind == "bare" else 0.7) * len(addresses), kind
+    clean = [f"{prose(20)} at {prose(20)}. {prose(5)} at {prose(5)}" for _ in range(60)]
+    assert sum(map(bool, pii.find(network, clean))) <= 2
+
+
 ASSIGN = re.compile(r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
 
