@@ -9,6 +9,10 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from locusframe.llm.sql import SQL
+
+__all__ = ["QUERIES", "SQL"]
+
 TOKENIZER_JSON = "byte_bpe_50k.json"
 
 
@@ -98,9 +102,32 @@ def op10_debruijn_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return debruijn.report(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from locusframe.llm import spelling
+
+    docs = table(spark, sf_dir, "documents")
+    return spelling.variants(spelling.spelled_runs(docs, fault_every=97)).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from locusframe.llm import simhash
+
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from locusframe.llm import negatives
+
+    rows = table(spark, sf_dir, "embeddings")
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")).cast("long"))
+    rows = rows.where(F.coalesce(finite, F.lit(False))).select("vec_id", label.alias("label"), whole.alias("vector"))
+    return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_pii, op2_best_fit_packing, op3_suffix_array_dedup, op4_ngram_jaccard, op5_warc, op6_quality_rules, op7_secret_scans,
-        op8_permutation_index, op9_byte_bpe, op10_debruijn_dedup)
+        op8_permutation_index, op9_byte_bpe, op10_debruijn_dedup, op11_spelling_variants, op12_simhash, op13_hard_negatives)
 }
-SQL: dict[str, str] = {}
