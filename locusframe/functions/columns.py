@@ -36,10 +36,13 @@ def typed_columns(df: DataFrame, **wanted: str) -> list[Column]:
     return [(F.col(f"`{name}`") if name in present else F.lit(None)).cast(ddl).alias(name) for name, ddl in wanted.items()]
 
 
-def text_unless_scalar(column: Column, data_type: T.DataType) -> Column:
-    """Arrays, maps and structs as JSON text, other values as they are."""
-    nested = hasattr(data_type, "elementType") or hasattr(data_type, "keyType") or hasattr(data_type, "fields")
-    return F.to_json(column) if nested else column
+def rendered(column: Column, data_type: T.DataType, text: bool = False) -> Column:
+    """A value as flat tables hold it: nested ones as JSON, scalars as they are, or as text if asked."""
+    match data_type:
+        case T.ArrayType() | T.MapType() | T.StructType():
+            return F.to_json(column)
+        case _:
+            return column.cast("string") if text else column
 
 
 def first_field(struct: Column, struct_type: T.StructType, *names: str) -> Column:
@@ -112,7 +115,7 @@ def leaf_value(struct: Column, path: tuple[str, ...]) -> Column:
 def flatten_struct(prefix: str, struct: Column, struct_type: T.StructType) -> list[Column]:
     """Every leaf of a struct as a string column; arrays and maps become JSON."""
     return [
-        text_unless_scalar(value, leaf).cast("string").alias(name)
+        rendered(value, leaf, text=True).alias(name)
         for name, value, leaf in (
             (name, leaf_value(struct, path), leaf) for name, path, leaf in struct_leaves(struct_type, prefix))
     ]

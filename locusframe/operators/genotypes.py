@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions import field_type, first_field, genotype_string, has_field
+from ..functions import field_type, first_field, genotype_string, has_field, rendered
 from .variants import KEY_COLUMNS, explode_alleles, provenance_columns
 
 # Names a genotype field may have, the one to prefer first.
@@ -30,19 +30,12 @@ def explode_genotypes(df: DataFrame) -> DataFrame:
     return alleles.select(*provenance_columns(df), *KEY_COLUMNS, F.explode_outer("genotypes").alias("g"))
 
 
-def as_text(value: Column, data_type: T.DataType | None) -> Column:
-    """Plain text of a scalar, JSON of anything nested."""
-    if isinstance(data_type, (T.ArrayType, T.MapType, T.StructType)):
-        return F.to_json(value)
-    return value.cast("string")
-
-
 def json_of(value: Column, struct_type: T.StructType, names: tuple[str, ...]) -> Column:
     """JSON of the first of ``names`` the genotype has."""
     name = next((n for n in names if has_field(struct_type, n)), None)
     if name is None:
         return F.lit(None).cast("string")
-    return as_text(value.getField(name), field_type(struct_type, name))
+    return rendered(value.getField(name), field_type(struct_type, name), text=True)
 
 
 def call_columns(g: Column, struct_type: T.StructType) -> list[Column]:
@@ -66,7 +59,7 @@ def call_columns(g: Column, struct_type: T.StructType) -> list[Column]:
 def caller_columns(g: Column, struct_type: T.StructType) -> list[Column]:
     """The caller-specific columns; nested values become JSON, absent ones a typed NULL."""
     return [
-        (as_text(first_field(g, struct_type, name), field_type(struct_type, name)) if data_type == "string"
+        (rendered(first_field(g, struct_type, name), field_type(struct_type, name), text=True) if data_type == "string"
          else first_field(g, struct_type, name)).try_cast(data_type).alias(name)
         for name, data_type in CALLER_FIELDS.items()
     ]

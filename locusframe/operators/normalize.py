@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F, types as
 
 from ..functions import common_prefix_length, common_suffix_length, let
 from ..scratch import materialize
+from ..sources.ranges import ORDER, in_order
 
 BASES = "^[ACGTNacgtn]+$"
 NEAR_BASES = 32
@@ -247,6 +248,7 @@ def normalize_variants(
     ``normalizationStatus`` (changed, errorMessage). Symbolic alleles and records whose REF is not what
     the reference holds stay as they are. Resolving the movable events runs Spark jobs here; the result
     is lazy. Pass a written table where the records are expensive, since its core columns are read twice.
+    Records that know their place in a file stay in its order, also where they had to be dealt out.
     """
     resolved, _, size_bytes = resolve_events(movable_events(df), chunks, chunk_size)
     rows = with_trim(df)
@@ -263,11 +265,13 @@ def normalize_variants(
         copies = answers.withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         moved = salted.join(copies, [*match, F.col("_salt") == F.col("_other")], "left").drop("_salt", "_other")
         joined = moved.unionByName(rows.where(~movable), allowMissingColumns=True)
+    dealt = size_bytes > broadcast_bytes
 
     wrong = materialize(differing_references(df, chunks, chunk_size).select(
         F.col("contigName").alias("_wrong_contig"), F.col("start").alias("_wrong_start"), F.col("ref").alias("_wrong_ref")), "wrong-references")
     wrong_bytes = wrong.agg(F.sum(F.length("_wrong_contig") + F.length("_wrong_ref") + 64)).first()[0] or 0
     if wrong_bytes:
+        dealt = dealt or wrong_bytes > broadcast_bytes
         joined = joined.join(F.broadcast(wrong) if wrong_bytes <= broadcast_bytes else wrong, [
             F.col("contigName") == F.col("_wrong_contig"), F.col("start") == F.col("_wrong_start"),
             F.upper("referenceAllele") == F.col("_wrong_ref")], "left")
@@ -296,4 +300,5 @@ def normalize_variants(
     different = moved & ((new_start != F.col("start")) | (new_ref != F.upper("referenceAllele"))
                          | (F.size(new_alleles) != F.size("alternateAlleles") + 1)
                          | (F.slice(new_alleles, F.lit(2), F.size(new_alleles)) != F.transform("alternateAlleles", lambda a: F.upper(a))))
-    return joined.select(*columns, _status(F.coalesce(different, F.lit(False)), message).alias("normalizationStatus"))
+    done = joined.select(*columns, _status(F.coalesce(different, F.lit(False)), message).alias("normalizationStatus"))
+    return in_order(done) if dealt and {"source_file", *ORDER} <= set(df.columns) else done

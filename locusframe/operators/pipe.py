@@ -20,14 +20,21 @@ ERROR_CHARS = 32000
 COMMAND_FAILED = "command "
 
 
+#: Text handed to the command at once; pieces of input and of answer that wait at most.
+PIECE_BYTES, WAITING = 1 << 18, 8
+
+
 def _command_runner(cmd: Sequence[str], header: Sequence[str], chunk_bytes: int | None):
     """The task that streams the lines of each file through the command and yields what it answers.
 
-    One process serves all neighbouring lines of a file; ``chunk_bytes`` starts another one after so many.
-    Lines are written as they come and answers handed on as they are read, so a task holds neither in full.
-    A process that fails gives a row without a line that holds the error.
+    One process serves all neighbouring lines of a file; ``chunk_bytes`` starts another one after so many. Input
+    and answer go through two queues of bounded length, each with a thread at the command's end. The task itself
+    waits on neither alone: while the command does not read it takes answers, and answers are handed on before
+    more is read. So a command that answers only after its input has ended (a sort) fills no memory here. A process
+    that fails gives a row without a line that holds the error.
     """
     def run(batches: Iterator) -> Iterator:
+        import queue
         import subprocess
         import threading
 
@@ -37,17 +44,41 @@ def _command_runner(cmd: Sequence[str], header: Sequence[str], chunk_bytes: int
 
         class Process:
             def __init__(self, source: str, title: str):
-                self.source, self.size, self.answers, self.complaint, self.broken = source, 0, [], [], None
+                self.source, self.size, self.complaint, self.broken, self.ended = source, 0, [], None, False
                 self.child = subprocess.Popen(
                     list(cmd), stdin=subprocess.PIPE, stdout=subprocess.PIPE, stderr=subprocess.PIPE)
-                self.threads = [threading.Thread(target=self.listen), threading.Thread(target=self.hear)]
+                self.input, self.answers = queue.Queue(WAITING), queue.Queue(WAITING)
+                self.threads = [threading.Thread(target=work, daemon=True) for work in (self.write, self.listen, self.hear)]
                 for thread in self.threads:
                     thread.start()
-                self.write([*header, title])
+                self.waiting, self.waiting_size = [*header, title], 0
+
+            def write(self) -> None:
+                reads = True
+                while (piece := self.input.get()) is not None:
+                    try:
+                        if reads:
+                            self.child.stdin.write(piece)
+                            self.child.stdin.flush()
+                    except (BrokenPipeError, ValueError):
+                        reads = False  # the status says why; a command may also stop reading when it has enough
+                try:
+                    self.child.stdin.close()
+                except BrokenPipeError:
+                    pass
 
             def listen(self) -> None:
-                for line in self.child.stdout:  # ends at line feeds alone
-                    self.answers.append(line)
+                rest = b""
+                while data := self.child.stdout.read1(PIECE_BYTES):
+                    cut = data.rfind(b"\n") + 1  # lines end at line feeds alone
+                    if cut:
+                        self.answers.put(rest + data[:cut])
+                        rest = data[cut:]
+                    else:
+                        rest += data
+                if rest:
+                    self.answers.put(rest)
+                self.answers.put(None)
 
             def hear(self) -> None:
                 kept = 0
@@ -56,32 +87,60 @@ def _command_runner(cmd: Sequence[str], header: Sequence[str], chunk_bytes: int
                         self.complaint.append(part)
                         kept += len(part)
 
-            def write(self, lines: list[str]) -> None:
-                try:
-                    self.child.stdin.write(("\n".join(lines) + "\n").encode())
-                    self.child.stdin.flush()
-                except BrokenPipeError:
-                    pass  # the status says why; a command may also stop reading when it has enough
-
-            def take(self):
-                count = len(self.answers)
-                lines, self.answers[:count] = self.answers[:count], []
+            def batch(self, piece: bytes):
                 try:
-                    text = [x.decode().removesuffix("\n") for x in lines]
+                    text = piece.decode().removesuffix("\n").split("\n")
                 except UnicodeDecodeError as error:
                     self.broken, text = f"command answered in other than UTF-8: {error}", []
                 return pa.RecordBatch.from_pydict(
                     {"source_file": [self.source] * len(text), "line": text, "error": [None] * len(text)}, schema)
 
+            def answered(self, wait: float | None):
+                """The answers that are there; those to come within ``wait`` if there are none, up to the end without a limit."""
+                while not self.ended:
+                    try:
+                        piece = self.answers.get(block=wait != 0, timeout=wait or None)
+                    except queue.Empty:
+                        return
+                    if piece is None:
+                        self.ended = True
+                    else:
+                        yield self.batch(piece)
+                    if wait:
+                        wait = 0
+
+            def put(self, piece: bytes | None):
+                while True:
+                    try:
+                        self.input.put_nowait(piece)
+                        break
+                    except queue.Full:
+                        if self.ended:
+                            self.input.put(piece)  # the command has closed its output: it reads on, or writing ends
+                            break
+                        yield from self.answered(0.02)
+                yield from self.answered(0)
+
+            def take(self, line: str):
+                self.waiting.append(line)
+                self.size += len(line)
+                self.waiting_size += len(line) + 1
+                if self.waiting_size > PIECE_BYTES:
+                    yield from self.send()
+
+            def send(self):
+                piece = ("\n".join(self.waiting) + "\n").encode()
+                self.waiting, self.waiting_size = [], 0
+                yield from self.put(piece)
+
             def end(self):
-                try:
-                    self.child.stdin.close()
-                except BrokenPipeError:
-                    pass
+                if self.waiting:
+                    yield from self.send()
+                yield from self.put(None)
+                yield from self.answered(None)
+                status = self.child.wait()
                 for thread in self.threads:
                     thread.join()
-                status = self.child.wait()
-                yield self.take()
                 error = self.broken
                 if status != 0:
                     said = b"".join(self.complaint).decode("utf-8", "replace").strip()[:ERROR_CHARS]
@@ -89,27 +148,19 @@ def _command_runner(cmd: Sequence[str], header: Sequence[str], chunk_bytes: int
                 if error:
                     yield pa.RecordBatch.from_pydict({"source_file": [self.source], "line": [None], "error": [error]}, schema)
 
-        process, current, waiting, size = None, None, [], 0
+        process, current = None, None
         try:
             for batch in batches:
                 files, titles, lines = (batch.column(i).to_pylist() for i in range(3))
                 for source, title, line in zip(files, titles, lines):
                     if process is None or (source, title) != current or (chunk_bytes is not None and process.size > chunk_bytes):
                         if process is not None:
-                            process.write(waiting) if waiting else None
                             yield from process.end()
-                        process, current, waiting, size = Process(source, title), (source, title), [], 0
-                    waiting.append(line)
-                    size += len(line)
-                    process.size += len(line)
-                    if size > 1 << 20:
-                        process.write(waiting)
-                        waiting, size = [], 0
-                        yield process.take()
+                        process, current = Process(source, title), (source, title)
+                    yield from process.take(line)
             if process is not None:
-                process.write(waiting) if waiting else None
-                ended, process = process, None
-                yield from ended.end()
+                yield from process.end()
+                process = None
         finally:
             if process is not None:
                 process.child.kill()

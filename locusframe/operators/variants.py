@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import one_based_pos, resolve_core_columns, text_unless_scalar, typed_columns, variant_id, variant_key
+from ..functions import one_based_pos, rendered, resolve_core_columns, typed_columns, variant_id, variant_key
 
 PROVENANCE = ("filename", "source_file", "ingest_ts")
 KEY_COLUMNS = ("variant_id", "variant_key", "chrom", "pos", "ref", "alt")
@@ -48,22 +48,26 @@ def info_columns(df: DataFrame) -> list[str]:
 def flatten_info(df: DataFrame) -> list[Column]:
     """INFO columns in sorted order: scalars keep their type, nested values become JSON."""
     return [
-        text_unless_scalar(F.col(f"`{name}`"), df.schema[name].dataType).alias(name)
+        rendered(F.col(f"`{name}`"), df.schema[name].dataType).alias(name)
         for name in info_columns(df)
     ]
 
 
 def json_col(df: DataFrame, name: str) -> Column:
-    """An array column as JSON text, typed NULL if the frame lacks it."""
+    """An array or map column as JSON text, typed NULL if the frame lacks it."""
     return (F.to_json(F.col(name)) if name in df.columns else F.lit(None).cast("string")).alias(name)
 
 
 def variants_flat(df: DataFrame) -> DataFrame:
-    """The flat variant table: keys, site columns and INFO values, one row per allele."""
+    """The flat variant table: keys, site columns and INFO values, one row per allele.
+
+    INFO keys that no header declares are one JSON column, unless they were made columns before.
+    """
     site = [
         json_col(df, "names"),
         *typed_columns(df, qual="double"),
         json_col(df, "filters"),
         *typed_columns(df, splitFromMultiAllelic="boolean"),
     ]
-    return explode_alleles(df, site + flatten_info(df))
+    undeclared = [json_col(df, "undeclared_info")] if "undeclared_info" in df.columns else []
+    return explode_alleles(df, site + flatten_info(df) + undeclared)

@@ -34,9 +34,9 @@ from ..sources.files import VCF_SUFFIXES, discover_files
 from ..sources.header import per_file, read_headers
 from ..sources.tables import (
     CALLS_SCHEMA, CONSEQUENCES_SCHEMA, FILE_LOG_SCHEMA, PARTITION, QUARANTINE_SCHEMA, append_table, drop_files,
-    ensure_table, replace_files, reset_outputs, rewrite_table,
+    ensure_table, partition_column, replace_files, reset_outputs, write_table,
 )
-from ..sources.vcf import read_vcf
+from ..sources.vcf import promote_undeclared, read_vcf
 from ..sources.vcf_text import file_header
 from .flatten import CALLS, CONSEQUENCES, VARIANTS
 
@@ -66,6 +66,7 @@ class IngestConfig:
     capture_row_counts: bool = True
     match_allele: bool = False
     broadcast_bytes: int = 64 << 20
+    gz_spread_bytes: int = 128 << 20
     keep_scratch: bool = False
 
     def __post_init__(self) -> None:
@@ -113,13 +114,15 @@ def unreadable_files(files: DataFrame) -> DataFrame:
         import gzip
         import zlib
 
+        from urllib.parse import quote
+
         import pyarrow as pa
         from pyarrow import fs
 
         schema = pa.schema([("source_file", pa.string()), ("read_error", pa.string())])
         for batch in batches:
             for path in batch.column(0).to_pylist():
-                uri = path.replace("s3a://", "s3://", 1).replace("%", "%25").replace(" ", "%20")
+                uri = quote(path.replace("s3a://", "s3://", 1), safe="/:@!$&'()*+,;=~")
                 system, inner = fs.FileSystem.from_uri(uri)
                 with system.open_input_stream(inner, compression=None) as stream, gzip.GzipFile(fileobj=stream) as unpacked:
                     try:
@@ -138,7 +141,8 @@ def _is_damage(error: Exception) -> bool:
     """Whether a job ended because of what a file holds, not because of where it is."""
     text = str(error)
     return any(x in text for x in ("EOFException", "Unexpected end of", "ZipException", "not a gzip file", "incorrect header check",
-                                   "invalid stored block", "invalid block type", "invalid distance", "incorrect data check", "FAILED_READ_FILE"))
+                                   "invalid stored block", "invalid block type", "invalid distance", "incorrect data check", "FAILED_READ_FILE",
+                                   "BadGzipFile", "EOFError", "while decompressing data", "damaged block"))
 
 
 def without_files(records: DataFrame, bad: DataFrame, bad_count: int, broadcast_rows: int = 100_000) -> DataFrame:
@@ -185,8 +189,9 @@ def ingest(spark: SparkSession, cfg: IngestConfig) -> DataFrame:
     with scratch_run(spark, f"ingest-{run_id}", keep=cfg.keep_scratch):
         files = materialize(discover_files(spark, cfg.source, cfg.suffixes, cfg.only, cfg.limit), "files")
         headers = materialize(read_headers(spark, files, cfg.header_method), "headers")
-        options = {"mode": "keep", "only": cfg.only, "limit": cfg.limit, "suffixes": cfg.suffixes, "headers": headers,
-                   "broadcast_bytes": cfg.broadcast_bytes}
+        options = {"mode": "keep", "only": cfg.only, "limit": cfg.limit, "suffixes": cfg.suffixes, "headers": headers, "files": files,
+                   "header_method": cfg.header_method, "broadcast_bytes": cfg.broadcast_bytes, "gz_spread_bytes": cfg.gz_spread_bytes,
+                   "ordered": True}
         unreadable = spark.createDataFrame([], "source_file string, read_error string")
         try:
             parsed = materialize(read_vcf(spark, cfg.source, **options), "records")
@@ -209,6 +214,7 @@ def ingest(spark: SparkSession, cfg: IngestConfig) -> DataFrame:
             raise ValueError(f"{first.source_file}: {first.error}")
 
         good, rejected = quarantine(parsed)
+        good = promote_undeclared(good)
         records = without_files(good, verdicts.where(F.col("error").isNotNull()), bad_count)
         records = split_multiallelics(records)
         if cfg.reference_fasta:
@@ -220,6 +226,7 @@ def ingest(spark: SparkSession, cfg: IngestConfig) -> DataFrame:
             records, piped_out = pipe_partitions(
                 records.drop("normalizationStatus"), cfg.pipe_cmd, header,
                 on_error="quarantine" if cfg.skip_bad_files else "fail")
+            records = promote_undeclared(records)
             rejected = rejected.unionByName(piped_out)
             flags = records.groupBy("source_file").agg(F.bool_or("has_csq").alias("piped_csq"))
             verdicts = verdicts.join(flags, "source_file", "left").withColumn(
@@ -236,8 +243,8 @@ def ingest(spark: SparkSession, cfg: IngestConfig) -> DataFrame:
 def _replace_quarantine(spark: SparkSession, cfg: IngestConfig, rejected: DataFrame, files: DataFrame, run_id: str) -> None:
     """The rejected lines of this run take the place of those that earlier runs had for the same files."""
     name = cfg.table(QUARANTINE)
-    if PARTITION not in [c.name for c in spark.catalog.listColumns(name) if c.isPartition]:
-        rewrite_table(spark.table(name), name, PARTITION)  # a table of an older version
+    if partition_column(spark, name) != PARTITION:
+        write_table(spark.table(name), name, partition_by=PARTITION)  # a table of an older version
     replace_files(rejected.select("raw", "reason", F.lit(run_id).alias("run_id"), "source_file"), name)
     old = _rows_of(spark, name, files).where(F.col("run_id").isNull() | (F.col("run_id") != run_id))
     drop_files(spark, name, [row[0] for row in old.select(PARTITION).distinct().toLocalIterator()])

@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from .files import source_path
+from .files import DIRECT_SCHEMES, source_path
 
 HEADER_SCHEMA = "source_file string, line string"
 # Header types and their Spark types, and the order in which differing ones widen.
@@ -20,8 +20,6 @@ SPARK_TYPES = {
     "String": T.StringType(),
 }
 WIDENING = ("Flag", "Integer", "Float", "Character", "String")
-# File systems whose files a task opens by itself; others are scanned as text.
-DIRECT_SCHEMES = ("file", "hdfs", "s3", "s3a", "gs", "gcs", "abfs", "abfss")
 
 
 @dataclass(frozen=True)
@@ -74,13 +72,15 @@ def _head_reader():
         import io
         import zlib
 
+        from urllib.parse import quote
+
         import pyarrow as pa
         from pyarrow import fs
 
         schema = pa.schema([("source_file", pa.string()), ("line", pa.string())])
         for batch in batches:
             for path in batch.column("path").to_pylist():
-                uri = path.replace("s3a://", "s3://", 1).replace("%", "%25").replace(" ", "%20")
+                uri = quote(path.replace("s3a://", "s3://", 1), safe="/:@!$&'()*+,;=~")
                 system, inner = fs.FileSystem.from_uri(uri)
                 lines = []
                 with system.open_input_stream(inner, compression=None) as stream:

@@ -128,6 +128,9 @@ def _info_text(df: DataFrame) -> Column:
                 parts.append(F.concat(F.lit(f"{key}="), _value_text(value, field.dataType)))
     if has_field(df.schema, "splitFromMultiAllelic"):
         parts.append(F.when(F.col("splitFromMultiAllelic"), F.lit(SPLIT_FLAG)))
+    if has_field(df.schema, "undeclared_info"):
+        entries = F.transform(F.map_entries("undeclared_info"), lambda e: F.concat_ws("=", e["key"], e["value"]))
+        parts.append(F.when(F.size(entries) > 0, F.array_join(entries, ";")))
     return F.coalesce(F.nullif(F.concat_ws(";", *parts), F.lit("")), F.lit("."))
 
 

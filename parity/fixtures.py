@@ -135,6 +135,60 @@ def write_vcf(df: DataFrame, label: str, header: bool = True) -> str:
     return path
 
 
+def write_named(lines: DataFrame, label: str, names: list[str], empty: str) -> str:
+    """A folder in which the lines of ``piece`` k are the file ``names[k]``, and one file is empty."""
+    spark = lines.sparkSession
+    path, jvm = scratch_path(spark, label), spark.sparkContext._jvm
+    lines.repartition(len(names), "piece").write.partitionBy("piece").text(f"{path}-pieces")
+    base = jvm.org.apache.hadoop.fs.Path(path)
+    system = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for k, name in enumerate(names):
+        target = jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+        system.mkdirs(target.getParent())
+        parts = [s.getPath() for s in system.listStatus(jvm.org.apache.hadoop.fs.Path(f"{path}-pieces/piece={k}"))]
+        system.rename(next(p for p in parts if p.getName().startswith("part-")), target)
+    system.create(jvm.org.apache.hadoop.fs.Path(f"{path}/{empty}")).close()
+    return path
+
+
+def write_blocked(df: DataFrame, label: str) -> str:
+    """Records as a folder of complete VCF texts in blocked gzip, a file for each partition."""
+    from locusframe.sources.vcf_text import to_vcf_lines
+
+    path = scratch_path(df.sparkSession, label)
+
+    def write(batches):
+        import zlib
+
+        import pyarrow as pa
+        from pyarrow import fs
+        from pyspark import TaskContext
+
+        system, inner = fs.FileSystem.from_uri(path)
+        system.create_dir(inner)
+        written, waiting = 0, b""
+        with system.open_output_stream(f"{inner}/part-{TaskContext.get().partitionId():05d}.txt.gz", compression=None) as out:
+            def block(text):
+                packer = zlib.compressobj(6, zlib.DEFLATED, -15)
+                body = packer.compress(text) + packer.flush()
+                out.write(b"\x1f\x8b\x08\x04" + bytes(5) + b"\xff\x06\x00BC\x02\x00" + (len(body) + 25).to_bytes(2, "little") + body
+                          + zlib.crc32(text).to_bytes(4, "little") + len(text).to_bytes(4, "little"))
+
+            for batch in batches:
+                for line in batch.column("line").to_pylist():
+                    waiting += line.encode() + b"\n"
+                    written += 1
+                    while len(waiting) > 20000:
+                        block(waiting[:20000])
+                        waiting = waiting[20000:]
+            block(waiting)
+            block(b"")
+        yield pa.RecordBatch.from_pydict({"n": pa.array([written], pa.int64())})
+
+    to_vcf_lines(df).mapInArrow(write, "n long").collect()
+    return path
+
+
 def database(spark: SparkSession) -> str:
     """A fresh database below the scratch folder."""
     name = f"parity_{uuid.uuid4().hex[:12]}"

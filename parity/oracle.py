@@ -230,6 +230,24 @@ ORDER BY run_ts DESC, filename LIMIT 50""",
     "preview_rows": f"""WITH {A} SELECT variant_key, {js('names')} AS names, qual, {js('INFO_AC')} AS INFO_AC FROM a
 ORDER BY contigName, pos, alt LIMIT 20""",
     "discover_files": "SELECT count(*) AS lines, count(*) AS distinct_lines FROM orders",
+    "discover_mixed_folder": """SELECT name AS filename, count(o_orderkey) AS lines, count(o_orderkey) > 0 AS has_bytes
+FROM (VALUES (0, 'a.txt'), (1, '_b.txt'), (2, '.c.txt'), (4, 'it''s 100% [e].TXT'), (9, 'empty.txt')) f(piece, name)
+LEFT JOIN orders ON o_orderkey % 5 = piece GROUP BY name""",
+    "read_blocked_gzip": TEXT_ROWS,
+    "damaged_values": f"""WITH {V} SELECT rec,
+  CASE WHEN rec % 10 IN (1, 4, 5, 6) THEN NULL ELSE INFO_DP END AS declared_dp,
+  CASE rec % 10 WHEN 2 THEN 'low' END AS small_dp, CASE rec % 10 WHEN 3 THEN '7' END AS repeated_dp,
+  CASE rec % 10 WHEN 2 THEN 'n' || rec WHEN 3 THEN 'a,b' END AS INFO_NEW, CASE rec % 10 WHEN 2 THEN 'true' END AS INFO_MARK,
+  CASE rec % 10 WHEN 1 THEN 'INFO DP is no Integer' WHEN 4 THEN 'FORMAT key that no header declares'
+    WHEN 5 THEN 'sample value that does not fit its FORMAT' WHEN 6 THEN 'sample value that does not fit its FORMAT' END AS reason,
+  CASE rec % 10 WHEN 1 THEN 'DP=x' || rec WHEN 4 THEN 'GT:XY' WHEN 5 THEN '3' WHEN 6 THEN {{last}} END AS value FROM v""".replace(
+        "{last}", "concat_ws(',', nullif(array_to_string(genotypes[4].phredLikelihoods[1:(n + 1) * (n + 2) // 2 - 1], ','), ''), '1.5')"),
+    "pipe_order_after_gzip": "SELECT count(*) AS records, 0::bigint AS out_of_order, true AS starts_bounded FROM orders",
+    "pipe_order_after_shuffle": "SELECT count(*) AS records, 0::bigint AS out_of_order, true AS starts_bounded FROM orders",
+    "replace_widened_files": """SELECT 'batch' || (o_orderkey % 7) || '.vcf' AS filename, run, count(*) AS n, sum(o_orderkey % 1000)::bigint AS x,
+  max(length(CASE run WHEN 3 THEN (o_orderkey % 1000)::varchar ELSE (o_orderkey % 1000)::double::varchar END))::int AS longest
+FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 7 < 2 THEN 3 WHEN o_orderkey % 7 < 5 THEN 2 ELSE 0 END AS run FROM orders)
+GROUP BY o_orderkey % 7, run""",
     "flatten_single": three_tables(A, "a"),
     "ingest_end_to_end": three_tables(S, "s"),
     "ingest_normalized": f"""WITH {NORMAL} SELECT concat_ws(':', contigName, (new_start + 1)::varchar, new_ref, new_alt) AS variant_key,

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 import locusframe as lf
 from locusframe.functions import provenance, resolve_core_columns, typed_columns
 from locusframe.operators.genotypes import CALLER_FIELDS
-from locusframe.scratch import materialize
+from locusframe.scratch import materialize, scratch_path
 from locusframe.sources.header import merge_layout, per_file
 from locusframe.sources.vcf import parse_by_file, scan_lines
 from locusframe.sources.vcf_text import record_lines
@@ -340,6 +340,18 @@ def schema_widen_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lf.load_table(spark, name).select("run", "rec", "x", F.to_json("y").alias("y"))
 
 
+@query
+def replace_widened_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files replaced while a column widens, and again across the schemas of a table."""
+    name = f"{fx.database(spark)}.grown"
+    df = _with_files(spark, sf_dir).select("rec", "filename", "source_file")
+    for run, (kind, files) in enumerate((("int", 7), ("double", 3), ("double", 5), ("string", 2))):
+        lf.replace_files(df.where(F.col("rec") % 7 < files).selectExpr(
+            "rec", "filename", f"{run} AS run", f"cast(rec % 1000 AS {kind}) AS x", "source_file"), name)
+    return lf.load_table(spark, name).groupBy("filename", "run").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("x").cast("double")).cast("long").alias("x"), F.max(F.length("x")).cast("int").alias("longest"))
+
+
 @query
 def replace_source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = f"{fx.database(spark)}.variants_flat"
@@ -420,6 +432,96 @@ def discover_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.agg(F.count(F.lit(1)).alias("lines"), F.count_distinct("line").alias("distinct_lines"))
 
 
+@query
+def discover_mixed_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every file at the top of a folder and its lines: hidden and empty ones too, nothing of a folder below."""
+    lines = record_lines(_records(spark, sf_dir).drop("genotypes"))
+    piece = F.regexp_extract("line", r"^[^\t]*\t(\d+)", 1).cast("long")
+    lines = lines.select("line", (F.call_function("div", piece - 1, F.lit(50)) % 5).alias("piece"))
+    path = fx.write_named(lines, "mixed", ["a.txt", "_b.txt", ".c.txt", "day=1/d.txt", "it's 100% [e].TXT"], "empty.txt")
+    files = lf.discover_files(spark, path, fx.TEXT)
+    read = scan_lines(spark, path, fx.TEXT).groupBy(F.col("source_file").alias("path")).agg(F.count(F.lit(1)).alias("lines"))
+    return files.join(read, "path", "full").select("filename", F.coalesce("lines", F.lit(0)).alias("lines"), (F.col("length") > 0).alias("has_bytes"))
+
+
+@query
+def read_blocked_gzip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocked archives, each read by many tasks."""
+    path = fx.write_blocked(_records(spark, sf_dir).drop("rec").repartitionByRange(3, "start"), "blocked")
+    return _text_rows(lf.read_vcf(spark, path, suffixes=fx.TEXT, gz_spread_bytes=1, range_bytes=50_000))
+
+
+@query
+def damaged_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text with undeclared and repeated keys and values of wrong type: a row for each line, with every value of it."""
+    df = _records(spark, sf_dir).drop("INFO_CSQ")
+    lines = record_lines(df.drop("rec"), inferred=False)
+    position = F.regexp_extract("line", r"^[^\t]*\t(\d+)", 1).cast("long")
+    rec = F.call_function("div", position - 1, F.lit(50))
+    line = (
+        F.when(rec % 10 == 1, F.regexp_replace("line", r"DP=\d+", F.concat(F.lit("DP=x"), rec.cast("string"))))
+        .when(rec % 10 == 2, F.regexp_replace("line", r"DP=(\d+)", F.concat(F.lit("DP=$1;dp=low;NEW=n"), rec.cast("string"), F.lit(";MARK"))))
+        .when(rec % 10 == 3, F.regexp_replace("line", r"DP=(\d+)", "DP=$1;DP=7;NEW=a;NEW=b"))
+        .when(rec % 10 == 4, F.regexp_replace("line", r"GT:DP", "GT:XY"))
+        .when(rec % 10 == 5, F.concat("line", F.lit(":1:2:3")))
+        .when(rec % 10 == 6, F.regexp_replace("line", r"\d+$", "1.5"))
+        .otherwise(F.col("line")))
+    title = record_lines(df.drop("rec"), inferred=False).select("title").first().title
+    headers = spark.createDataFrame([("", text) for text in [*lf.infer_header(df.drop("rec")), title]], "source_file string, line string")
+    parsed = parse_by_file(lines.select("source_file", line.alias("line")), per_file(headers), merge_layout(headers), "keep")
+    good, rejected = lf.quarantine(parsed)
+    good = lf.promote_undeclared(materialize(good, "good"))
+    kept = good.select(
+        F.call_function("div", F.col("start"), F.lit(50)).alias("rec"), "INFO_DP", "INFO_DP_2", "INFO_dp_3", "INFO_NEW", "INFO_MARK",
+        F.lit(None).cast("string").alias("reason"), F.lit(None).cast("string").alias("value"))
+    text = F.coalesce(F.nullif(F.regexp_extract("raw", r"(DP=x\d+)", 1), F.lit("")), F.nullif(F.regexp_extract("raw", r"(GT:XY)", 1), F.lit("")),
+                      F.regexp_extract("raw", r"([^:]*)$", 1))
+    lost = rejected.select(F.call_function("div", F.regexp_extract("raw", r"^[^\t]*\t(\d+)", 1).cast("long") - 1, F.lit(50)).alias("rec"),
+                           "reason", text.alias("value"))
+    return kept.unionByName(lost, allowMissingColumns=True).withColumnRenamed("INFO_DP", "declared_dp").withColumnRenamed(
+        "INFO_dp_3", "small_dp").withColumnRenamed("INFO_DP_2", "repeated_dp")
+
+
+#: Adds to each record the number of the process (P) and of the line in it (N).
+COUNT = ["/bin/sh", "-c", """awk -v p=$$ 'BEGIN{FS=OFS="\\t"}
+/^#CHROM/{print "##INFO=<ID=P,Number=1,Type=Integer,Description=\\"process\\">"; print "##INFO=<ID=N,Number=1,Type=Integer,Description=\\"line\\">"}
+/^#/{print; next} {$8=$8";P="p";N="(++n); print}'"""]
+
+
+def _counted(piped: DataFrame, slices: int) -> DataFrame:
+    """Records that came through the counting command, those out of order in a process, and whether starts are bounded."""
+    before = F.lag("start").over(Window.partitionBy("source_file", "INFO_P").orderBy("INFO_N"))
+    rows = piped.select("source_file", "INFO_P", "start", (before > F.col("start")).alias("late"))
+    return rows.agg(F.count(F.lit(1)).alias("records"), F.count_if("late").alias("out_of_order"),
+                    (F.count_distinct("source_file", "INFO_P") <= slices).alias("starts_bounded"))
+
+
+def _packed_in_order(df: DataFrame, label: str, **options) -> DataFrame:
+    """Records of gzip text in the order of their positions, spread over tasks in slices."""
+    path = scratch_path(df.sparkSession, label)
+    lf.to_vcf_lines(df.repartitionByRange(3, "start").sortWithinPartitions("start")).select("line").write.option("compression", "gzip").text(path)
+    return lf.read_vcf(df.sparkSession, path, suffixes=fx.TEXT, gz_spread_bytes=20_000, ordered=True, **options)
+
+
+@query
+def pipe_order_after_gzip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives unpacked by one task each and spread: the command still sees slices whole and in order."""
+    records = materialize(_packed_in_order(_records(spark, sf_dir).drop("rec", "genotypes"), "packed"), "spread")
+    slices = records.select("source_file", "slice").distinct().count()
+    return _counted(lf.pipe_partitions(records, COUNT)[0], slices)
+
+
+@query
+def pipe_order_after_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same after a normalization that had to deal the records out."""
+    records = materialize(_packed_in_order(fx.alleles(spark, sf_dir).drop("rec"), "packed-indels"), "spread")
+    slices = records.select("source_file", "slice").distinct().count()
+    chunks = materialize(lf.reference_chunks(spark, fx.write_fasta(spark, sf_dir), fx.CHUNK_SIZE), "chunks")
+    moved = lf.normalize_variants(records, chunks, fx.CHUNK_SIZE, broadcast_bytes=0)
+    original = (F.shiftleft("slice", 32) + F.col("line_number")).alias("start")  # positions moved, so places are compared
+    return _counted(lf.pipe_partitions(moved.drop("normalizationStatus", "start", "end").select("*", original), COUNT)[0], slices)
+
+
 @query
 def flatten_single(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fx.write_vcf(_records(spark, sf_dir).drop("rec"), "single")
