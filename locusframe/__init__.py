@@ -15,7 +15,7 @@ from .plans.ingest import IngestConfig, ingest
 from .sources.fasta import fasta_contig_index, reference_chunks
 from .sources.files import discover_files
 from .sources.tables import append_table, ensure_table, load_table, replace_files, reset_outputs, write_table
-from .sources.vcf import promote_undeclared, read_vcf
+from .sources.vcf import promote_undeclared, read_call_slices, read_vcf
 from .sources.vcf_text import infer_header, to_vcf_lines
 
 __all__ = [
@@ -23,6 +23,6 @@ __all__ = [
     "explode_alleles", "explode_consequences", "explode_genotypes", "fasta_contig_index", "filter_run",
     "flatten_info", "flatten_records", "flatten_single", "infer_header", "ingest", "load_table",
     "normalize_variants", "pipe_partitions", "presence_flags", "preview", "promote_undeclared", "quarantine", "quarantine_count",
-    "read_vcf", "recent_log", "reference_chunks", "replace_files", "reset_outputs", "rows_per_file",
+    "read_call_slices", "read_vcf", "recent_log", "reference_chunks", "replace_files", "reset_outputs", "rows_per_file",
     "split_multiallelics", "table_counts", "to_vcf_lines", "variant_calls", "variants_flat", "write_table",
 ]

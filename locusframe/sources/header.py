@@ -55,6 +55,7 @@ class Layout:
     has_samples: bool = False
     optional_flags: frozenset[str] = field(default_factory=frozenset)
     sample_bytes: int = 0
+    file_bytes: int = 0
 
     @property
     def csq_fields(self) -> list[str]:
@@ -163,6 +164,9 @@ def merge_layout(headers: DataFrame) -> Layout:
         F.count_distinct("source_file").alias("files"),
         F.array_sort(F.collect_set("csq_format")).alias("csq_formats")).orderBy("kind", "id").collect()
     totals = per_file_totals(headers)
+    titles = headers.where(F.col("line").startswith("#CHROM")).select("line").distinct().agg(
+        F.sum(2 * F.length("line") + 64).alias("bytes")).first()
+    per_path = sum(len(r.csq_formats[-1]) if r.csq_formats else 8 + len(r.id) for r in rows)
 
     def merged(row) -> Field:
         kind = max((t for t in row.types if t in WIDENING), key=WIDENING.index, default="String")
@@ -177,12 +181,14 @@ def merge_layout(headers: DataFrame) -> Layout:
         has_csq=csq is not None,
         has_samples=bool(totals.with_samples),
         optional_flags=frozenset(r.id for r in rows if r.kind == "INFO" and r.files < totals.files),
-        sample_bytes=int(totals.bytes or 0),
+        sample_bytes=int(titles.bytes or 0),
+        file_bytes=int(totals.bytes or 0) + int(totals.files) * per_path,
     )
 
 
 def per_file_totals(headers: DataFrame):
+    """Files with a title line, those with samples, and about the bytes of what is told of each besides its samples."""
     title = headers.where(F.col("line").startswith("#CHROM"))
     return title.agg(
-        F.count_distinct("source_file").alias("files"), F.sum(F.length("line") + 64).alias("bytes"),
+        F.count_distinct("source_file").alias("files"), F.sum(2 * F.length("source_file") + 256).alias("bytes"),
         F.count_if(F.size(F.split("line", "\t")) > 8).alias("with_samples")).first()

@@ -11,7 +11,6 @@ undeclared key, or if a sample has more values than FORMAT has keys.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Sequence
 from functools import reduce
 from operator import or_
@@ -209,25 +208,27 @@ def _fault(cells: Column, layout: Layout) -> Column:
     )
 
 
-def parse_records(lines: DataFrame, files: DataFrame, layout: Layout, mode: str = "fail") -> DataFrame:
-    """Data lines (source_file, line) to records; ``files`` is the per-file header table.
+def parse_records(lines: DataFrame, layout: Layout, mode: str = "fail", samples_at_once: int | None = None) -> DataFrame:
+    """Data lines that :func:`describe` has told of their files to records.
 
     Malformed lines raise, are kept with ``corrupt_line`` and ``corrupt_reason`` filled and ``contigName`` NULL,
     or are dropped. A value that is not of its type raises when it is read. The columns of ``ORDER`` are kept.
+    With ``samples_at_once`` a line is repeated for each so many of its samples.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {', '.join(MODES)}, got {mode!r}")
     strict = mode == "fail"
-    described = lines.join(files, "source_file", "left")
     split_line = F.split("line", "\t")
     if strict:
         # as a filter condition the check is pushed below the split, so it splits the line once by itself
         fault = let(split_line, lambda cells: _fault(cells, layout))
         raised = F.coalesce(F.raise_error(_message(fault)).cast("boolean"), F.lit(False))
-        rows = described.where(F.when(fault.isNull(), True).otherwise(raised)).withColumn("cells", split_line)
+        rows = lines.where(F.when(fault.isNull(), True).otherwise(raised)).withColumn("cells", split_line)
     else:
-        rows = described.withColumn("cells", split_line).withColumn("fault", _fault(F.col("cells"), layout))
+        rows = lines.withColumn("cells", split_line).withColumn("fault", _fault(F.col("cells"), layout))
         rows = rows.withColumn("cells", F.when(F.col("fault").isNull(), F.col("cells")))
+    if samples_at_once is not None:
+        rows = _by_sample_slices(rows, samples_at_once)
     rows = rows.withColumn("pairs", F.split(_present(F.get("cells", F.lit(7))), ";"))
     rows = rows.withColumns({
         "keys": F.transform("pairs", lambda p: F.substring_index(p, "=", 1)),
@@ -278,6 +279,15 @@ def parse_records(lines: DataFrame, files: DataFrame, layout: Layout, mode: str
         "corrupt_line": F.when(reason.isNotNull(), F.col("line")), "corrupt_reason": reason}).drop("line", "reason")
 
 
+def _by_sample_slices(rows: DataFrame, width: int) -> DataFrame:
+    """Each line once for every ``width`` of its samples: the site cells with the cells and names of these alone."""
+    first = F.explode(F.sequence(F.lit(0), F.greatest(F.size("samples") - 1, F.lit(0)), F.lit(width)))
+    at = F.col("first_sample")
+    return rows.withColumn("first_sample", first).withColumns({
+        "cells": F.concat(F.slice("cells", 1, 9), F.slice("cells", at + 10, F.lit(width))),
+        "samples": F.slice("samples", at + 1, F.lit(width))}).drop("first_sample")
+
+
 def promote_undeclared(df: DataFrame) -> DataFrame:
     """INFO columns of type String for the keys that no header declares, in place of their map.
 
@@ -356,9 +366,32 @@ def read_vcf(
     ``headers`` takes header lines already read, ``files`` a listing; ``header_method`` is that of
     :func:`read_headers`; ``without`` names paths to leave out. Gzip files above ``gz_spread_bytes`` are read by
     many tasks if they are blocked, ``range_bytes`` each, else unpacked by one and spread in slices. With ``ordered`` the columns
-    ``slice`` and ``line_number`` say where a record stood. The per-file header table is broadcast in groups of
-    files whose sample names fit ``broadcast_bytes``, so it never has to be broadcast whole.
+    ``slice`` and ``line_number`` say where a record stood. What headers say is broadcast below ``broadcast_bytes``.
     """
+    lines, files, layout = _described(spark, paths, only, limit, suffixes, headers, header_method, gz_spread_bytes,
+                                      range_bytes, without, files)
+    return parse_by_file(lines if ordered else lines.drop(*ORDER), files, layout, mode, broadcast_bytes)
+
+
+def read_call_slices(spark: SparkSession, paths: str | Sequence[str], samples_at_once: int = 256, mode: str = "fail",
+                     only: Iterable[str] | None = None, limit: int | None = None, suffixes: Sequence[str] = VCF_SUFFIXES,
+                     headers: DataFrame | None = None, header_method: str = "auto", gz_spread_bytes: int = 128 << 20,
+                     broadcast_bytes: int = 64 << 20, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Records for the calls of wide cohorts: each line repeats for every ``samples_at_once`` of its samples.
+
+    ``variant_calls`` gives the same rows for them as for the records of :func:`read_vcf`, but no row ever holds the
+    parsed genotypes of more samples than that. Not for the tables by variant, whose rows would repeat.
+    """
+    lines, files, layout = _described(spark, paths, only, limit, suffixes, headers, header_method, gz_spread_bytes, range_bytes, (), None)
+    records = parse_by_file(lines.drop(*ORDER), files, layout, mode, broadcast_bytes, samples_at_once)
+    core = ["contigName", "start", "referenceAllele", "alternateAlleles", "genotypes", "source_file"]
+    return records.select(*[c for c in records.columns if c in core or c.startswith("corrupt_")])
+
+
+def _described(spark: SparkSession, paths: str | Sequence[str], only: Iterable[str] | None, limit: int | None, suffixes: Sequence[str],
+               headers: DataFrame | None, header_method: str, gz_spread_bytes: int, range_bytes: int, without: Sequence[str],
+               files: DataFrame | None) -> tuple[DataFrame, DataFrame, Layout]:
+    """Lines, per-file header table and layout of the files that are asked for."""
     if files is None:
         files = materialize(discover_files(spark, paths, suffixes, only, limit), "files")
     if headers is None:
@@ -367,20 +400,27 @@ def read_vcf(
     last_path = files.agg(F.max("path")).first()[0] if limit is not None else None
     lines = scan_lines(spark, paths, suffixes, only, last_path, without, files, gz_spread_bytes,
                        range_bytes, direct=False if header_method == "scan" else None)
-    return parse_by_file(lines if ordered else lines.drop(*ORDER), per_file(headers), layout, mode, broadcast_bytes)
+    return lines, per_file(headers), layout
 
 
-def parse_by_file(lines: DataFrame, files: DataFrame, layout: Layout, mode: str = "fail",
-                  broadcast_bytes: int = 64 << 20) -> DataFrame:
-    """:func:`parse_records` with the header table broadcast in groups of files of bounded size.
+def describe(lines: DataFrame, files: DataFrame, layout: Layout, broadcast_bytes: int = 64 << 20) -> DataFrame:
+    """Lines with what the header of their file says: columns, sections, sample names, consequence format.
 
-    Where all sample names together exceed the bound, the files are cut into groups by a hash of the
-    path and each group is parsed with its own share; the text of other groups is skipped when listing.
+    Files share sample lists, so the names are a dictionary of distinct lists. What is known by file and the
+    dictionary are each broadcast while they are below ``broadcast_bytes``, and joined by a shuffle beyond it.
     """
-    groups = max(1, math.ceil(layout.sample_bytes / broadcast_bytes))
-    if groups == 1:
-        return parse_records(lines, F.broadcast(files), layout, mode)
-    group = F.pmod(F.xxhash64("source_file"), F.lit(groups))
-    parts = [parse_records(lines.where(group == g), F.broadcast(files.where(group == g)), layout, mode)
-             for g in range(groups)]
-    return reduce(DataFrame.unionByName, parts)
+    sample_list = F.sha2(F.array_join("samples", "\t"), 256)
+    by_file = files.withColumn("sample_list", sample_list).drop("samples")
+    lists = files.select(sample_list.alias("sample_list"), "samples").dropDuplicates(["sample_list"])
+
+    def bounded(table: DataFrame, size: int) -> DataFrame:
+        return F.broadcast(table) if size <= broadcast_bytes else table
+
+    return lines.join(bounded(by_file, layout.file_bytes), "source_file", "left").join(
+        bounded(lists, layout.sample_bytes), "sample_list", "left").drop("sample_list")
+
+
+def parse_by_file(lines: DataFrame, files: DataFrame, layout: Layout, mode: str = "fail",
+                  broadcast_bytes: int = 64 << 20, samples_at_once: int | None = None) -> DataFrame:
+    """Data lines (source_file, line) to records; ``files`` is the per-file header table."""
+    return parse_records(describe(lines, files, layout, broadcast_bytes), layout, mode, samples_at_once)

@@ -234,6 +234,8 @@ ORDER BY contigName, pos, alt LIMIT 20""",
 FROM (VALUES (0, 'a.txt'), (1, '_b.txt'), (2, '.c.txt'), (4, 'it''s 100% [e].TXT'), (9, 'empty.txt')) f(piece, name)
 LEFT JOIN orders ON o_orderkey % 5 = piece GROUP BY name""",
     "read_blocked_gzip": TEXT_ROWS,
+    "call_slices": f"""WITH {G} SELECT variant_key, g.sampleId AS sample_id, {js(TEXT_CALLS)} AS calls, g.depth AS DP,
+  {js('g.alleleDepths')} AS AD, {js('g.phredLikelihoods')} AS PL FROM g""",
     "damaged_values": f"""WITH {V} SELECT rec,
   CASE WHEN rec % 10 IN (1, 4, 5, 6) THEN NULL ELSE INFO_DP END AS declared_dp,
   CASE rec % 10 WHEN 2 THEN 'low' END AS small_dp, CASE rec % 10 WHEN 3 THEN '7' END AS repeated_dp,

@@ -451,6 +451,16 @@ def read_blocked_gzip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text_rows(lf.read_vcf(spark, path, suffixes=fx.TEXT, gz_spread_bytes=1, range_bytes=50_000))
 
 
+@query
+def call_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls from text without the nested array of all samples."""
+    path = fx.write_vcf(_records(spark, sf_dir).drop("rec"), "slices")
+    rows = lf.explode_alleles(lf.read_call_slices(spark, path, samples_at_once=3, suffixes=fx.TEXT), [F.col("genotypes")])
+    calls = rows.select("variant_key", F.explode("genotypes").alias("g"))
+    return calls.select("variant_key", F.col("g.sampleId").alias("sample_id"), F.to_json("g.calls").alias("calls"), F.col("g.depth").alias("DP"),
+                        F.to_json("g.alleleDepths").alias("AD"), F.to_json("g.phredLikelihoods").alias("PL"))
+
+
 @query
 def damaged_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text with undeclared and repeated keys and values of wrong type: a row for each line, with every value of it."""

@@ -97,17 +97,42 @@ def test_headers_merge_over_files(spark, tmp_path):
     assert [g.sampleId for g in b.genotypes] == ["other"]
 
 
-def test_samples_stay_with_their_file_when_headers_are_grouped(spark, tmp_path):
+@pytest.mark.parametrize("broadcast_bytes", [64 << 20, 300])
+def test_samples_stay_with_their_file(spark, tmp_path, broadcast_bytes):
     for i in range(9):
         vcf(tmp_path / f"f{i}.vcf", [fmt("GT", 1, "String")],
-            [line("1", i + 1, ".", "A", "T", ".", ".", ".", "GT", "0/1")], [f"sample{i}"])
-    whole = lf.read_vcf(spark, str(tmp_path))
-    grouped = lf.read_vcf(spark, str(tmp_path), broadcast_bytes=300)
-    assert grouped._jdf.queryExecution().optimizedPlan().toString().count("Union") >= 1
-    expected = [(i, f"sample{i}") for i in range(9)]
-    for df in (whole, grouped):
-        rows = df.select("start", F.explode("genotypes.sampleId").alias("s")).orderBy("start").collect()
-        assert [tuple(r) for r in rows] == expected
+            [line("1", i + 1, ".", "A", "T", ".", ".", ".", "GT", "0/1")], [f"sample{i // 2}"])
+    df = lf.read_vcf(spark, str(tmp_path), broadcast_bytes=broadcast_bytes)
+    rows = df.select("start", F.explode("genotypes.sampleId").alias("s")).orderBy("start").collect()
+    assert [tuple(r) for r in rows] == [(i, f"sample{i // 2}") for i in range(9)]
+
+
+def test_the_plan_does_not_grow_with_the_files(spark, tmp_path):
+    sizes = []
+    for many in (3, 30):
+        folder = tmp_path / str(many)
+        folder.mkdir()
+        for i in range(many):
+            vcf(folder / f"f{i}.vcf", [fmt("GT", 1, "String")], [line("1", 1, ".", "A", "T", ".", ".", ".", "GT", "0/1")], [f"s{i}"])
+        for bound in (64 << 20, 300):
+            plan = lf.read_vcf(spark, str(folder), broadcast_bytes=bound)._jdf.queryExecution().optimizedPlan()
+            sizes.append((bound, plan.collectLeaves().size(), plan.toString().count("Join")))
+    assert sizes[:2] == sizes[2:]
+
+
+def test_calls_of_a_wide_file_in_slices(spark, tmp_path):
+    names = [f"s{k}" for k in range(10_000)]
+    cells = [f"{k % 3}|{k % 2}:{k % 50}" if k % 7 else "./.:." for k in range(10_000)]
+    lines = [line("1", p, ".", "A", alt, ".", ".", ".", "GT:DP", *cells) for p, alt in ((5, "C,G"), (9, "."), (12, "T"))]
+    vcf(tmp_path / "wide.vcf", [fmt("GT", 1, "String"), fmt("DP", 1, "Integer")], lines, names)
+    vcf(tmp_path / "sites.vcf", [], [line("2", 5, ".", "A", "T", ".", ".", ".")])
+    whole = lf.variant_calls(lf.read_vcf(spark, str(tmp_path)), caller_fields=True)
+    for width in (256, 9999, 20_000):
+        sliced = lf.read_call_slices(spark, str(tmp_path), width)
+        assert sliced.agg(F.max(F.size("genotypes"))).first()[0] == min(width, 10_000)
+        calls = lf.variant_calls(sliced, caller_fields=True)
+        assert calls.columns == whole.columns and calls.count() == 40_001
+        assert calls.exceptAll(whole).count() == 0 == whole.exceptAll(calls).count()
 
 
 def test_consequence_formats(spark, tmp_path):

@@ -298,3 +298,19 @@ def test_log_says_what_happened_without_counts(spark, folder, database):
         assert (log.status, log.stage) == ("processed", "write") and "wrong number" in log.error
         rejected = spark.table(f"{database}.vcf_pipe_quarantine").collect()
         assert [(r.raw, r.run_id) for r in rejected] == [("broken", log.run_id)]
+
+
+def test_result_files_are_in_the_order_of_positions(spark, folder, database):
+    from urllib.parse import unquote
+
+    import pyarrow.parquet as pq
+
+    rows = [line(f"chr{k % 3}", 1 + k * 7919 % 5000, ".", "A", "T", ".", ".", ".") for k in range(5000)]
+    vcf(folder / "mixed.vcf", [], rows)
+    lf.ingest(spark, lf.IngestConfig(str(folder), database))
+    table = spark.table(f"{database}.variants_flat")
+    for path in table.inputFiles():
+        held = pq.ParquetFile(unquote(path.removeprefix("file://"))).read(["chrom", "pos"]).to_pylist()
+        assert [(r["chrom"], r["pos"]) for r in held] == sorted((r["chrom"], r["pos"]) for r in held)
+    plan = table.where("chrom = 'chr1' AND pos < 100")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(chrom), IsNotNull(pos), EqualTo(chrom,chr1), LessThan(pos,100)]" in plan
