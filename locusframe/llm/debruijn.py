@@ -7,12 +7,13 @@ minimizer occurs twice become edges. Repeated edges are found by a group, get th
 occurrence as source, and are joined back to their occurrences. Where an occurrence runs along its source
 edge by edge the path does not branch, and it is compacted into one span; a branch begins another span.
 Every span is then verified: the words at its coordinates and at those of its source have equal digests. If
-one has not (edges are 64-bit hashes), all is done again with another hash, so the result is exact.
+one has not (edges are 64-bit hashes), all is done again with another, independent hash, so the result is exact.
 
 Equal texts are one node path each: they are found first by digest, one of them stands for all, and all of
 them go whole, so a third of all rows being one text adds no edges.
 
-A null text has no words. Texts of fewer than 35 words stay whole. Rows are told apart by a number of their
+A null text has no words. Texts of fewer than 35 words stay whole; a very long text, or word, is hashed whole in
+its task. Rows are told apart by a number of their
 own, so repeated rows are copies of each other. Null ids are kept. An empty table gives an empty result.
 Other columns are not read.
 """
@@ -33,8 +34,7 @@ WINDOW, MINIMIZER = 35, 10
 
 
 def word_values(data: np.ndarray, salt: int) -> np.ndarray:
-    words, _, _ = hashing.words(data)
-    return hashing.mix(words + np.uint64(salt * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
+    return hashing.words(data, salt=salt)[0]
 
 
 def _smallest(values: np.ndarray, width: int) -> np.ndarray:
