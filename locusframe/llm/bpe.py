@@ -8,7 +8,8 @@ offsets, character offsets and decoding.
 
 A null text counts as empty: no ids. An id without bytes in the vocabulary raises a ValueError when it is
 decoded. Rows are independent of each other, so repeated rows get equal results, and columns of the input
-are kept as they are; a result column whose name is taken raises a ValueError.
+are kept as they are; a result column whose name is taken raises a ValueError. An empty table gives an empty
+result; a very long text is encoded whole.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ _OTHER_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, r
     "\u2028\u2029\u202f\u205f\u3000")
 _MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
-_codecs: dict[str, ByteBpe] = {}
+_codecs: dict[tuple[str, bool], ByteBpe] = {}
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -81,9 +82,13 @@ class _Chunks(dict):
 
 
 class ByteBpe:
-    """One tokenizer file: encode texts, give ids their bytes."""
+    """One tokenizer file: encode texts, give ids their bytes.
 
-    def __init__(self, path: str):
+    Added tokens that stand in a text are text like any other, or, with ``added``, one id each, as the tokenizer
+    file has it; such a text is left to the library whole.
+    """
+
+    def __init__(self, path: str, added: bool = False):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -91,6 +96,8 @@ class ByteBpe:
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
+        self.whole = Tokenizer.from_file(path) if added else None
+        self.added = [t.content for t in tokenizer.get_added_tokens_decoder().values()] if added else []
         vocabulary = tokenizer.get_vocab(with_added_tokens=True)
         special = {k for k, token in tokenizer.get_added_tokens_decoder().items() if token.special}
         alphabet = byte_alphabet()
@@ -114,12 +121,17 @@ class ByteBpe:
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""
         for begin in range(0, len(texts), 500):
-            cut = [self.cut(t or "") for t in texts[begin:begin + 500]]
+            some = texts[begin:begin + 500]
+            whole = {k for k, t in enumerate(some) if t and any(token in t for token in self.added)}
+            cut = [self.cut("" if k in whole else t or "") for k, t in enumerate(some)]
             self.first.learn({line[0] for lines in cut for line in lines})
             self.rest.learn(set(chain.from_iterable(line[1:] for lines in cut for line in lines)))
-            for lines in cut:
-                yield self.newline.join(
-                    [self.first[line[0]] + b"".join(map(self.rest.__getitem__, line[1:])) for line in lines])
+            for k, lines in enumerate(cut):
+                if k in whole:
+                    yield array("I", self.whole.encode(some[k], add_special_tokens=False).ids).tobytes()
+                else:
+                    yield self.newline.join(
+                        [self.first[line[0]] + b"".join(map(self.rest.__getitem__, line[1:])) for line in lines])
 
     def decode(self, ids: list[int]) -> bytes:
         try:
@@ -135,11 +147,11 @@ class ByteBpe:
         return starts, character[starts]
 
 
-def codec(path: str) -> ByteBpe:
+def codec(path: str, added: bool = False) -> ByteBpe:
     """The tokenizer of a file, read once by each worker."""
-    if path not in _codecs:
-        _codecs[path] = ByteBpe(path)
-    return _codecs[path]
+    if (path, added) not in _codecs:
+        _codecs[path, added] = ByteBpe(path, added)
+    return _codecs[path, added]
 
 
 def _extended(df: DataFrame, extra: list[T.StructField]) -> T.StructType:

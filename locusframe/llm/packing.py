@@ -7,8 +7,9 @@ tree over remaining capacities finds the tightest run that takes a piece in loga
 says which ranks among the pieces of a length go where; ranks come from a salted window, so a length
 shared by a third of all pieces is spread over tasks.
 
-A null or empty text is a document of one token, its end mark. Repeated rows are packed once each. An
-empty table gives an empty result. Other columns are not read.
+A null or empty text is a document of one token, its end mark. The text of an added token is that token. Repeated
+rows are packed once each. A very long text is encoded whole and cut into pieces. An empty table gives an empty
+result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -100,7 +101,7 @@ def pieces(docs: DataFrame, path: str, capacity: int, end_id: int, id_col: str,
     schema = T.StructType([rows.schema["doc_id"], *(T.StructField(c, T.LongType()) for c in longs)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, end = codec(path), np.array([end_id], "<u4").tobytes()
+        bpe, end = codec(path, added=True), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             row, out = [], {c: [] for c in longs}
             for at, data in enumerate(bpe.encode(batch.column(1).to_pylist())):
