@@ -1,9 +1,10 @@
 """Secret scans with multipart credential linking, in DataFrame functions only.
 
 Base kinds are reported wherever they stand. Weak parts (identifiers, secrets, endpoints that would be noise
-alone) are reported only where their complements stand in the same scope: an interval join within a text,
-on the distance of starts. It runs as a range frame over parts ordered by start, so no pairs are made and a
-text with many parts costs a sort. Texts are scanned once; only the found parts, a few numbers each, are
+alone) are reported only where a complement, a part of another sort, stands in the same scope: an interval join
+within a text, on the distance of starts. It runs as a range frame over parts ordered by start, so no pairs are
+made and a text with many parts costs a sort. A weak part that overlaps a base span, and a weak secret that overlaps
+an identifier or an endpoint, is that part again and complements nothing. Texts are scanned once; only the found parts, a few numbers each, are
 written and shuffled, keyed by a row number, so one hot source or id does not gather in a task.
 
 A null text counts as empty: no spans. A null id is kept. Rows are told apart by a number of their own, so
@@ -13,6 +14,9 @@ read by ``scan``; ``clean`` keeps them.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from locusframe.scratch import materialize
@@ -66,9 +70,9 @@ def _hits(text: Column, kind: str) -> Column:
 
 
 def _parts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One written row per row of ``df``: a number, the id, and all matches; weak ones where both sorts may be."""
+    """One written row per row of ``df``: a number, the id, and all matches; weak ones where two sorts may be."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    identified = text.rlike(PATTERNS["identifier"][0])
+    identified = text.rlike(PATTERNS["identifier"][0]) | text.rlike(PATTERNS["endpoint"][0])
     none = F.array().cast("array<struct<kind:int,nth:bigint,gap:bigint,size:bigint,counts:boolean>>")
     weak = [F.when(identified, _hits(text, kind)).otherwise(none) for kind in KINDS[len(BASE):]]
     parts = F.concat(*(_hits(text, kind) for kind in BASE), *weak)
@@ -93,15 +97,21 @@ def _spans(parts: DataFrame, scope: int) -> DataFrame:
     around = Window.partitionBy("row").orderBy("start").rangeBetween(-scope, scope)
     up_to = Window.partitionBy("row").orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
     onward = Window.partitionBy("row").orderBy("start").rangeBetween(0, Window.unboundedFollowing)
-    near = {part: F.max(plays(part)).over(around) for part in ("identifier", "secret")}
-    clear = (F.coalesce(F.max(F.when(is_base, F.col("end"))).over(up_to), F.lit(0)) <= F.col("start")) & (
-        F.coalesce(F.min(F.when(is_base, F.col("start"))).over(onward), F.col("end")) >= F.col("end"))
-    linked = near["identifier"] & near["secret"] & clear
     # A weak secret may cover an identifier or an endpoint; the part that is named stays.
     named = kind.isin(KINDS.index("identifier"), KINDS.index("endpoint"))
-    apart = (F.coalesce(F.max(F.when(named, F.col("end"))).over(up_to), F.lit(0)) <= F.col("start")) & (
-        F.coalesce(F.min(F.when(named, F.col("start"))).over(onward), F.col("end")) >= F.col("end"))
-    return spans.withColumn("stays", is_base | (linked & (named | apart))).where("stays").select("row", "kind", "start", "end")
+
+    def apart_from(others: Column) -> Column:
+        """Whether no span of the others reaches in from before, or begins before the end."""
+        return (F.coalesce(F.max(F.when(others, F.col("end"))).over(up_to), F.lit(0)) <= F.col("start")) & (
+            F.coalesce(F.min(F.when(others, F.col("start"))).over(onward), F.col("end")) >= F.col("end"))
+
+    alone = spans.withColumn("alone", is_base | (apart_from(is_base) & (named | apart_from(named)))).where("alone")
+    near = {part: F.max(plays(part)).over(around) for part in ("identifier", "secret", "endpoint")}
+    linked = F.lit(False)
+    for part in near:
+        complement = reduce(or_, [near[other] for other in near if other != part])
+        linked = linked | ((kind == KINDS.index(part)) & complement)
+    return alone.withColumn("stays", is_base | linked).where("stays").select("row", "kind", "start", "end")
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE) -> DataFrame:
@@ -154,12 +164,12 @@ def _masked(text: Column, spans: Column) -> Column:
 def clean(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE) -> DataFrame:
     """``df`` with every span in ``text_col`` replaced by a mark; other columns and clean texts as they are.
 
-    Texts that no pattern of a base kind or identifier matches hold no span and pass straight through; only
+    Texts that no pattern of a base kind, identifier or endpoint matches hold no span and pass straight through; only
     the others meet their spans in a join, by a digest of the text.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     may_hold = F.lit(False)
-    for kind in (*BASE, "identifier"):
+    for kind in (*BASE, "identifier", "endpoint"):
         may_hold = may_hold | text.rlike(PATTERNS[kind][0])
     keyed = df.where(may_hold).withColumn("__text_hash", F.sha2(text, 256))
     found = scan(keyed.select("__text_hash", text_col), "__text_hash", text_col, scope)
