@@ -65,10 +65,10 @@ def caller_columns(g: Column, struct_type: T.StructType) -> list[Column]:
     ]
 
 
-def variant_calls(df: DataFrame, caller_fields: bool = False, raw: str = "keep") -> DataFrame:
+def variant_calls(df: DataFrame, caller_fields: bool = False, raw: str = "keep", keys: bool = False) -> DataFrame:
     """The flat calls table: provenance, variant_id, sample_id, GT, DP, GQ, AD, PL, phased.
 
-    ``caller_fields`` adds AF, SB, F1R2, F2R1, PID, PGT and PS. Genotypes that are not structs are put
+    ``caller_fields`` adds AF, SB, F1R2, F2R1, PID, PGT and PS, ``keys`` the variant_key. Genotypes that are not structs are put
     into GT as text with ``raw="keep"`` and left out with ``raw="drop"``.
     """
     if raw not in ("keep", "drop"):
@@ -86,4 +86,4 @@ def variant_calls(df: DataFrame, caller_fields: bool = False, raw: str = "keep")
             rows = rows.where(F.lit(False))
     if caller_fields:
         values += caller_columns(g, struct_type)
-    return rows.select(*provenance_columns(df), "variant_id", *values)
+    return rows.select(*provenance_columns(df), "variant_id", *(["variant_key"] if keys else []), *values)

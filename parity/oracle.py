@@ -173,11 +173,11 @@ UNION ALL SELECT false, false, count(*), 'none' FROM orders""",
     "call_ad_pl": f"""WITH {G} SELECT variant_key, g.sampleId AS sample_id, {js('g.alleleDepths')} AS AD,
   {js('g.phredLikelihoods')} AS PL FROM g""",
     "variant_calls": f"WITH {G} SELECT variant_key, {CALL} FROM g",
-    "calls_short_names": f"""WITH {G} SELECT g.sampleId AS sample_id, NULL::varchar AS GT, g.depth AS DP,
+    "calls_short_names": f"""WITH {G} SELECT variant_key, g.sampleId AS sample_id, NULL::varchar AS GT, g.depth AS DP,
   g.conditionalQuality AS GQ, {js('g.alleleDepths')} AS AD, {js('g.phredLikelihoods')} AS PL, NULL::boolean AS phased FROM g""",
     "calls_raw_fallback": f"""WITH {G} SELECT NULL::varchar AS sample_id, g.sampleId AS GT, NULL::int AS DP, NULL::int AS GQ,
   NULL::varchar AS AD, NULL::varchar AS PL, NULL::boolean AS phased, 'keep' AS raw FROM g""",
-    "call_extra_fields": f"""WITH {G} SELECT g.sampleId AS sample_id, NULL::varchar AS AF, {js('g.phredLikelihoods')} AS SB,
+    "call_extra_fields": f"""WITH {G} SELECT variant_key, g.sampleId AS sample_id, NULL::varchar AS AF, {js('g.phredLikelihoods')} AS SB,
   {js('g.alleleDepths')} AS F1R2, NULL::varchar AS F2R1, g.sampleId || '_p' AS PID, NULL::varchar AS PGT, g.depth AS PS FROM g""",
     "split_multiallelics": f"""WITH {S} SELECT rec, {js('alternateAlleles')} AS alternateAlleles, {js('INFO_AC')} AS INFO_AC,
   splitFromMultiAllelic, u.g.sampleId AS sample_id, {js('u.g.calls')} AS calls, {js('u.g.alleleDepths')} AS alleleDepths,

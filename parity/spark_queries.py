@@ -143,9 +143,7 @@ def calls_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _calls(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Calls with the key of their allele, so that values of another row cannot pass for right."""
-    df = _records(spark, sf_dir)
-    keys = lf.explode_alleles(df, []).select("variant_id", "variant_key").distinct()
-    return lf.variant_calls(df).join(keys, "variant_id").select("variant_key", "sample_id", *columns)
+    return lf.variant_calls(_records(spark, sf_dir), keys=True).select("variant_key", "sample_id", *columns)
 
 
 @query
@@ -173,7 +171,7 @@ def calls_short_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     short = F.transform("genotypes", lambda g: F.struct(
         g["sampleId"].alias("sampleId"), g["depth"].alias("DP"), g["conditionalQuality"].alias("GQ"),
         g["alleleDepths"].alias("AD"), g["phredLikelihoods"].alias("PL")))
-    return lf.variant_calls(_records(spark, sf_dir).withColumn("genotypes", short)).drop("variant_id")
+    return lf.variant_calls(_records(spark, sf_dir).withColumn("genotypes", short), keys=True).drop("variant_id")
 
 
 @query
@@ -189,8 +187,8 @@ def call_extra_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = F.transform("genotypes", lambda g: F.struct(
         g["sampleId"].alias("sampleId"), g["depth"].alias("PS"), g["alleleDepths"].alias("F1R2"),
         g["phredLikelihoods"].alias("SB"), F.concat(g["sampleId"], F.lit("_p")).alias("PID")))
-    rows = lf.variant_calls(_records(spark, sf_dir).withColumn("genotypes", extra), caller_fields=True)
-    return rows.select("sample_id", *CALLER_FIELDS)
+    rows = lf.variant_calls(_records(spark, sf_dir).withColumn("genotypes", extra), caller_fields=True, keys=True)
+    return rows.select("variant_key", "sample_id", *CALLER_FIELDS)
 
 
 # --- split, normalize, pipe, quarantine --------------------------------------------------------
