@@ -11,18 +11,20 @@ ceil(0.8 n) with any partner, so two sets that link share their k first common s
 n - ceil(0.8 n) + k of each, for every k. With k = n/5 this is also the filter that comes first: a set
 whose leading shingles are not in other sets often enough has no partner and leaves, before any set is
 shuffled. Lists never give all pairs: a list links its members to its first member, and members that this
-does not settle are joined within bands of their distance to it, since the Jaccard distance is a metric.
-Every possible link between sets of different components is thus checked.
+does not settle are joined within bands of their distance to it, since the Jaccard distance is a metric. That
+join holds a sketch of each set, counts of its shingles by classes of their hash, which bounds what two sets can
+have in common; the few pairs that pass are verified on the sets. Every possible link between sets of different
+components is thus checked.
 
 A null text has no words, an empty set, and links with nothing. A text of fewer words than a shingle is one
-shingle, if it has a word. Rows are told apart by a number of their own: repeated rows get equal results,
+shingle, if it has a word; a very long text, or word, is hashed whole in its task. Rows are told apart by a number of their own: repeated rows get equal results,
 null ids are kept and do not count when the smallest id of a component is sought. An empty table gives an
 empty result. Other columns are not read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +32,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from locusframe.llm import exchange, hashing
 from locusframe.llm.components import components
+from locusframe.llm.steps import Steps
 from locusframe.scratch import materialize
 
 WORDS, LEAST_PERCENT = 5, 80
 #: Shingles in at least this many sets go to the end of the order; at most HEAVY_LIST of them are told apart.
 COMMON, HEAVY_LIST = 32, 1 << 17
+#: Classes of a sketch, a power of two.
+SKETCH = 256
 
 _BY_PLACE = hashing.mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
@@ -69,7 +74,7 @@ def _filter_k(n: int) -> int:
     return -(-n // 5)
 
 
-def _survivors(copy: DataFrame, skip: str) -> DataFrame:
+def _survivors(copy: DataFrame, skip: str, steps: Steps) -> DataFrame:
     """Written rows (row, doc_id, n, tokens); tokens are null where no other set can be a partner.
 
     So are those of the rows that ``skip`` names, texts that an earlier row has as well.
@@ -103,24 +108,33 @@ def _survivors(copy: DataFrame, skip: str) -> DataFrame:
 
     rows = copy.select("batch", "row", "text", "doc_id")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return materialize(rows.mapInArrow(run, f"row long, doc_id {kind}, n long, tokens array<long>"), "sets")
+    return steps.write(rows.mapInArrow(run, f"row long, doc_id {kind}, n long, tokens array<long>"), "sets")
 
 
 def _similar(a: Column, b: Column, common: Column) -> Column:
     return 100 * common >= LEAST_PERCENT * (a + b - common)
 
 
-def _differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (columns a, b) with na, nb and delta, the shingles that only one of the two has."""
+def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` (columns a, b) with na, nb and common, the number of shingles in both."""
     left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
-    return pairs.join(left, "a").join(right, "b").select(
-        *pairs.columns, "na", "nb", F.concat(F.array_except("ta", "tb"), F.array_except("tb", "ta")).alias("delta"))
+    return pairs.join(left, "a").join(right, "b").select(*pairs.columns, "na", "nb", F.size(F.array_intersect("ta", "tb")).alias("common"))
 
 
-def _common(a: Column, b: Column, apart: Column) -> Column:
-    """Shingles in both sets, from their sizes and the number that only one has."""
-    return (a + b - apart) / 2
+def _sketches(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, sketch): how many shingles of a set fall into each of ``SKETCH`` classes of their hash."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = [np.bincount(np.array(t, np.int64) & (SKETCH - 1), minlength=SKETCH).astype(np.int32) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.list_(pa.int32()))], ["node", "sketch"])
+
+    return sets.join(nodes, "node", "left_semi").select("node", "tokens").mapInArrow(run, "node long, sketch array<int>")
+
+
+def _may_have_in_common(a: Column, b: Column) -> Column:
+    """At most so many shingles two sets have in common, by their sketches."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0), lambda total, x: total + x)
 
 
 def _boundary(leads: DataFrame) -> int:
@@ -144,7 +158,7 @@ def _boundary(leads: DataFrame) -> int:
     return boundary
 
 
-def _postings(sets: DataFrame) -> DataFrame:
+def _postings(sets: DataFrame, steps: Steps) -> DataFrame:
     """Written rows (key, node, n, heavy): signatures under which sets meet, light pairs and single shingles."""
     spark = sets.sparkSession
     tokens = sets.select(F.explode("tokens").alias("token"))
@@ -176,7 +190,7 @@ def _postings(sets: DataFrame) -> DataFrame:
                 out[3].extend(range(len(head)))
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["token", "node", "n", "place"])
 
-    leads = materialize(sets.select("node", "n", "tokens").mapInArrow(lead, "token long, node long, n long, place long"), "leads")
+    leads = steps.write(sets.select("node", "n", "tokens").mapInArrow(lead, "token long, node long, n long, place long"), "leads")
     single = F.col("place") < F.col("n") - F.ceil(F.col("n") * LEAST_PERCENT / 100) + 1
     light = _boundary(leads.where(single))
     is_light = F.col("n") <= light
@@ -186,47 +200,69 @@ def _postings(sets: DataFrame) -> DataFrame:
     pairs = subsets.select("node", "n", F.posexplode("head").alias("i", "x"), "head").select(
         "node", "n", "x", F.explode(F.slice("head", F.col("i") + 2, F.greatest(F.size("head") - F.col("i") - 1, F.lit(0)))).alias("y"))
     two = pairs.select(F.xxhash64(F.lit(2), "x", "y").alias("key"), "node", "n", F.lit(True).alias("heavy"))
-    return materialize(one.unionByName(two), "postings")
+    postings = steps.write(one.unionByName(two), "postings")
+    steps.drop(leads)
+    return postings
 
 
-def links(sets: DataFrame) -> DataFrame:
-    """Written links (a, b) that connect all linked ones of ``sets`` (node, n, tokens; sets are distinct)."""
-    postings = _postings(sets)
+def links(sets: DataFrame, measured_all: Callable[[], None] = lambda: None) -> DataFrame:
+    """Written links (a, b) that connect all linked ones of ``sets`` (node, n, tokens; sets are distinct).
+
+    ``measured_all`` is called once the sets are not needed any more.
+    """
+    steps = Steps(sets.sparkSession)
+    postings = _postings(sets, steps)
     # A list of single shingles in which no set is heavy is left to the pairs.
     hubs = postings.groupBy("key").agg(
         F.min("node").alias("hub"), F.count(F.lit(1)).alias("members"), F.max("heavy").alias("scanned"))
-    hubs = materialize(hubs.where("members > 1 AND scanned"), "hubs")
-    member = materialize(postings.join(hubs.select("key", "hub"), "key").select("hub", "node").distinct(), "hub-members")
-    measured = _differences(member.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")), sets)
-    common = _common(F.col("na"), F.col("nb"), F.size("delta"))
-    star = materialize(measured.select(
-        "a", "b", F.col("nb").alias("n"), "delta", (1 - common / (F.col("na") + F.col("nb") - common)).alias("d"),
-        _similar(F.col("na"), F.col("nb"), common).alias("linked")), "stars")
+    hubs = steps.write(hubs.where("members > 1 AND scanned"), "hubs")
+    member = steps.write(postings.join(hubs.select("key", "hub"), "key").select("hub", "node").distinct(), "hub-members")
+    # A list of two is settled by its hub. Members of longer ones are compared with each other as well: those of one
+    # hub together, since near copies share many lists.
+    longer = steps.write(postings.join(hubs.where("members > 2").select("key", "hub"), "key").where("node <> hub").select(
+        "hub", "node").distinct(), "longer-lists")
+    steps.drop(postings, hubs)
+    exchange.release(sets.sparkSession)
+    measured = _measured(member.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")), sets)
+    apart = 1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
+    star = steps.write(measured.select(
+        F.col("a").alias("hub"), F.col("b").alias("node"), F.col("nb").alias("n"), apart.alias("d"),
+        _similar(F.col("na"), F.col("nb"), F.col("common")).alias("linked")), "stars")
+    steps.drop(member)
     exchange.release(sets.sparkSession)
-    first = star.where("linked").select("a", "b")
-    settled = materialize(components(first), "first-components")
+    first = steps.write(star.where("linked").select(F.col("hub").alias("a"), F.col("node").alias("b")), "first-links")
+    settled = steps.write(components(first), "first-components")
     exchange.release(sets.sparkSession)
 
-    # Members of a hub that are in different components, in bands of their distance to the hub. What a member
-    # does not share with the hub says what two members do not share with each other.
-    bands = star.select(F.col("a").alias("hub"), F.col("b").alias("node"), "n", "d", "delta").join(settled, "node", "left").withColumn(
+    # Members of a hub in different components, in bands of their distance to the hub: the Jaccard distance is a
+    # metric, so those further apart in it than the reach do not link.
+    placed = longer.join(star.drop("linked"), ["hub", "node"]).join(settled, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
-    mixed = materialize(bands.groupBy("hub").agg(F.min("component").alias("low"), F.max("component").alias("high")).where(
+    mixed = steps.write(placed.groupBy("hub").agg(F.min("component").alias("low"), F.max("component").alias("high")).where(
         "low <> high").select("hub"), "mixed-hubs")
     reach = (100 - LEAST_PERCENT) / 100 + 1e-9
-    x = bands.join(mixed, "hub", "left_semi").withColumn("cell", F.floor(F.col("d") / reach).cast("long"))
-    # Each side of a pair is spread over its cell and the next, so a pair meets once, in the larger cell.
-    x = materialize(x.withColumn("place", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("cell", F.col("cell") + F.col("place")), "cells")
-    p, q = (x.select("hub", "cell", *(F.col(c).alias(c + s) for c in ("node", "n", "d", "delta", "component", "place"))) for s in "pq")
+    cells = steps.write(placed.join(mixed, "hub", "left_semi").select(
+        "hub", "node", "n", "d", "component", F.floor(F.col("d") / reach).cast("long").alias("cell")), "cells")
+    steps.drop(longer, star, settled, mixed)
+    sketches = steps.write(_sketches(sets, cells.select("node").distinct()), "sketches")
+    x = cells.join(sketches, "node")
+    # One side of a pair stands in its cell, the other in its own and the next, so a pair meets once at a hub.
+    p, q = (x.select("hub", "cell", *(F.col(c).alias(c + s) for c in ("node", "n", "d", "component", "sketch"))) for s in "pq")
+    q = q.withColumn("place", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("cell", F.col("cell") + F.col("place"))
     smaller, larger = F.least("np", "nq"), F.greatest("np", "nq")
-    close = (F.col("componentp") < F.col("componentq")) & (F.col("placep") * F.col("placeq") == 0) & (
-        F.abs(F.col("dp") - F.col("dq")) <= reach) & (100 * smaller >= LEAST_PERCENT * larger)
-    apart = F.size("deltap") + F.size("deltaq") - 2 * F.size(F.array_intersect("deltap", "deltaq"))
-    # The join itself decides, so no pair leaves it that is not a link.
-    linked = F.when(close, _similar(F.col("np"), F.col("nq"), _common(F.col("np"), F.col("nq"), apart))).otherwise(False)
-    second = p.join(q, (p["hub"] == q["hub"]) & (p["cell"] == q["cell"]) & linked).select(
-        F.least("nodep", "nodeq").alias("a"), F.greatest("nodep", "nodeq").alias("b")).distinct()
-    return materialize(first.unionByName(second), "all-links")
+    ordered = F.when(F.col("place") == 0, F.col("componentp") < F.col("componentq")).otherwise(F.col("componentp") != F.col("componentq"))
+    close = ordered & (F.abs(F.col("dp") - F.col("dq")) <= reach) & (100 * smaller >= LEAST_PERCENT * larger)
+    # The join itself leaves out what cannot link: few pairs leave it that are none.
+    may_link = F.when(close, _similar(F.col("np"), F.col("nq"), _may_have_in_common(F.col("sketchp"), F.col("sketchq")))).otherwise(False)
+    pairs = steps.write(p.join(q, (p["hub"] == q["hub"]) & (p["cell"] == q["cell"]) & may_link).select(
+        F.least("nodep", "nodeq").alias("a"), F.greatest("nodep", "nodeq").alias("b")).distinct(), "pairs")
+    steps.drop(cells, sketches)
+    exchange.release(sets.sparkSession)
+    second = _measured(pairs, sets).where(_similar(F.col("na"), F.col("nb"), F.col("common"))).select("a", "b")
+    found = steps.write(first.unionByName(second), "all-links")
+    steps.drop(first, pairs)
+    measured_all()
+    return found
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -263,19 +299,24 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def _grouped(copy: DataFrame) -> DataFrame:
+    steps = Steps(copy.sparkSession)
     seen = exchange.copies(copy)
-    every = _survivors(copy, exchange.write_answers(seen.where("row <> first_row").select("batch", "row"), "copied-rows"))
+    every = _survivors(copy, exchange.write_answers(seen.where("row <> first_row").select("batch", "row"), "copied-rows"), steps)
     found = every.where("tokens IS NOT NULL").select("row", "n", "tokens")
     # Equal sets are one node, named by its smallest row.
     pair = F.struct(F.xxhash64("tokens").alias("x"), F.hash("tokens").alias("y"), "n")
-    keyed = materialize(found.select("row", pair.alias("digest")), "set-digests")
-    nodes = materialize(keyed.groupBy("digest").agg(F.min("row").alias("node")), "classes")
-    members = keyed.join(nodes, "digest").select("row", "node")
+    keyed = steps.write(found.select("row", pair.alias("digest")), "set-digests")
+    nodes = steps.write(keyed.groupBy("digest").agg(F.min("row").alias("node")), "classes")
+    members = steps.write(keyed.join(nodes, "digest").select("row", "node"), "members")
     distinct = nodes.select(F.col("node").alias("row")).join(found, "row").select(F.col("row").alias("node"), "n", "tokens")
-    joined = materialize(components(links(materialize(distinct, "distinct-sets"))), "components")
+    distinct = steps.write(distinct, "distinct-sets")
+    narrow = steps.write(every.select("row", "doc_id", F.col("n").alias("n_shingles")), "rows")
+    steps.drop(keyed, nodes, every)
+    exchange.release(copy.sparkSession)
+    joined = materialize(components(links(distinct, lambda: steps.drop(distinct))), "components")
     placed = materialize(members.join(joined, "node", "left").select(
         F.col("row").alias("anchor"), F.coalesce("component", "node").alias("component_row")), "class-members")
-    anchored = materialize(every.select("row", "doc_id", F.col("n").alias("n_shingles")).join(
+    anchored = materialize(narrow.join(
         seen.where("row <> first_row").select("row", "first_row"), "row", "left").withColumn(
         "anchor", F.coalesce("first_row", "row")).drop("first_row"), "anchored")
     # A text without words is linked with nothing, its copies included.
