@@ -39,6 +39,9 @@ ARCHIVE_BYTES, BLOCK_CAPTURES = 128 << 20, 1000
 #: Byte ranges of one archive that lie this close are read at once.
 GAP_BYTES, READ_BYTES = 64 << 10, 8 << 20
 
+#: Bytes of the directory broadcast at once, blocks that a task writes.
+DIRECTORY_BYTES, BLOCKS_OF_TASK = 32 << 20, 64
+PLACED = "url_key string, block_file string, block_at long, block_size long"
 CAPTURE = "page_id long, url_key string, archive string, at long, size long"
 DIRECTORY = "first_key string, last_key string, block_file string, at long, size long, captures long"
 RECORD = ("page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, "
@@ -165,7 +168,7 @@ def build_index(captures: DataFrame, folder: str, block_captures: int = BLOCK_CA
     archive and offset, and the range partitioning cuts between any two of them.
     """
     names = ["url_key", "archive", "at", "size", "page_id"]
-    parts = max(1, captures.sparkSession.sparkContext.defaultParallelism)
+    parts = max(captures.sparkSession.sparkContext.defaultParallelism, -(-captures.count() // (BLOCKS_OF_TASK * block_captures)))
     ordered = captures.select(*names).repartitionByRange(parts, "url_key", "archive", "at").sortWithinPartitions(
         "url_key", "archive", "at")
 
@@ -203,19 +206,26 @@ def build_index(captures: DataFrame, folder: str, block_captures: int = BLOCK_CA
 def lookup(directory: DataFrame, keys: DataFrame, folder: str) -> DataFrame:
     """Captures (page_id, url_key, archive, at, size) of the distinct keys in column ``url_key``.
 
-    Keys and blocks are joined as intervals: both are ranked along one order of keys, a block is placed at
-    its first key, and a key belongs to the last block that begins at or before it and to any block its
-    captures run on into. Each task holds one block and the keys that fall in it.
+    The directory is sparse, a thousandth of the captures, and the blocks of a file are neighbours. Files are put
+    together in the order of their keys to slices of about ``DIRECTORY_BYTES``; one slice after the other is
+    broadcast, and the keys in its range are placed by bisection, each in every block that may hold it. The driver
+    sees a row for each block file.
     """
-    wanted = keys.select(F.coalesce("url_key", F.lit("")).alias("url_key")).distinct()
-    blocks = directory.withColumn("block", F.concat_ws("@", "block_file", F.col("at").cast("string")))
-    # The directory is sparse: a thousandth of the captures. Bisection over it is a range join on both ends.
-    sized = blocks.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("first_key") + F.length("last_key") + 80).alias("bytes")).first()
-    if (sized.bytes or 0) <= 32 << 20:
-        found = _assign_by_bisection(wanted, blocks)
-    else:
-        found = wanted.join(blocks, F.col("url_key").between(F.col("first_key"), F.col("last_key"))).select(
-            "url_key", "block_file", F.col("at").alias("block_at"), F.col("size").alias("block_size"))
+    wanted = materialize(keys.select(F.coalesce("url_key", F.lit("")).alias("url_key")).distinct(), "wanted-keys")
+    files = directory.groupBy("block_file").agg(F.min("first_key").alias("low"), F.max("last_key").alias("high"), F.sum(
+        F.length("first_key") + F.length("last_key") + 80).alias("bytes")).collect()
+    slices: list[list] = []
+    room = 0
+    for file in sorted(files, key=lambda r: (r.low, r.high)):
+        if file.bytes > room:
+            slices.append([])
+            room = DIRECTORY_BYTES
+        slices[-1].append(file)
+        room -= file.bytes
+    found = wanted.sparkSession.createDataFrame([], PLACED)
+    for some in slices:
+        within = wanted.where(F.col("url_key").between(some[0].low, max(r.high for r in some)))
+        found = found.unionByName(_assign_by_bisection(within, directory.where(F.col("block_file").isin([r.block_file for r in some]))))
     # One row per block, so that a block is read once; a task never has more keys of a block than it has captures.
     asked = found.groupBy("block_file", "block_at", "block_size").agg(F.collect_list("url_key").alias("url_keys"))
 
@@ -240,7 +250,7 @@ def lookup(directory: DataFrame, keys: DataFrame, folder: str) -> DataFrame:
 
 
 def _assign_by_bisection(wanted: DataFrame, blocks: DataFrame) -> DataFrame:
-    """(url_key, block_file, block_at, block_size) for each key and each block that may hold it."""
+    """Written (url_key, block_file, block_at, block_size) for each key and each block that may hold it."""
     rows = sorted(tuple(r) for r in blocks.select("first_key", "last_key", "block_file", "at", "size").collect())
     shared = wanted.sparkSession.sparkContext.broadcast(rows)
 
@@ -258,13 +268,20 @@ def _assign_by_bisection(wanted: DataFrame, blocks: DataFrame) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_pylist(out, schema)
 
-    return wanted.mapInArrow(run, "url_key string, block_file string, block_at long, block_size long")
+    placed = materialize(wanted.mapInArrow(run, PLACED), "placed-keys")
+    shared.destroy()
+    return placed
 
 
 def read_records(captures: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
-    """The records of captures. Ranges of an archive are read in order, close ones together."""
+    """The records of captures, a written table. Ranges of an archive are read in order, close ones together.
+
+    The rows are narrow and what they stand for is not, so the number of tasks follows from the bytes to read.
+    """
     spread = captures.select("archive", "at", "size", F.floor(F.col("at") / READ_BYTES).alias("slice"))
-    ordered = spread.repartition("archive", "slice").sortWithinPartitions("archive", "at")
+    total = captures.agg(F.sum("size")).first()[0] or 0
+    parts = max(captures.sparkSession.sparkContext.defaultParallelism, -(-total // READ_BYTES))
+    ordered = spread.repartition(parts, "archive", "slice").sortWithinPartitions("archive", "at")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([
@@ -303,6 +320,6 @@ def round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     folder = scratch_path(pages.sparkSession, "warc")
     captures = write_archives(pages, folder, least_bytes)
     directory = build_index(captures, folder)
-    found = lookup(directory, captures.select("url_key"), folder)
+    found = materialize(lookup(directory, captures.select("url_key"), folder), "found-captures")
     return read_records(found, folder, with_payload=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
