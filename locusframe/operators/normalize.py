@@ -22,6 +22,7 @@ from ..sources.ranges import ORDER, in_order
 BASES = "^[ACGTNacgtn]+$"
 NEAR_BASES = 32
 EVENT = ("contigName", "start", "alleles")
+SYMBOLIC = "symbolic or unnamed allele"
 STATUS = T.StructType([T.StructField("changed", T.BooleanType()), T.StructField("errorMessage", T.StringType())])
 
 
@@ -98,13 +99,13 @@ def with_trim(df: DataFrame) -> DataFrame:
 
 
 def movable_events(df: DataFrame) -> DataFrame:
-    """The distinct (contigName, start, alleles) that need the reference."""
+    """The distinct (contigName, start, alleles) that need the reference, and how many records hold each (``copies``)."""
     alleles = F.transform(F.concat(F.array("referenceAllele"), "alternateAlleles"), lambda a: F.upper(a))
     rows = df.where(F.length("referenceAllele") + F.length(F.array_join("alternateAlleles", "")) > 2).select(
         "contigName", "start", alleles.alias("alleles"))
     named = F.forall("alleles", lambda a: F.coalesce(a.rlike(BASES), F.lit(False)))
     several = (F.size("alleles") > 1) & (F.size(F.array_distinct("alleles")) > 1)
-    return rows.where(several & named & _is_movable(F.col("alleles"))).distinct()
+    return rows.where(several & named & _is_movable(F.col("alleles"))).groupBy(*EVENT).agg(F.count(F.lit(1)).alias("copies"))
 
 
 def _look_left(pending: DataFrame, chunks: DataFrame, size: int, span: int) -> DataFrame:
@@ -160,12 +161,21 @@ def _look_left(pending: DataFrame, chunks: DataFrame, size: int, span: int) -> D
     )
 
 
+def spread_events(events: DataFrame, together: int) -> DataFrame:
+    """The events of more than ``together`` records and the ``salts`` that keep that many of each together.
+
+    There are at most records / ``together`` of them, so the list can be broadcast.
+    """
+    salts = F.ceil(F.col("copies") / together).cast("int")
+    return events.where(F.col("copies") > together).select(*EVENT, salts.alias("salts"))
+
+
 def resolve_events(events: DataFrame, chunks: DataFrame, size: int) -> tuple[DataFrame, int, int]:
     """The normal form of every movable event: new start and alleles, or why it stays.
 
     Also returns how many events there are and how many bytes they take.
     """
-    pending = events.withColumn("tail", _shortest(F.col("alleles")))
+    pending = events.select(*EVENT).withColumn("tail", _shortest(F.col("alleles")))
     pending = pending.withColumn("cores", _without_tail(F.col("alleles"), F.col("tail")))
     pending = pending.withColumn("edge", F.col("start"))
     done: list[DataFrame] = []
@@ -239,8 +249,13 @@ def differing_references(df: DataFrame, chunks: DataFrame, size: int) -> DataFra
     return rows.where(F.upper(found) != expected).select("contigName", "start", "ref").distinct()
 
 
+def normalize_fault(df: DataFrame) -> Column:
+    """Why a normalized record stayed as it is; NULL also for a symbolic allele, which has no normal form."""
+    return F.nullif(F.col("normalizationStatus.errorMessage"), F.lit(SYMBOLIC))
+
+
 def normalize_variants(
-    df: DataFrame, chunks: DataFrame, chunk_size: int, broadcast_bytes: int = 64 << 20, salts: int = 16,
+    df: DataFrame, chunks: DataFrame, chunk_size: int, broadcast_bytes: int = 64 << 20, copies_together: int = 100_000,
 ) -> DataFrame:
     """Records in normal form: shared bases trimmed, indels as far left as the reference allows.
 
@@ -248,9 +263,11 @@ def normalize_variants(
     ``normalizationStatus`` (changed, errorMessage). Symbolic alleles and records whose REF is not what
     the reference holds stay as they are. Resolving the movable events runs Spark jobs here; the result
     is lazy. Pass a written table where the records are expensive, since its core columns are read twice.
-    Records that know their place in a file stay in its order, also where they had to be dealt out.
+    Records that know their place in a file stay in its order, also where they had to be dealt out. An event
+    of more than ``copies_together`` records is then dealt to as many tasks as its count asks for.
     """
-    resolved, _, size_bytes = resolve_events(movable_events(df), chunks, chunk_size)
+    events = materialize(movable_events(df), "movable-events")
+    resolved, _, size_bytes = resolve_events(events, chunks, chunk_size)
     rows = with_trim(df)
     keys = {"_contig": "contigName", "_start": "start", "_event": "alleles"}
     answers = resolved.select(*[F.col(old).alias(new) for new, old in keys.items()], "new_start", "new_alleles", "message")
@@ -258,11 +275,15 @@ def normalize_variants(
     if size_bytes <= broadcast_bytes:
         joined = rows.join(F.broadcast(answers), match, "left")
     else:
-        # records that need no reference stay where they are; the others are spread over salts, so
-        # copies of one event do not meet in one task
+        # records that need no reference stay where they are; those of a frequent event are dealt to as many
+        # salts as its measured count asks for, and its answer is copied as often
         movable = F.col("_trim.kind") == "movable"
-        salted = rows.where(movable).withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-        copies = answers.withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        frequent = spread_events(events, copies_together)
+        named = frequent.select(*[F.col(old).alias(new) for new, old in keys.items()], "salts")
+        spread = F.coalesce("salts", F.lit(1))
+        place = F.xxhash64(F.spark_partition_id(), F.monotonically_increasing_id())
+        salted = rows.where(movable).join(F.broadcast(named), match, "left").withColumn("_salt", F.pmod(place, spread).cast("int")).drop(*named.columns)
+        copies = answers.join(F.broadcast(named), [*keys], "left").withColumn("_other", F.explode(F.sequence(F.lit(0), spread - 1))).drop("salts")
         moved = salted.join(copies, [*match, F.col("_salt") == F.col("_other")], "left").drop("_salt", "_other")
         joined = moved.unionByName(rows.where(~movable), allowMissingColumns=True)
     dealt = size_bytes > broadcast_bytes
@@ -284,7 +305,7 @@ def normalize_variants(
     new_alleles = F.when(kind == "trimmed", F.col("_trim.alleles")).otherwise(F.when(~is_wrong, F.col("new_alleles")))
     moved = new_alleles.isNotNull()
     new_ref = F.get(new_alleles, F.lit(0))
-    message = F.when(kind == "symbolic", "symbolic or unnamed allele").when(
+    message = F.when(kind == "symbolic", SYMBOLIC).when(
         is_wrong, "REF differs from the reference").otherwise(F.col("message"))
     changes = {
         "start": F.when(moved, new_start).otherwise(F.col("start")),

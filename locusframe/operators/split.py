@@ -61,6 +61,25 @@ def split_genotype(g: Column, struct_type: T.StructType, numbers: dict[str, str]
     return F.when(g.isNotNull(), F.struct(*fields))
 
 
+def split_fault(df: DataFrame) -> Column:
+    """Why a record of several ALTs cannot be split without loss: an INFO list that has not the length its Number says.
+
+    NULL where all lists fit. A list that is absent, empty or one missing value fits. Genotype lists are not
+    looked at, as their length depends on the ploidy.
+    """
+    n = F.size("alternateAlleles")
+    found = []
+    for field in df.schema.fields:
+        number = info_number(field) if field.name.startswith("INFO_") and isinstance(field.dataType, T.ArrayType) else None
+        if number in ("A", "R"):
+            values = F.col(f"`{field.name}`")
+            wanted = n if number == "A" else n + 1
+            missing = (F.size(values) < 1) | ((F.size(values) == 1) & F.get(values, F.lit(0)).isNull())
+            text = F.concat(F.lit(f"{field.name[5:]} has "), F.size(values).cast("string"), F.lit(" values for "), n.cast("string"), F.lit(" ALT"))
+            found.append(F.when(values.isNotNull() & ~missing & (F.size(values) != wanted), text))
+    return F.when(n > 1, F.coalesce(*found, F.lit(None).cast("string")))
+
+
 def split_multiallelics(df: DataFrame) -> DataFrame:
     """One record per ALT; records with one ALT or none pass unchanged but for the flag.
 

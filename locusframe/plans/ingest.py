@@ -5,7 +5,7 @@ All files go through one plan, not a loop:
 1. list the files and read their headers (first lines only);
 2. scan the text once and write the parsed records, malformed lines marked;
 3. judge every file from per-file counts of that table, and drop the bad ones;
-4. split, normalize and optionally pipe;
+4. split and normalize, judge the files by the records at fault there if asked to, and optionally pipe;
 5. project the three tables from the written records. Each projection reads only its own columns and
    needs no shuffle; the files of this run replace their own partitions;
 6. count the written partitions and append the log.
@@ -24,9 +24,9 @@ from ..functions import basename, provenance
 from ..operators.checks import quarantine
 from ..operators.consequences import consequences_flat, has_consequences
 from ..operators.genotypes import has_genotypes, variant_calls
-from ..operators.normalize import normalize_variants
+from ..operators.normalize import normalize_fault, normalize_variants
 from ..operators.pipe import COMMAND_FAILED, pipe_partitions
-from ..operators.split import split_multiallelics
+from ..operators.split import split_fault, split_multiallelics
 from ..operators.variants import variants_flat
 from ..scratch import materialize, scratch_run
 from ..sources.fasta import reference_chunks
@@ -37,7 +37,7 @@ from ..sources.tables import (
     ensure_table, partition_column, replace_files, reset_outputs, write_table,
 )
 from ..sources.vcf import promote_undeclared, read_vcf
-from ..sources.vcf_text import file_header
+from ..sources.vcf_text import file_header, record_lines
 from .flatten import CALLS, CONSEQUENCES, VARIANTS
 
 # Names of the two bookkeeping tables and the longest error text kept.
@@ -63,6 +63,8 @@ class IngestConfig:
     reset_first: bool = False
     skip_bad_files: bool = True
     max_malformed_share: float | None = None
+    max_split_share: float | None = None
+    max_normalize_share: float | None = None
     capture_row_counts: bool = True
     match_allele: bool = False
     broadcast_bytes: int = 64 << 20
@@ -74,6 +76,8 @@ class IngestConfig:
             raise ValueError(f"pipe_header must be 'infer' or 'file', got {self.pipe_header!r}")
         if self.pipe_cmd and self.pipe_header == "file" and not self.pipe_header_vcf:
             raise ValueError("pipe_header='file' needs pipe_header_vcf")
+        if self.max_normalize_share is not None and not self.reference_fasta:
+            raise ValueError("max_normalize_share needs reference_fasta")
 
     def table(self, name: str) -> str:
         return f"{self.database}.{name}"
@@ -81,7 +85,7 @@ class IngestConfig:
 
 def judge_files(files: DataFrame, headers: DataFrame, records: DataFrame, max_malformed_share: float | None,
                 unreadable: DataFrame) -> DataFrame:
-    """One row per listed file: path, filename, has_csq, has_genotypes, lines, malformed, error.
+    """One row per listed file: path, filename, has_csq, has_genotypes, lines, malformed, error, failed_stage.
 
     A file is bad if it cannot be read, if it has no title line, or if more than ``max_malformed_share`` of
     its lines are malformed (None: any number may be; they are in quarantine). Files without any line are
@@ -105,7 +109,27 @@ def judge_files(files: DataFrame, headers: DataFrame, records: DataFrame, max_ma
     return rows.select(
         "source_file", "filename", F.coalesce("has_csq", F.lit(False)).alias("has_csq"),
         F.coalesce("has_genotypes", F.lit(False)).alias("has_genotypes"),
-        lines.alias("lines"), malformed.alias("malformed"), error.alias("error"))
+        lines.alias("lines"), malformed.alias("malformed"), error.alias("error"),
+        F.when(error.isNotNull(), "read").alias("failed_stage"))
+
+
+def judge_stages(verdicts: DataFrame, records: DataFrame, limits: dict[str, float]) -> DataFrame:
+    """The verdicts after later stages: a file is bad if more than the given share of its records is at fault in one.
+
+    ``limits`` names the stages in their order; ``records`` has a column ``<stage>_fault`` for each, the reason
+    or NULL. One aggregation folds them, the first stage beyond its limit gives the error.
+    """
+    counted = records.groupBy("source_file").agg(F.count(F.lit(1)).alias("records"), *[
+        f(f"{stage}_fault").alias(f"{stage}_{name}") for stage in limits for name, f in (("n", F.count), ("first", F.min))])
+    rows = verdicts.join(counted, "source_file", "left")
+    error, failed = F.col("error"), F.col("failed_stage")
+    for stage, share in limits.items():
+        beyond = F.col(f"{stage}_n") > F.col("records") * share
+        text = F.concat(F.col(f"{stage}_n").cast("string"), F.lit(" of "), F.col("records").cast("string"),
+                        F.lit(f" records cannot be {stage}: " if stage == "split" else " records cannot be normalized: "), F.col(f"{stage}_first"))
+        failed = F.coalesce(failed, F.when(error.isNull() & beyond, stage))
+        error = F.coalesce(error, F.when(beyond, text))
+    return rows.withColumns({"error": error, "failed_stage": failed}).select(*verdicts.columns)
 
 
 def unreadable_files(files: DataFrame) -> DataFrame:
@@ -204,22 +228,42 @@ def ingest(spark: SparkSession, cfg: IngestConfig) -> DataFrame:
                 raise
             parsed = materialize(read_vcf(spark, cfg.source, **options, without=names), "records")
 
-        stats = Observation()
-        verdicts = judge_files(files, headers, parsed, cfg.max_malformed_share, unreadable)
-        verdicts = materialize(verdicts.observe(stats, F.count("error").alias("bad"), F.min("error").alias("error")), "verdicts")
-        bad_count = stats.get["bad"]
-        if bad_count and not cfg.skip_bad_files:
-            first = verdicts.where(F.col("error").isNotNull()).orderBy("source_file").first()
-            _log(verdicts.where(F.col("error").isNotNull()), run_id, run_ts, cfg, None, None)
-            raise ValueError(f"{first.source_file}: {first.error}")
-
+        def settled(found: DataFrame, name: str) -> tuple[DataFrame, int]:
+            """Verdicts in a table and how many are bad; they end a strict run."""
+            stats = Observation()
+            found = materialize(found.observe(stats, F.count("error").alias("bad")), name)
+            bad = stats.get["bad"]
+            if bad and not cfg.skip_bad_files:
+                first = found.where(F.col("error").isNotNull()).orderBy("source_file").first()
+                _log(found.where(F.col("error").isNotNull()), run_id, run_ts, cfg, None, None)
+                raise ValueError(f"{first.source_file}: {first.error}")
+            return found, bad
+
+        verdicts, bad_count = settled(judge_files(files, headers, parsed, cfg.max_malformed_share, unreadable), "verdicts")
         good, rejected = quarantine(parsed)
         good = promote_undeclared(good)
         records = without_files(good, verdicts.where(F.col("error").isNotNull()), bad_count)
+        limits = {stage: share for stage, share in (("split", cfg.max_split_share), ("normalize", cfg.max_normalize_share))
+                  if share is not None}
+        if "split" in limits:
+            records = records.withColumn("split_fault", split_fault(records))
         records = split_multiallelics(records)
         if cfg.reference_fasta:
             chunks = materialize(reference_chunks(spark, cfg.reference_fasta, cfg.chunk_size), "reference")
             records = normalize_variants(records, chunks, cfg.chunk_size, cfg.broadcast_bytes)
+        if limits:
+            if "normalize" in limits:
+                records = records.withColumn("normalize_fault", normalize_fault(records))
+            records = materialize(records, "normalized")
+            before = bad_count
+            verdicts, bad_count = settled(judge_stages(verdicts, records, limits), "stage-verdicts")
+            records = records.drop(*[f"{stage}_fault" for stage in limits])
+            if bad_count > before:
+                late = verdicts.where(F.col("failed_stage").isin(*limits)).select("source_file", F.col("error").alias("reason"))
+                lost = record_lines(records).withColumnRenamed("line", "raw")
+                lost = lost.join(F.broadcast(late) if bad_count <= 100_000 else late, "source_file")
+                rejected = rejected.unionByName(lost.select("source_file", "raw", "reason"))
+                records = without_files(records, late, bad_count)
         piped_out = None
         if cfg.pipe_cmd:
             header = file_header(spark, cfg.pipe_header_vcf) if cfg.pipe_header == "file" else None
@@ -277,8 +321,8 @@ def _log(verdicts: DataFrame, run_id: str, run_ts: datetime, cfg: IngestConfig,
          counts: DataFrame | None, piped_out: DataFrame | None) -> None:
     """Append one row per file: what happened to it and how many rows it gave.
 
-    A file is skipped at its reading if it has an error there, skipped in the pipe if the command failed on
-    it, and else processed, with the reason of a rejected answer as error if there is one.
+    A file is skipped at its reading, split or normalization if it has an error there, skipped in the pipe if the
+    command failed on it, and else processed, with the reason of a rejected answer as error if there is one.
     """
     rows, failures = verdicts, None
     if piped_out is not None:
@@ -305,7 +349,7 @@ def _log(verdicts: DataFrame, run_id: str, run_ts: datetime, cfg: IngestConfig,
         F.lit(run_id).alias("run_id"), F.lit(run_ts).cast("timestamp").alias("run_ts"),
         F.col("source_file").alias("vcf_path"), basename(F.col("source_file")).alias("filename"),
         F.when(done, "processed").otherwise("skipped").alias("status"),
-        F.when(~good, "read").when(lost, "pipe").otherwise("write").alias("stage"),
+        F.when(~good, F.col("failed_stage")).when(lost, "pipe").otherwise("write").alias("stage"),
         F.lit(bool(cfg.pipe_cmd)).alias("pipe_enabled"),
         F.lit(" ".join(cfg.pipe_cmd) if cfg.pipe_cmd else None).cast("string").alias("pipe_cmd"),
         F.lit(cfg.pipe_header).alias("pipe_header_mode"),

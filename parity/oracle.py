@@ -256,6 +256,12 @@ GROUP BY o_orderkey % 7, run""",
   contigName AS chrom, new_start + 1 AS pos, new_ref AS ref, new_alt AS alt FROM nv""",
     "file_log": f"""WITH {SUMS} SELECT 'processed' AS status, 'write' AS stage, false AS pipe_enabled, true AS has_csq,
   true AS has_genotypes, NULL::varchar AS error, variants_rows, calls_rows, csq_rows FROM t""",
+    "failed_stages": """SELECT 'processed' AS status, 'write' AS stage, NULL::varchar AS reason,
+  count(*) AS variants_rows, NULL::bigint AS quarantined FROM orders WHERE o_orderkey % 3 = 0 HAVING count(*) > 0
+UNION ALL SELECT 'skipped', 'normalize', 'REF differs from the reference', NULL, count(*) FROM orders WHERE o_orderkey % 3 = 1
+  HAVING count(*) > 0
+UNION ALL SELECT 'skipped', 'split', 'AC has 3 values for 2 ALT', NULL, 2 * count(*) FROM orders WHERE o_orderkey % 3 = 2
+  HAVING count(*) > 0""",
     "bad_file_skipped": f"""WITH {SUMS} SELECT 'processed' AS status, 'write' AS stage, NULL::varchar AS error,
   variants_rows, calls_rows, csq_rows, NULL::bigint AS quarantined FROM t
 UNION ALL SELECT 'skipped', 'read', 'file has no header', NULL, NULL, NULL, records FROM t""",

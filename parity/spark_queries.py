@@ -582,6 +582,30 @@ def file_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.sum(c).alias(c) for c in ("variants_rows", "calls_rows", "csq_rows")])
 
 
+@query
+def failed_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of another reference and files with lists of a wrong length beside good ones: each fails in its stage."""
+    df = fx.alleles(spark, sf_dir)
+    ref, alt = F.col("referenceAllele"), F.get("alternateAlleles", F.lit(0))
+
+    def part(k: int) -> DataFrame:
+        return df.where(F.col("rec") % 3 == k).withColumn("INFO_AC", F.array(F.lit(1)))
+
+    other = part(1).withColumns({
+        "referenceAllele": F.translate(ref, "ACGT", "CGTA"), "alternateAlleles": F.array(F.translate(alt, "ACGT", "CGTA"))})
+    uneven = part(2).withColumns({
+        "alternateAlleles": F.array(alt, F.concat(alt, F.lit("TTTTTT"))), "INFO_AC": F.array(F.lit(1), F.lit(2), F.lit(3))})
+    folders = [fx.write_vcf(rows.drop("rec"), label) for label, rows in (("good", part(0)), ("other", other), ("uneven", uneven))]
+    cfg = lf.IngestConfig(folders, fx.database(spark), suffixes=fx.TEXT, chunk_size=fx.CHUNK_SIZE,
+                          reference_fasta=fx.write_fasta(spark, sf_dir), max_split_share=0.5, max_normalize_share=0.5)
+    log = lf.ingest(spark, cfg).where("error IS NOT NULL OR variants_rows > 0")
+    lost = lf.load_table(spark, cfg.table("vcf_pipe_quarantine")).groupBy(F.col("source_file").alias("vcf_path")).agg(
+        F.count(F.lit(1)).alias("quarantined"))
+    return log.join(lost, "vcf_path", "left").groupBy(
+        "status", "stage", F.substring_index("error", ": ", -1).alias("reason")).agg(
+        F.sum("variants_rows").alias("variants_rows"), F.sum("quarantined").alias("quarantined"))
+
+
 @query
 def bad_file_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _records(spark, sf_dir).drop("rec")

@@ -160,8 +160,8 @@ def test_one_hot_event(spark, tmp_path):
     df = spark.range(0, 5000, numPartitions=8).select(
         F.col("id").cast("int").alias("rec"), F.lit("c").alias("contigName"), F.lit(40).cast("bigint").alias("start"),
         F.lit(42).cast("bigint").alias("end"), F.lit("AA").alias("referenceAllele"), F.array(F.lit("A")).alias("alternateAlleles"))
-    for limit in (64 << 20, 0):
-        out = lf.normalize_variants(df, lf.reference_chunks(spark, path, 8), 8, broadcast_bytes=limit)
+    for limit, together in ((64 << 20, 100_000), (0, 100_000), (0, 700)):
+        out = lf.normalize_variants(df, lf.reference_chunks(spark, path, 8), 8, broadcast_bytes=limit, copies_together=together)
         rows = out.groupBy("start", "referenceAllele", "alternateAlleles").count().collect()
         assert [tuple(r) for r in rows] == [(0, "GA", ["G"], 5000)]
 

@@ -169,6 +169,47 @@ def test_strict_run_raises_and_logs(spark, folder, database):
     assert [(r.filename, r.status, r.stage) for r in log] == [("bad.vcf", "skipped", "read")]
 
 
+STAGED = [info("AC", "A", "Integer"), info("RD", "R", "Integer")]
+
+
+@pytest.fixture
+def staged(folder, tmp_path):
+    """A good file, one of another reference, one with lists that do not fit, and one with both faults."""
+    def rows(ref, counts):
+        return [line("c", 2, ".", ref, "T,G", ".", ".", f"AC={counts};RD=4,5,6"), line("c", 3, ".", "A", "T", ".", ".", "AC=1")]
+
+    vcf(folder / "good.vcf", STAGED, rows("C", "1,2"))
+    vcf(folder / "other.vcf", STAGED, rows("A", "1,2"))
+    vcf(folder / "uneven.vcf", STAGED, [*rows("C", "1,2,3"), line("c", 2, ".", "C", "T,G", ".", ".", "AC=.;RD=.")])
+    vcf(folder / "both.vcf", STAGED, rows("A", "7"))
+    return {"reference_fasta": fasta(tmp_path / "ref.fa", [("c", "GCAAAAAT")]), "chunk_size": 4}
+
+
+def test_failures_of_stages_skip_their_file_alone(spark, folder, staged, database):
+    cfg = lf.IngestConfig(str(folder), database, max_split_share=0.0, max_normalize_share=0.5, **staged)
+    log = log_rows(lf.ingest(spark, cfg))
+    assert {n: (r.status, r.stage, r.variants_rows, r.error) for n, r in log.items()} == {
+        "good.vcf": ("processed", "write", 3, None),
+        "other.vcf": ("skipped", "normalize", None, "2 of 3 records cannot be normalized: REF differs from the reference"),
+        "uneven.vcf": ("skipped", "split", None, "2 of 5 records cannot be split: AC has 3 values for 2 ALT"),
+        "both.vcf": ("skipped", "split", None, "2 of 3 records cannot be split: AC has 1 values for 2 ALT")}
+    assert [r.filename for r in spark.table(f"{database}.variants_flat").select("filename").distinct().collect()] == ["good.vcf"]
+    rejected = spark.table(f"{database}.vcf_pipe_quarantine").groupBy("reason").count().collect()
+    assert {r.reason: r["count"] for r in rejected} == {log[n].error: k for n, k in (("other.vcf", 3), ("uneven.vcf", 5), ("both.vcf", 3))}
+
+
+def test_stage_limits_are_off_lenient_or_strict(spark, folder, staged, database):
+    log = log_rows(lf.ingest(spark, lf.IngestConfig(str(folder), database, **staged)))
+    assert {r.status for r in log.values()} == {"processed"}
+    log = log_rows(lf.ingest(spark, lf.IngestConfig(str(folder), database, max_split_share=0.9, max_normalize_share=0.9, **staged)))
+    assert {(r.status, r.stage) for r in log.values()} == {("processed", "write")}
+    with pytest.raises(ValueError, match="other.vcf: 2 of 3 records cannot be normalized"):
+        lf.ingest(spark, lf.IngestConfig(str(folder), database, skip_bad_files=False, max_normalize_share=0.1,
+                                         only=frozenset({"good.vcf", "other.vcf"}), **staged))
+    with pytest.raises(ValueError, match="needs reference_fasta"):
+        lf.IngestConfig("x", "d", max_normalize_share=0.1)
+
+
 def test_no_files_and_bad_settings(spark, folder, database):
     with pytest.raises(ValueError, match="no .vcf"):
         lf.ingest(spark, lf.IngestConfig(str(folder), database))
