@@ -24,8 +24,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
-#: Chunks and words kept by a worker, and the longest one that is kept.
-KEPT_CHUNKS, KEPT_WORDS, KEPT_LENGTH = 400_000, 1_000_000, 64
+#: Chunks in each of the two generations that a worker keeps, and the longest one that is kept.
+KEPT_CHUNKS, KEPT_LENGTH = 600_000, 64
 
 #: White space besides the plain space and the line feed.
 _OTHER_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + (
@@ -50,32 +50,39 @@ class _Chunks(dict):
     """
 
     def __init__(self, tokenizer, prefix: str):
-        self.tokenizer, self.prefix, self.words, self.marks = tokenizer, prefix, {}, {}
+        self.tokenizer, self.prefix, self.older, self.marks = tokenizer, prefix, {}, {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
+    def _learn_whole(self, known: dict[str, bytes], new: set[str], prefix: str) -> None:
+        some = list(new)
+        for begin in range(0, len(some), 10_000):
+            part = some[begin:begin + 10_000]
+            known.update(zip(part, self._encode([prefix + x for x in part])))
+
+    def _unknown(self, wanted: set[str]) -> set[str]:
+        """Those that neither generation holds; what the older one holds is taken over."""
+        new = wanted.difference(self)
+        if new and self.older:
+            self.update([(x, self.older[x]) for x in new if x in self.older])
+            new = new.difference(self)
+        return new
+
     def learn(self, chunks: set[str]) -> None:
-        if len(self) + len(chunks) > KEPT_CHUNKS:
+        if len(self) > KEPT_CHUNKS:
+            self.older = dict(self)
             self.clear()
-        parts = {}
-        for chunk in chunks:
-            if chunk not in self and len(chunk) <= KEPT_LENGTH:
-                word = chunk.rstrip(_MARKS)
-                parts[chunk] = word if word and word[-1].isalnum() else chunk
-        if len(self.words) + len(parts) > KEPT_WORDS:
-            self.words.clear()
-        if len(self.marks) + len(parts) > KEPT_WORDS:
+        if len(self.marks) > KEPT_CHUNKS:
             self.marks.clear()
-        ends = {chunk: chunk[len(word):] for chunk, word in parts.items()}
-        for known, needed, prefix in ((self.words, parts, self.prefix), (self.marks, ends, "")):
-            new = list({x for x in needed.values() if x not in known})
-            for begin in range(0, len(new), 10_000):
-                some = new[begin:begin + 10_000]
-                known.update(zip(some, self._encode([prefix + x for x in some])))
-        for chunk, word in parts.items():
-            self[chunk] = self.words[word] + self.marks[ends[chunk]]
+        new = {x for x in self._unknown(chunks) if len(x) <= KEPT_LENGTH}
+        ended = {x: word for x in new if (word := x.rstrip(_MARKS)) != x and word and word[-1].isalnum()}
+        self._learn_whole(self, self._unknown(new.difference(ended).union(ended.values())), self.prefix)
+        ends = {x: x[len(word):] for x, word in ended.items()}
+        self._learn_whole(self.marks, set(ends.values()).difference(self.marks), "")
+        for x, word in ended.items():
+            self[x] = self[word] + self.marks[ends[x]]
 
     def __missing__(self, chunk: str) -> bytes:
         return self._encode([self.prefix + chunk])[0]
