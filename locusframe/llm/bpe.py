@@ -24,8 +24,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
-#: Chunks in each of the two generations that a worker keeps, and the longest one that is kept.
-KEPT_CHUNKS, KEPT_LENGTH = 600_000, 64
+#: Chunks in each of the two generations that a worker keeps, marks that it keeps, and the longest chunk that is kept.
+KEPT_CHUNKS, KEPT_WORDS, KEPT_LENGTH = 600_000, 100_000, 64
 
 #: White space besides the plain space and the line feed.
 _OTHER_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + (
@@ -74,7 +74,7 @@ class _Chunks(dict):
         if len(self) > KEPT_CHUNKS:
             self.older = dict(self)
             self.clear()
-        if len(self.marks) > KEPT_CHUNKS:
+        if len(self.marks) > KEPT_WORDS:
             self.marks.clear()
         new = {x for x in self._unknown(chunks) if len(x) <= KEPT_LENGTH}
         ended = {x: word for x in new if (word := x.rstrip(_MARKS)) != x and word and word[-1].isalnum()}

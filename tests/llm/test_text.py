@@ -414,3 +414,17 @@ def test_clean_masks_and_keeps_columns(documents):
     assert {(r.doc_id, r.text, r.row) for r in got.collect()} == {
         (1, "a <assign> b", "extra 1"), (2, "clean", "extra 2"), (3, None, "extra 3"), (4, "éé <hex>!", "extra 4"),
         (5, "a <assign> b", "extra 5"), (6, '<assign>" x', "extra 6")}
+
+
+def test_words_move_between_generations(monkeypatch):
+    """Few words a generation: words move between generations and are learned anew, marks too."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(bpe, "KEPT_CHUNKS", 40)
+    own, plain = bpe.ByteBpe(JSON), Tokenizer.from_file(JSON)
+    texts = [" ".join(f"w{k * j % 97}{'.,!)'[k % 4]} é{k % 13} ({j}) a" for k in range(60)) + "\n..." for j in range(1, 1203, 2)]
+    for begin in range(0, len(texts), 50):
+        some = texts[begin:begin + 50]
+        got = [np.frombuffer(x, "<u4").tolist() for x in own.encode(some)]
+        assert got == [plain.encode(t, add_special_tokens=False).ids for t in some]
+    assert own.rest.older
