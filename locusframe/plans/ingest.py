@@ -43,6 +43,8 @@ from .flatten import CALLS, CONSEQUENCES, VARIANTS
 # Names of the two bookkeeping tables and the longest error text kept.
 FILE_LOG, QUARANTINE = "vcf_ingest_file_log", "vcf_pipe_quarantine"
 ERROR_CHARS = 32000
+#: Stages that can fail a file after it was read, and what could not be done there.
+DONE = {"split": "split", "normalize": "normalized"}
 
 
 @dataclass(frozen=True)
@@ -126,7 +128,7 @@ def judge_stages(verdicts: DataFrame, records: DataFrame, limits: dict[str, floa
     for stage, share in limits.items():
         beyond = F.col(f"{stage}_n") > F.col("records") * share
         text = F.concat(F.col(f"{stage}_n").cast("string"), F.lit(" of "), F.col("records").cast("string"),
-                        F.lit(f" records cannot be {stage}: " if stage == "split" else " records cannot be normalized: "), F.col(f"{stage}_first"))
+                        F.lit(f" records cannot be {DONE[stage]}: "), F.col(f"{stage}_first"))
         failed = F.coalesce(failed, F.when(error.isNull() & beyond, stage))
         error = F.coalesce(error, F.when(beyond, text))
     return rows.withColumns({"error": error, "failed_stage": failed}).select(*verdicts.columns)
