@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -16,6 +16,15 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with further columns, each evaluated once a row whatever uses them.
+
+    They come from a list of one struct: Spark neither merges a projection nor pushes a filter below that, so
+    unlike those of ``withColumn`` they are not copied into every place.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def common_prefix_length(a: Column, b: Column) -> Column:
     """Number of leading characters two strings share.
 

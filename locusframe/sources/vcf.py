@@ -17,7 +17,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..functions import basename, let
+from ..functions import basename, let, once
 from ..operators.split import NUMBER_KEY
 from ..scratch import materialize
 from .files import VCF_SUFFIXES, discover_files, is_hidden, parent, resolve_roots, source_path
@@ -218,22 +218,18 @@ def parse_records(lines: DataFrame, layout: Layout, mode: str = "fail", samples_
     if mode not in MODES:
         raise ValueError(f"mode must be one of {', '.join(MODES)}, got {mode!r}")
     strict = mode == "fail"
-    split_line = F.split("line", "\t")
+    rows = once(lines, cells=F.split("line", "\t"))
     if strict:
-        # as a filter condition the check is pushed below the split, so it splits the line once by itself
-        fault = let(split_line, lambda cells: _fault(cells, layout))
+        fault = _fault(F.col("cells"), layout)
         raised = F.coalesce(F.raise_error(_message(fault)).cast("boolean"), F.lit(False))
-        rows = lines.where(F.when(fault.isNull(), True).otherwise(raised)).withColumn("cells", split_line)
+        rows = rows.where(F.when(fault.isNull(), True).otherwise(raised))
     else:
-        rows = lines.withColumn("cells", split_line).withColumn("fault", _fault(F.col("cells"), layout))
+        rows = once(rows, fault=_fault(F.col("cells"), layout))
         rows = rows.withColumn("cells", F.when(F.col("fault").isNull(), F.col("cells")))
     if samples_at_once is not None:
         rows = _by_sample_slices(rows, samples_at_once)
-    rows = rows.withColumn("pairs", F.split(_present(F.get("cells", F.lit(7))), ";"))
-    rows = rows.withColumns({
-        "keys": F.transform("pairs", lambda p: F.substring_index(p, "=", 1)),
-        "values": F.transform("pairs", _after_equals),
-    })
+    rows = once(rows, pairs=F.split(_present(F.get("cells", F.lit(7))), ";"))
+    rows = once(rows, keys=F.transform("pairs", lambda p: F.substring_index(p, "=", 1)), values=F.transform("pairs", _after_equals))
 
     cells, keys, values = F.col("cells"), F.col("keys"), F.col("values")
 
@@ -258,20 +254,22 @@ def parse_records(lines: DataFrame, layout: Layout, mode: str = "fail", samples_
     columns.append(_undeclared(layout, F.col("pairs")).alias("undeclared_info"))
     numbers = {NUMBER_KEY: {GENOTYPE_NAMES.get(f.name, f.name): f.number for f in layout.formats}}
     if layout.has_samples:
-        columns.append(_genotypes(layout, cells, strict).alias("genotypes", metadata=numbers))
+        genotypes = _genotypes(layout, cells, strict)
+        if not strict:
+            rows = once(rows, described=genotypes)
+            genotypes = F.transform("described", lambda g: g.dropFields("misfit"))
+        columns.append(genotypes.alias("genotypes", metadata=numbers))
     columns += [F.col("source_file"), *[F.col(c) for c in ORDER if c in lines.columns],
                 F.coalesce("has_csq", F.lit(False)).alias("has_csq")]
     if strict:
         return rows.select(*columns)
+    # the reason is what filters ask for, so neither it nor what it is made of may be copied into them
     reason = F.coalesce("fault", _info_fault(layout, keys, values))
-    parsed = rows.select(*columns, F.col("line"), reason.alias("reason"))
-    reason = F.col("reason")
     if layout.has_samples:
-        misfit = F.coalesce(F.exists("genotypes", lambda g: g["misfit"]), F.lit(False))
+        misfit = F.coalesce(F.exists("described", lambda g: g["misfit"]), F.lit(False))
         reason = F.coalesce(reason, F.when(misfit, "sample value that does not fit its FORMAT"))
-        parsed = parsed.withColumn("reason", reason).withColumn(
-            "genotypes", F.transform("genotypes", lambda g: g.dropFields("misfit")).alias("genotypes", metadata=numbers))
-        reason = F.col("reason")
+    parsed = once(rows, reason=reason).select(*columns, F.col("line"), F.col("reason"))
+    reason = F.col("reason")
     if mode == "drop":
         return parsed.where(reason.isNull()).drop("line", "reason")
     return parsed.withColumns({
