@@ -477,8 +477,8 @@ def damaged_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     title = record_lines(df.drop("rec"), inferred=False).select("title").first().title
     headers = spark.createDataFrame([("", text) for text in [*lf.infer_header(df.drop("rec")), title]], "source_file string, line string")
     parsed = parse_by_file(lines.select("source_file", line.alias("line")), per_file(headers), merge_layout(headers), "keep")
-    good, rejected = lf.quarantine(parsed)
-    good = lf.promote_undeclared(materialize(good, "good"))
+    good, rejected = lf.quarantine(materialize(parsed, "parsed"))  # three passes over them follow
+    good = lf.promote_undeclared(good)
     kept = good.select(
         F.call_function("div", F.col("start"), F.lit(50)).alias("rec"), "INFO_DP", "INFO_DP_2", "INFO_dp_3", "INFO_NEW", "INFO_MARK",
         F.lit(None).cast("string").alias("reason"), F.lit(None).cast("string").alias("value"))
