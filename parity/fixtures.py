@@ -12,6 +12,8 @@ TEXT = (".txt", ".txt.gz")
 CONTIG_BLOCKS = 6400
 BLOCK = 32
 CHUNK_SIZE = 2048
+#: Orders whose records one task makes; a file of text holds no more.
+TASK_ROWS = 250_000
 
 RECORDS = """
 WITH o AS (SELECT *, CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE cast(1 + o_orderkey % 3 AS int) END AS n FROM {orders})
@@ -82,11 +84,16 @@ FROM (SELECT o_orderkey, {block} AS b, cast(o_orderkey % 20 AS int) AS q, cast(1
 """
 
 
+def pieces(spark: SparkSession, sf_dir: str, least: int) -> int:
+    """Tasks or files that the records are dealt to: ``least``, or as many as hold ``TASK_ROWS`` each."""
+    return max(least, -(-spark.read.parquet(f"{sf_dir}/orders.parquet").count() // TASK_ROWS))
+
+
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The orders table; a file with fewer splits than cores is spread, since one row becomes a wide record."""
+    """The orders table; a file with fewer splits than cores or wanted tasks is spread, since one row becomes a wide record."""
     df = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores, "o_orderkey") if df.rdd.getNumPartitions() < cores else df
+    tasks = pieces(spark, sf_dir, spark.sparkContext.defaultParallelism)
+    return df.repartition(tasks, "o_orderkey") if df.rdd.getNumPartitions() < tasks else df
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -445,7 +445,7 @@ def discover_mixed_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def read_blocked_gzip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocked archives, each read by many tasks."""
-    path = fx.write_blocked(_records(spark, sf_dir).drop("rec").repartitionByRange(3, "start"), "blocked")
+    path = fx.write_blocked(_records(spark, sf_dir).drop("rec").repartitionByRange(fx.pieces(spark, sf_dir, 3), "start"), "blocked")
     return _text_rows(lf.read_vcf(spark, path, suffixes=fx.TEXT, gz_spread_bytes=1, range_bytes=50_000))
 
 
@@ -504,17 +504,17 @@ def _counted(piped: DataFrame, slices: int) -> DataFrame:
                     (F.count_distinct("source_file", "INFO_P") <= slices).alias("starts_bounded"))
 
 
-def _packed_in_order(df: DataFrame, label: str, **options) -> DataFrame:
+def _packed_in_order(df: DataFrame, label: str, files: int, **options) -> DataFrame:
     """Records of gzip text in the order of their positions, spread over tasks in slices."""
     path = scratch_path(df.sparkSession, label)
-    lf.to_vcf_lines(df.repartitionByRange(3, "start").sortWithinPartitions("start")).select("line").write.option("compression", "gzip").text(path)
+    lf.to_vcf_lines(df.repartitionByRange(files, "start").sortWithinPartitions("start")).select("line").write.option("compression", "gzip").text(path)
     return lf.read_vcf(df.sparkSession, path, suffixes=fx.TEXT, gz_spread_bytes=20_000, ordered=True, **options)
 
 
 @query
 def pipe_order_after_gzip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archives unpacked by one task each and spread: the command still sees slices whole and in order."""
-    records = materialize(_packed_in_order(_records(spark, sf_dir).drop("rec", "genotypes"), "packed"), "spread")
+    records = materialize(_packed_in_order(_records(spark, sf_dir).drop("rec", "genotypes"), "packed", fx.pieces(spark, sf_dir, 3)), "spread")
     slices = records.select("source_file", "slice").distinct().count()
     return _counted(lf.pipe_partitions(records, COUNT)[0], slices)
 
@@ -522,7 +522,7 @@ def pipe_order_after_gzip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def pipe_order_after_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same after a normalization that had to deal the records out."""
-    records = materialize(_packed_in_order(fx.alleles(spark, sf_dir).drop("rec"), "packed-indels"), "spread")
+    records = materialize(_packed_in_order(fx.alleles(spark, sf_dir).drop("rec"), "packed-indels", fx.pieces(spark, sf_dir, 3)), "spread")
     slices = records.select("source_file", "slice").distinct().count()
     chunks = materialize(lf.reference_chunks(spark, fx.write_fasta(spark, sf_dir), fx.CHUNK_SIZE), "chunks")
     moved = lf.normalize_variants(records, chunks, fx.CHUNK_SIZE, broadcast_bytes=0)
@@ -559,7 +559,7 @@ def _ingested(spark: SparkSession, cfg: lf.IngestConfig) -> dict[str, DataFrame]
 
 @query
 def ingest_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = fx.write_vcf(_records(spark, sf_dir).drop("rec").repartition(4, "start"), "ingest")
+    path = fx.write_vcf(_records(spark, sf_dir).drop("rec").repartition(fx.pieces(spark, sf_dir, 4), "start"), "ingest")
     cfg = lf.IngestConfig(path, fx.database(spark), suffixes=fx.TEXT, pipe_cmd=["cat"])
     lf.ingest(spark, cfg)
     return _three_tables(_ingested(spark, cfg))

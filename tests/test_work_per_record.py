@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gzip
+
 import pyarrow as pa
 import pyarrow.parquet as pq
 
@@ -32,3 +34,22 @@ def test_a_filter_on_the_fault_does_not_repeat_the_parse(spark):
     assert [(r.start, r.INFO_DP, r.INFO_AC, r.genotypes[0].alleleDepths) for r in good.collect()] == [(4, 3, [1, None], [4, None, 6])]
     assert {r.reason for r in rejected.collect()} == {
         "position is no number", "INFO DP is no Integer", "sample value that does not fit its FORMAT"}
+
+
+def test_records_of_a_task_and_of_a_file_are_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(fx, "TASK_ROWS", 50)
+    pq.write_table(pa.table({"o_orderkey": pa.array(range(1000), pa.int64())}), f"{tmp_path}/orders.parquet")
+    assert fx.orders(spark, str(tmp_path)).rdd.getNumPartitions() == 20
+    assert (fx.pieces(spark, str(tmp_path), 3), fx.pieces(spark, str(tmp_path), 30)) == (20, 30)
+
+
+def test_small_slices_of_a_packed_file_share_tasks(spark, tmp_path):
+    path = f"{tmp_path}/a.txt.gz"
+    with gzip.open(path, "wt") as text:
+        text.writelines(f"{i} {i * i}\n" for i in range(20_000))
+    files = spark.createDataFrame([(path, len(open(path, "rb").read()), "packed")], "path string, length long, kind string")
+    read = read_ranges(files, 1000)
+    assert read.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    rows = read.select("slice", "line_number", "line").collect()
+    assert len({r.slice for r in rows}) > 100
+    assert [r.line for r in sorted(rows)] == [f"{i} {i * i}" for i in range(20_000)]
