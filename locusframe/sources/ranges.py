@@ -19,6 +19,8 @@ LINES = "source_file string, slice long, line_number long, line string"
 ORDER = ("slice", "line_number")
 #: Bytes of a file that a task reads.
 RANGE_BYTES = 64 << 20
+#: Text of a packed file that one task takes at least, however small its slices are.
+SPREAD_BYTES = 16 << 20
 
 
 def _reader(slice_bytes: int):
@@ -204,7 +206,7 @@ def read_ranges(files: DataFrame, slice_bytes: int, range_bytes: int = RANGE_BYT
         own = cut.where((F.col("kind") == "packed") == packed).repartition(count, "path", "number").mapInArrow(_reader(slice_bytes), LINES)
         if packed:
             size = next(r.bytes for r in totals if r.kind == "packed")
-            parts = max(spark.sparkContext.defaultParallelism, -(-size * 8 // slice_bytes))
+            parts = max(spark.sparkContext.defaultParallelism, -(-size * 8 // max(slice_bytes, SPREAD_BYTES)))
             own = in_order(own, parts)
         read = own if read is None else read.unionByName(own)
     return read if read is not None else spark.createDataFrame([], LINES)
