@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
-from ..functions import common_prefix_length, common_suffix_length, let
+from ..functions import common_prefix_length, common_suffix_length, let, once
 from ..scratch import materialize
 from ..sources.ranges import ORDER, in_order
 
@@ -95,7 +95,7 @@ def with_trim(df: DataFrame) -> DataFrame:
         .when(~named, _trim("symbolic"))
         .when(is_snv | (F.size(F.array_distinct(upper)) == 1), _trim("plain"))
         .otherwise(let(upper, by_bases)))
-    return df.withColumn("_trim", trim)
+    return once(df, _trim=trim)
 
 
 def movable_events(df: DataFrame) -> DataFrame:
@@ -120,12 +120,14 @@ def _look_left(pending: DataFrame, chunks: DataFrame, size: int, span: int) -> D
         "chunk", F.explode(F.sequence(F.greatest(nearest - (span - 1), F.lit(0)), F.greatest(nearest, last))))
     # the partitioning a shuffled join needs anyway; it also spreads the work where the chunks are broadcast
     wanted = wanted.repartition("contigName", "chunk")
-    rows = wanted.join(chunks.select("contigName", "chunk", "bases"), ["contigName", "chunk"], "left")
+    # a chunk is measured once, since to count the characters of a text Spark reads all of it
+    held = chunks.select("contigName", "chunk", "bases", F.length("bases").alias("held"))
+    rows = wanted.join(held, ["contigName", "chunk"], "left")
 
     chunk_start = F.col("chunk") * size
     bases = F.col("bases")
-    rows = rows.withColumn("left", bases.substr(F.lit(1), F.greatest(F.least(edge - chunk_start, F.lit(size)), F.lit(0)).cast("int")))
-    length = F.length("left")
+    before = F.greatest(F.least(edge - chunk_start, F.lit(size)), F.lit(0))
+    length = F.when(F.col("held").isNotNull(), F.least(before, F.col("held")).cast("int"))
     distance = start - chunk_start - length
 
     def repeats(b: Column, bases_left: Column, n: Column) -> Column:
@@ -140,25 +142,26 @@ def _look_left(pending: DataFrame, chunks: DataFrame, size: int, span: int) -> D
 
     # most events stop within a few bases; only the others are compared with the whole chunk
     near = F.least(length, F.lit(NEAR_BASES))
-    moved = let(over_all(F.right(F.col("left"), near), near),
-                lambda m: F.when((m < near) | (length <= NEAR_BASES), m).otherwise(over_all(F.col("left"), length)))
-    rows = rows.withColumn("moved", F.when(length > 0, moved))
+    moved = let(let(bases.substr(length - near + 1, near), lambda text: over_all(text, near)),
+                lambda m: F.when((m < near) | (length <= NEAR_BASES), m).otherwise(over_all(bases.substr(F.lit(1), length), length)))
+    rows = once(rows, moved=F.when(length > 0, moved))
     stop = F.when(
         F.col("moved") < length,
         F.struct((chunk_start + length - F.col("moved")).alias("edge"),
-                 F.col("left").substr(length - F.col("moved"), F.lit(1)).alias("base")))
+                 bases.substr(length - F.col("moved"), F.lit(1)).alias("base")))
     # the part of the reference allele that lies on this chunk, compared base by base
     from_base = F.greatest(start, chunk_start)
     to_base = F.least(start + F.length(ref), chunk_start + size)
     covered = (edge == start) & (to_base > from_base)
     found = bases.substr((from_base - chunk_start + 1).cast("int"), (to_base - from_base).cast("int"))
     expected = ref.substr((from_base - start + 1).cast("int"), (to_base - from_base).cast("int"))
-    return rows.groupBy(*EVENT, "cores", "tail", "edge").agg(
-        F.max(stop).alias("stop"),
-        F.min(chunk_start).alias("lowest"),
-        F.bool_and(bases.isNotNull()).alias("known"),
-        F.coalesce(F.bool_and(F.when(covered, found == expected)), F.lit(True)).alias("matches"),
-    )
+    # the aggregation sorts its input, so the bases of the chunks must not be part of it
+    narrow = rows.select(
+        *EVENT, "cores", "tail", "edge", stop.alias("stop"), chunk_start.alias("lowest"), bases.isNotNull().alias("known"),
+        F.when(covered, found == expected).alias("matches"))
+    return narrow.groupBy(*EVENT, "cores", "tail", "edge").agg(
+        F.max("stop").alias("stop"), F.min("lowest").alias("lowest"), F.bool_and("known").alias("known"),
+        F.coalesce(F.bool_and("matches"), F.lit(True)).alias("matches"))
 
 
 def spread_events(events: DataFrame, together: int) -> DataFrame:

@@ -8,6 +8,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 
 import locusframe as lf
+from locusframe.operators.normalize import _look_left
 from locusframe.sources.header import merge_layout, per_file
 from locusframe.sources.ranges import read_ranges
 from locusframe.sources.vcf import parse_by_file
@@ -53,3 +54,14 @@ def test_small_slices_of_a_packed_file_share_tasks(spark, tmp_path):
     rows = read.select("slice", "line_number", "line").collect()
     assert len({r.slice for r in rows}) > 100
     assert [r.line for r in sorted(rows)] == [f"{i} {i * i}" for i in range(20_000)]
+
+
+def test_events_are_aggregated_without_the_bases_of_their_chunks(spark):
+    chunks = spark.createDataFrame([("1", 0, 0, "ACGTTTTT"), ("1", 1, 8, "TTTTACGT")], "contigName string, chunk long, start long, bases string")
+    pending = spark.createDataFrame([("1", 9, ["TT", "T"], ["T", ""], 1, 9)],
+                                    "contigName string, start long, alleles array<string>, cores array<string>, tail int, edge long")
+    looked = _look_left(pending, chunks, 8, 2)
+    plan = looked._jdf.queryExecution().optimizedPlan()
+    assert plan.nodeName() == "Aggregate" and "bases" not in plan.children().head().output().toString()
+    row = looked.first()
+    assert (row.stop.edge, row.stop.base, row.lowest, row.known, row.matches) == (3, "G", 0, True, True)
