@@ -3,16 +3,16 @@
 Two documents link when their shingle sets have a Jaccard similarity of at least 0.8. Equal sets are one
 class. What remains is joined by size: of a light (small) set every pair from its leading shingles is
 enumerated, two light sets that link have one such pair in common; a heavy (large) set scans inverted lists
-of single leading shingles. The boundary between light and heavy is where the cost of the enumeration,
-summed over all sets, meets that of the lists.
+of single leading shingles. The boundary between light and heavy is where the rows of the enumeration,
+summed over all sets, meet those of the lists; since lists are stars, it is no set that more pairs come of than lists.
 
 Leading means: rarest first, in an order all sets agree on. A set of n shingles shares at least
 ceil(0.8 n) with any partner, so two sets that link share their k first common shingles among the first
 n - ceil(0.8 n) + k of each, for every k. With k = n/5 this is also the filter that comes first: a set
 whose leading shingles are not in other sets often enough has no partner and leaves, before any set is
 shuffled. Lists never give all pairs: a list links its members to its first member, and members that this
-does not settle are joined within bands of their distance to it, since the Jaccard distance is a metric. That
-join holds a sketch of each set, counts of its shingles by classes of their hash, which bounds what two sets can
+does not settle are joined within bands of their distance to it, since the Jaccard distance is a metric. Both
+steps hold a sketch of each set, counts of its shingles by classes of their hash, which bounds what two sets can
 have in common; the few pairs that pass are verified on the sets. Every possible link between sets of different
 components is thus checked.
 
@@ -123,13 +123,13 @@ def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _sketches(sets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, sketch): how many shingles of a set fall into each of ``SKETCH`` classes of their hash."""
+    """(node, n, sketch): how many shingles of a set fall into each of ``SKETCH`` classes of their hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts = [np.bincount(np.array(t, np.int64) & (SKETCH - 1), minlength=SKETCH).astype(np.int32) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.list_(pa.int32()))], ["node", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(counts, pa.list_(pa.int32()))], ["node", "n", "sketch"])
 
-    return sets.join(nodes, "node", "left_semi").select("node", "tokens").mapInArrow(run, "node long, sketch array<int>")
+    return sets.join(nodes, "node", "left_semi").select("node", "tokens", "n").mapInArrow(run, "node long, n long, sketch array<int>")
 
 
 def _may_have_in_common(a: Column, b: Column) -> Column:
@@ -140,16 +140,14 @@ def _may_have_in_common(a: Column, b: Column) -> Column:
 def _boundary(leads: DataFrame) -> int:
     """The largest size of a light set: what is enumerated up to it plus what is listed beyond it is least.
 
-    Sizes are gathered in classes of an eighth of a power of two, so the answer to the driver has a bounded
-    number of rows.
+    A list links its members to its first one alone, so a set costs one row for each of its lists; enumerated it
+    costs one for each pair. Sizes are gathered in classes of an eighth of a power of two, so the answer to the
+    driver has a bounded number of rows.
     """
-    per_token = leads.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     step = F.floor(8 * F.log2("n"))
-    listed = leads.join(per_token, "token").groupBy(step.alias("size")).agg(
-        F.sum("df").alias("listed"), F.max("n").alias("largest"))
-    pairs = leads.groupBy(step.alias("size"), "node").agg(F.count(F.lit(1)).alias("p")).groupBy("size").agg(
-        F.sum(F.col("p") * (F.col("p") + 1) / 2).alias("pairs"))
-    rows = sorted((r.size, r.largest, float(r.listed), float(r.pairs)) for r in listed.join(pairs, "size").collect())
+    per_set = leads.groupBy(step.alias("size"), "node").agg(F.count(F.lit(1)).alias("p"), F.max("n").alias("n"))
+    rows = sorted((r.size, r.largest, float(r.listed), float(r.pairs)) for r in per_set.groupBy("size").agg(
+        F.max("n").alias("largest"), F.sum("p").alias("listed"), F.sum(F.col("p") * (F.col("p") + 1) / 2).alias("pairs")).collect())
     best, boundary, enumerated, rest = float("inf"), 0, 0.0, sum(r[2] for r in rows)
     for _, largest, scan, pair in [(0, 1, 0.0, 0.0), *rows]:
         enumerated, rest = enumerated + pair, rest - scan
@@ -223,20 +221,25 @@ def links(sets: DataFrame, measured_all: Callable[[], None] = lambda: None) -> D
         "hub", "node").distinct(), "longer-lists")
     steps.drop(postings, hubs)
     exchange.release(sets.sparkSession)
-    measured = _measured(member.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")), sets)
-    apart = 1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
-    star = steps.write(measured.select(
-        F.col("a").alias("hub"), F.col("b").alias("node"), F.col("nb").alias("n"), apart.alias("d"),
-        _similar(F.col("na"), F.col("nb"), F.col("common")).alias("linked")), "stars")
+    sketches = steps.write(_sketches(sets, member.select("node").distinct()), "sketches")
+    left, right = (sketches.select(F.col("node").alias(name), F.col("n").alias(f"n{name}"), F.col("sketch").alias(f"sketch{name}"))
+                   for name in ("hub", "node"))
+    met = member.where("node <> hub").join(left, "hub").join(right, "node").select(
+        "hub", "node", "nhub", "nnode", _may_have_in_common(F.col("sketchhub"), F.col("sketchnode")).alias("most"))
+    star = steps.write(met.select(
+        "hub", "node", F.col("nnode").alias("n"), (1 - F.col("most") / (F.col("nhub") + F.col("nnode") - F.col("most"))).alias("d"),
+        _similar(F.col("nhub"), F.col("nnode"), F.col("most")).alias("may_link")), "stars")
     steps.drop(member)
     exchange.release(sets.sparkSession)
-    first = steps.write(star.where("linked").select(F.col("hub").alias("a"), F.col("node").alias("b")), "first-links")
+    # Sets travel only for the pairs that may link; those that the sketches tell apart have their distance from them.
+    first = steps.write(_measured(star.where("may_link").select(F.col("hub").alias("a"), F.col("node").alias("b")), sets).where(
+        _similar(F.col("na"), F.col("nb"), F.col("common"))).select("a", "b"), "first-links")
     settled = steps.write(components(first), "first-components")
     exchange.release(sets.sparkSession)
 
-    # Members of a hub in different components, in bands of their distance to the hub: the Jaccard distance is a
-    # metric, so those further apart in it than the reach do not link.
-    placed = longer.join(star.drop("linked"), ["hub", "node"]).join(settled, "node", "left").withColumn(
+    # Members of a hub in different components, in bands of the distance of their sketches to the hub's: the Jaccard
+    # distance of counts is a metric too and never above that of the sets, so those further apart than the reach do not link.
+    placed = longer.join(star.drop("may_link"), ["hub", "node"]).join(settled, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     mixed = steps.write(placed.groupBy("hub").agg(F.min("component").alias("low"), F.max("component").alias("high")).where(
         "low <> high").select("hub"), "mixed-hubs")
@@ -244,8 +247,7 @@ def links(sets: DataFrame, measured_all: Callable[[], None] = lambda: None) -> D
     cells = steps.write(placed.join(mixed, "hub", "left_semi").select(
         "hub", "node", "n", "d", "component", F.floor(F.col("d") / reach).cast("long").alias("cell")), "cells")
     steps.drop(longer, star, settled, mixed)
-    sketches = steps.write(_sketches(sets, cells.select("node").distinct()), "sketches")
-    x = cells.join(sketches, "node")
+    x = cells.join(sketches.select("node", "sketch"), "node")
     # One side of a pair stands in its cell, the other in its own and the next, so a pair meets once at a hub.
     p, q = (x.select("hub", "cell", *(F.col(c).alias(c + s) for c in ("node", "n", "d", "component", "sketch"))) for s in "pq")
     q = q.withColumn("place", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("cell", F.col("cell") + F.col("place"))

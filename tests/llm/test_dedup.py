@@ -173,3 +173,8 @@ def test_word_hashes_know_words_only():
     a, _, _ = hashing.words(hashing.to_bytes("Ab  cd\x1cx y ab"), lower=True)
     b, _, _ = hashing.words(hashing.to_bytes("ab\n\ncd\x1cx y\tAB"), lower=True)
     assert (a == b).all() and a[0] == a[2] and a[0] != a[1]
+
+
+def test_near_copies_are_listed_not_enumerated(shipped):
+    leads = [(token, node, 25, place) for node in range(100) for place, token in enumerate(range(6))]
+    assert jaccard._boundary(shipped.createDataFrame(leads, "token long, node long, n long, place long")) == 1  # no set has pairs
