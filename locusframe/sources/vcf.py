@@ -1,6 +1,6 @@
 """Read variant-call text into nested records, without loss.
 
-One text scan over all files; every column is a native expression, so the parse stays in the JVM.
+One text scan over all files. Columns are native expressions, but for plain sample cells, which Arrow batches take.
 What differs by file (sample names, consequence format) comes from a small header table joined by path.
 
 Nothing that a line holds vanishes. INFO keys that no header declares, repeated keys and values of flags are kept in
@@ -23,6 +23,7 @@ from ..scratch import materialize
 from .files import VCF_SUFFIXES, discover_files, is_hidden, parent, resolve_roots, source_path
 from .header import Field, Layout, merge_layout, per_file, read_headers
 from .ranges import ORDER, RANGE_BYTES, file_kinds, read_ranges
+from .samples import read_samples
 
 # Genotype fields with a name of their own in the record.
 GENOTYPE_NAMES = {
@@ -79,8 +80,54 @@ def _after_equals(pair: Column) -> Column:
     return F.when(at > 0, pair.substr(at + 1, F.length(pair))).otherwise("")
 
 
-def _value_of(name: str, keys: Column, values: Column) -> Column:
-    return F.get(values, (F.array_position(keys, name) - 1).cast("int"))
+def _info_names(layout: Layout) -> tuple[list[str], list[str]]:
+    """The flags and the keys with values that INFO columns are made of."""
+    flags = list(dict.fromkeys([f.name for f in layout.info if f.type == "Flag"] + [SPLIT_FLAG]))
+    valued = [f.name for f in layout.info] + ["END"] + (["CSQ"] if layout.has_csq else [])
+    return flags, [name for name in dict.fromkeys(valued) if name not in flags]
+
+
+def _is_plain(layout: Layout, info: Column) -> Column:
+    """Whether every entry is a flag, or a key with a value, that INFO columns are made of, and none is there twice.
+
+    It is if as many of those are found as there are entries. ``info`` begins and ends with a semicolon.
+    """
+    flags, valued = _info_names(layout)
+    found = [info.contains(f";{name};") for name in flags] + [info.contains(f";{name}=") for name in valued]
+    entries = F.length(info) - F.length(F.replace(info, F.lit(";"), F.lit(""))) - 1
+    return sum((x.cast("int") for x in found), F.lit(0)) == entries
+
+
+def _info_values(layout: Layout, info: Column, keys: Column, values: Column) -> Column:
+    """The text of each key (``value_<key>``) and whether each flag is there (``flag_<key>``), as a struct.
+
+    A plain INFO is cut by text functions; ``keys`` and ``values`` are those of one that is not, else NULL. Functions on
+    lists are interpreted, and there a position found in a list costs an exception.
+    """
+    flags, valued = _info_names(layout)
+
+    def listed(name: str) -> Column:
+        return F.get(values, (F.array_position(keys, name) - 1).cast("int"))
+
+    def value(name: str) -> Column:
+        begin = F.instr(info, f";{name}=")
+        cut = F.when(begin > 0, F.substring_index(info.substr(begin + len(name) + 2, F.length(info)), ";", 1))
+        return F.when(keys.isNull(), cut).otherwise(listed(name))
+
+    def flag(name: str) -> Column:
+        held = F.when(keys.isNull(), info.contains(f";{name};")).otherwise(F.array_contains(keys, name))
+        return F.coalesce(held, F.lit(False))
+
+    return F.struct(*[value(n).alias(f"value_{n}") for n in valued], *[listed(n).alias(f"value_{n}") for n in flags],
+                    *[flag(n).alias(f"flag_{n}") for n in flags])
+
+
+def _value_of(name: str) -> Column:
+    return F.col("held").getField(f"value_{name}")
+
+
+def _has_flag(name: str) -> Column:
+    return F.col("held").getField(f"flag_{name}")
 
 
 def _message(fault: Column | str) -> Column:
@@ -92,21 +139,21 @@ def _type_fault(section: str, spec: Field) -> str:
     return f"{section} {spec.name} is no {spec.type}"
 
 
-def _info_column(spec: Field, keys: Column, values: Column, layout: Layout, strict: bool) -> Column:
+def _info_column(spec: Field, layout: Layout, strict: bool) -> Column:
     if spec.type == "Flag":
-        found = F.coalesce(F.array_position(keys, spec.name) > 0, F.lit(False))
+        found = _has_flag(spec.name)
         if spec.name in layout.optional_flags:
             found = F.when(F.array_contains("flags", spec.name), found)
         return found
-    return _typed(_value_of(spec.name, keys, values), spec, _message(_type_fault("INFO", spec)) if strict else None)
+    return _typed(_value_of(spec.name), spec, _message(_type_fault("INFO", spec)) if strict else None)
 
 
-def _info_fault(layout: Layout, keys: Column, values: Column) -> Column:
+def _info_fault(layout: Layout) -> Column:
     """Which INFO value is not of its type, NULL if all are."""
-    fault = F.when(_unparsable(_value_of("END", keys, values), Field("END", "Integer", "1")), "INFO END is no Integer")
+    fault = F.when(_unparsable(_value_of("END"), Field("END", "Integer", "1")), "INFO END is no Integer")
     for spec in layout.info:
         if not spec.is_text and spec.type != "Flag" and spec.name != "END":
-            fault = fault.when(_unparsable(_value_of(spec.name, keys, values), spec), _type_fault("INFO", spec))
+            fault = fault.when(_unparsable(_value_of(spec.name), spec), _type_fault("INFO", spec))
     return fault
 
 
@@ -133,12 +180,11 @@ def _undeclared(layout: Layout, pairs: Column) -> Column:
         names = F.array_distinct(F.transform(extra, key))
         return F.when(F.size(extra) > 0, F.map_from_arrays(names, F.transform(names, lambda name: value(name, extra))))
 
-    return let(let(pairs, beyond), as_map)
+    return F.when(pairs.isNotNull(), let(let(pairs, beyond), as_map))
 
 
-def _consequences(layout: Layout, keys: Column, values: Column) -> Column:
-    value = F.get(values, (F.array_position(keys, "CSQ") - 1).cast("int"))
-    entries = let(value, lambda v: F.split(_present(v), ","))
+def _consequences(layout: Layout) -> Column:
+    entries = F.split(_present(_value_of("CSQ")), ",")
     if not layout.csq_fields:
         return entries
     names = layout.csq_fields
@@ -150,6 +196,20 @@ def _consequences(layout: Layout, keys: Column, values: Column) -> Column:
         *[F.get(p, (F.array_position(order, n) - 1).cast("int")).alias(n) for n in names]))
 
 
+def _sample_cells(cells: Column) -> Column:
+    return F.slice(cells, F.lit(10), F.greatest(F.size(cells) - 9, F.lit(0)))
+
+
+def _plain_genotypes(layout: Layout, cells: Column) -> Column | None:
+    """The sample cells as structs if all are plain, else NULL; None if the layout has none that could be."""
+    specs = [f for f in layout.formats if f.name != "GT"]
+    struct = T.StructType().add("sampleId", "string").add("calls", T.ArrayType(T.IntegerType())).add("phased", "boolean")
+    for f in specs:
+        struct = struct.add(GENOTYPE_NAMES.get(f.name, f.name), f.spark_type)
+    formats = F.when(F.col("has_genotypes"), F.get(cells, F.lit(8)))
+    return read_samples(struct, [(f.name, f.type, f.is_scalar) for f in specs], formats, _sample_cells(cells), F.col("samples"))
+
+
 def _genotypes(layout: Layout, cells: Column, strict: bool) -> Column:
     """The sample cells as structs. Where each FORMAT key stands is worked out once per line.
 
@@ -157,7 +217,7 @@ def _genotypes(layout: Layout, cells: Column, strict: bool) -> Column:
     """
     names = ["GT"] + [f.name for f in layout.formats if f.name != "GT"]
     specs = [f for f in layout.formats if f.name != "GT"]
-    samples = F.slice(cells, F.lit(10), F.greatest(F.size(cells) - 9, F.lit(0)))
+    samples = _sample_cells(cells)
 
     def allele(text: Column) -> Column:
         found = _cast(_present(text), T.IntegerType(), _message("GT is no genotype") if strict else None)
@@ -228,43 +288,52 @@ def parse_records(lines: DataFrame, layout: Layout, mode: str = "fail", samples_
         rows = rows.withColumn("cells", F.when(F.col("fault").isNull(), F.col("cells")))
     if samples_at_once is not None:
         rows = _by_sample_slices(rows, samples_at_once)
-    rows = once(rows, pairs=F.split(_present(F.get("cells", F.lit(7))), ";"))
+    plain = _plain_genotypes(layout, F.col("cells")) if layout.has_samples else None
+    if plain is not None:
+        rows = rows.withColumn("plain", plain)
+    rows = once(rows, info=F.concat(F.lit(";"), _present(F.get("cells", F.lit(7))), F.lit(";")))
+    listed = F.split(F.col("info").substr(F.lit(2), F.length("info") - 2), ";")
+    rows = once(rows, pairs=F.when(~_is_plain(layout, F.col("info")), listed))
     rows = once(rows, keys=F.transform("pairs", lambda p: F.substring_index(p, "=", 1)), values=F.transform("pairs", _after_equals))
+    rows = once(rows, held=_info_values(layout, F.col("info"), F.col("keys"), F.col("values")))
 
-    cells, keys, values = F.col("cells"), F.col("keys"), F.col("values")
+    cells = F.col("cells")
 
     def cell(i: int) -> Column:
         return _present(F.get(cells, F.lit(i)))
 
     start = cell(1).try_cast("long") - 1
-    info_end = _cast(_present(_value_of("END", keys, values)), T.LongType(), _message("INFO END is no Integer") if strict else None)
+    info_end = _cast(_present(_value_of("END")), T.LongType(), _message("INFO END is no Integer") if strict else None)
     alts = F.when(cells.isNotNull(), F.coalesce(F.split(cell(4), ","), F.array().cast("array<string>")))
     columns = [
         cell(0).alias("contigName"), start.alias("start"),
         F.coalesce(info_end, start + F.length(cell(3))).alias("end"),
         F.split(cell(2), ";").alias("names"), cell(3).alias("referenceAllele"), alts.alias("alternateAlleles"),
         cell(5).try_cast("double").alias("qual"), F.split(cell(6), ";").alias("filters"),
-        F.when(cells.isNotNull(), F.coalesce(F.array_contains(keys, SPLIT_FLAG), F.lit(False)))
-        .alias("splitFromMultiAllelic"),
+        F.when(cells.isNotNull(), _has_flag(SPLIT_FLAG)).alias("splitFromMultiAllelic"),
     ]
-    columns += [_info_column(f, keys, values, layout, strict).alias(f"INFO_{f.name}", metadata={NUMBER_KEY: f.number})
+    columns += [_info_column(f, layout, strict).alias(f"INFO_{f.name}", metadata={NUMBER_KEY: f.number})
                 for f in layout.info if f.name != SPLIT_FLAG]
     if layout.has_csq:
-        columns.append(_consequences(layout, keys, values).alias("INFO_CSQ"))
+        columns.append(_consequences(layout).alias("INFO_CSQ"))
     columns.append(_undeclared(layout, F.col("pairs")).alias("undeclared_info"))
     numbers = {NUMBER_KEY: {GENOTYPE_NAMES.get(f.name, f.name): f.number for f in layout.formats}}
     if layout.has_samples:
         genotypes = _genotypes(layout, cells, strict)
+        if plain is not None:
+            genotypes = F.when(F.col("plain").isNull(), genotypes)
         if not strict:
             rows = once(rows, described=genotypes)
             genotypes = F.transform("described", lambda g: g.dropFields("misfit"))
+        if plain is not None:
+            genotypes = F.coalesce("plain", genotypes)
         columns.append(genotypes.alias("genotypes", metadata=numbers))
     columns += [F.col("source_file"), *[F.col(c) for c in ORDER if c in lines.columns],
                 F.coalesce("has_csq", F.lit(False)).alias("has_csq")]
     if strict:
         return rows.select(*columns)
     # the reason is what filters ask for, so neither it nor what it is made of may be copied into them
-    reason = F.coalesce("fault", _info_fault(layout, keys, values))
+    reason = F.coalesce("fault", _info_fault(layout))
     if layout.has_samples:
         misfit = F.coalesce(F.exists("described", lambda g: g["misfit"]), F.lit(False))
         reason = F.coalesce(reason, F.when(misfit, "sample value that does not fit its FORMAT"))

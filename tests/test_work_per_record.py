@@ -6,9 +6,11 @@ import gzip
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
 import locusframe as lf
 from locusframe.operators.normalize import _look_left
+from locusframe.sources import vcf
 from locusframe.sources.header import merge_layout, per_file
 from locusframe.sources.ranges import read_ranges
 from locusframe.sources.vcf import parse_by_file
@@ -65,3 +67,24 @@ def test_events_are_aggregated_without_the_bases_of_their_chunks(spark):
     assert plan.nodeName() == "Aggregate" and "bases" not in plan.children().head().output().toString()
     row = looked.first()
     assert (row.stop.edge, row.stop.base, row.lowest, row.known, row.matches) == (3, "G", 0, True, True)
+
+
+def test_plain_lines_are_read_without_functions_on_lists_and_as_by_them(spark, monkeypatch):
+    texts = ["DP=3;AC=1,.", "AC=.;DP=.", "DB", "DP=;DB", ".", "DP", "DP=1;DP=2", "NEW=1;DP=4", "END=9;DP=5", "DB=1", "DP=1;;DB", "ADP=1", "DP=+5"]
+    cells = ["GT:AD\t0/1:4,.,6", "GT:AD\t.|1", "AD:GT\t1,2:./.", "AD:GT\t1", "GT\t0", "GT:AD\t0/1:+4", "GT:AD\t1|0/1:.", "AD\t,3", "GT:AD\t0/1: 4", ".\t.",
+             "GT:AD\t:", "GT:AD\t0/1:4:5", "GT:AD\t0/1:0x1F", "GT:AD\tA/1:2", "GT:AD\t0/1:99999999999"]
+    rows = [("a", f"1\t{k}\t.\tA\tC\t.\tPASS\t{texts[k % len(texts)]}\t{cells[k % len(cells)]}") for k in range(len(texts) * len(cells))]
+    lines = spark.createDataFrame(rows, "source_file string, line string")
+    flag = '##INFO=<ID=DB,Number=0,Type=Flag,Description="">'
+    headers = spark.createDataFrame([("a", line) for line in [*HEADER[:-1], flag, HEADER[-1]]], "source_file string, line string")
+
+    def read(mode):
+        df = parse_by_file(lines, per_file(headers), merge_layout(headers), mode).select("*")
+        return sorted(map(repr, df.collect())), df
+
+    kept, df = read("keep")
+    assert len(kept) == len(rows) and "ArrowEvalPython" in df._jdf.queryExecution().executedPlan().toString()
+    dropped = read("drop")[0]
+    monkeypatch.setattr(vcf, "read_samples", lambda *_: None)
+    monkeypatch.setattr(vcf, "_is_plain", lambda layout, info: F.lit(False))
+    assert read("keep")[0] == kept and read("drop")[0] == dropped and 0 < len(dropped) < len(kept)
