@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..scratch import materialize
+from ..scratch import RECORDS_PER_FILE, materialize
 from ..sources.header import merge_layout, per_file
 from ..sources.vcf import parse_by_file
 from ..sources.vcf_text import infer_header, record_lines
@@ -208,7 +208,7 @@ def pipe_partitions(
         "source_file", F.col("line").alias("raw"), F.col("error").alias("reason"))
     if on_error == "fail":
         return parsed, bad
-    parsed = materialize(parsed, "piped-records")
+    parsed = materialize(parsed, "piped-records", RECORDS_PER_FILE)
     bad = bad.unionByName(parsed.where(F.col("corrupt_reason").isNotNull()).select(
         "source_file", F.col("corrupt_line").alias("raw"), F.col("corrupt_reason").alias("reason")))
     good = parsed.where(F.col("corrupt_reason").isNull()).drop("corrupt_line", "corrupt_reason")

@@ -14,6 +14,9 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows of a file of records, whose readers sort what they make of them.
+RECORDS_PER_FILE = 25_000
+
 _local_root: dict[str, str] = {}
 _run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
 
@@ -50,11 +53,15 @@ def scratch_run(spark: SparkSession, label: str, keep: bool = False) -> Iterator
             remove_path(spark, folder)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and return the written table, with column metadata kept."""
+def materialize(df: DataFrame, label: str, rows_per_file: int = 0) -> DataFrame:
+    """Write ``df`` once and return the written table, with column metadata kept.
+
+    ``rows_per_file`` bounds the rows of a task that reads the table: packed rows are small, so a split by bytes alone
+    may hold millions of them, but each file counts at least ``spark.sql.files.openCostInBytes``.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import locusframe as lf
 from locusframe.operators.normalize import _look_left
+from locusframe.scratch import materialize
 from locusframe.sources import vcf
 from locusframe.sources.header import merge_layout, per_file
 from locusframe.sources.ranges import read_ranges
@@ -88,3 +89,12 @@ def test_plain_lines_are_read_without_functions_on_lists_and_as_by_them(spark, m
     monkeypatch.setattr(vcf, "read_samples", lambda *_: None)
     monkeypatch.setattr(vcf, "_is_plain", lambda layout, info: F.lit(False))
     assert read("keep")[0] == kept and read("drop")[0] == dropped and 0 < len(dropped) < len(kept)
+
+
+def test_a_task_over_written_records_reads_a_bounded_number(spark):
+    rows = spark.range(400_000, numPartitions=1)
+    written = materialize(rows, "bounded", 5_000)
+    assert len(written.inputFiles()) == 80
+    most = 5_000 * ((128 << 20) // (4 << 20))
+    per_task = written.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first()
+    assert per_task[0] <= most < 400_000 == per_task[1]
