@@ -17,15 +17,16 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Iterable, Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
 #: Chunks in each of the two generations that a worker keeps, marks that it keeps, and the longest chunk that is kept.
-KEPT_CHUNKS, KEPT_WORDS, KEPT_LENGTH = 600_000, 100_000, 64
+#: A worker holds them on while it serves other stages, so they are bounded by what an executor has to spare.
+KEPT_CHUNKS, KEPT_WORDS, KEPT_LENGTH = 400_000, 100_000, 64
 
 #: White space besides the plain space and the line feed.
 _OTHER_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + (
@@ -43,49 +44,79 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class _Chunks(dict):
-    """Ids of chunks that follow ``prefix``, as unsigned 32-bit integers, little-endian as on every machine Spark runs on.
+    """Ids of chunks, as unsigned 32-bit integers, little-endian as on every machine Spark runs on.
 
-    ASCII marks at the end of a chunk begin a match of their own after a letter or digit, so that the words
-    before them are encoded once for all their endings.
+    A chunk that begins with a line feed stands for one and the first chunk of a line, any other for itself with a
+    space before it. ASCII marks at the end of a chunk begin a match of their own after a letter or digit, so that
+    the words before them are encoded once for all their endings.
     """
 
-    def __init__(self, tokenizer, prefix: str):
-        self.tokenizer, self.prefix, self.older, self.marks = tokenizer, prefix, {}, {}
+    def __init__(self, tokenizer, after_space: np.ndarray):
+        self.tokenizer, self.after_space, self.older, self.marks = tokenizer, after_space, {}, {}
+        self.newline = self._encode(["\n"])[0]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def _learn_whole(self, known: dict[str, bytes], new: set[str], prefix: str) -> None:
-        some = list(new)
-        for begin in range(0, len(some), 10_000):
-            part = some[begin:begin + 10_000]
-            known.update(zip(part, self._encode([prefix + x for x in part])))
+    def _joined(self, words: list[str]) -> list[bytes]:
+        """Ids of words without white space, each with a space before it: as one text, since only a word's first token begins with a space."""
+        if not words:
+            return []
+        ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        begins = np.flatnonzero(self.after_space[ids])
+        if len(begins) != len(words):
+            return self._encode([" " + x for x in words])
+        data, cuts = ids.tobytes(), (4 * begins).tolist()
+        return [data[a:b] for a, b in zip(cuts, [*cuts[1:], len(data)])]
+
+    def _whole(self, chunks: Iterable[str]) -> Iterator[tuple[str, bytes]]:
+        words, others, lines = [], [], []
+        for x in chunks:
+            (lines if x[:1] == "\n" else words if x.split() == [x] else others).append(x)
+        for begin in range(0, len(words), 10_000):
+            part = words[begin:begin + 10_000]
+            yield from zip(part, self._joined(part))
+        yield from zip(others, self._encode([" " + x for x in others]))
+        yield from zip(lines, (self.newline + ids for ids in self._encode([x[1:] for x in lines])))
+
+    def _ended(self, ended: dict[str, str]) -> dict[str, bytes]:
+        """Ids of chunks that end with marks, from their words; not kept, since the words are."""
+        ends = {x: x[len(word):] for x, word in ended.items()}
+        unknown = [x for x in set(ends.values()) if x not in self.marks]
+        self.marks.update(zip(unknown, self._encode(unknown)))
+        return {x: self[word] + self.marks[ends[x]] for x, word in ended.items()}
 
     def _unknown(self, wanted: set[str]) -> set[str]:
-        """Those that neither generation holds; what the older one holds is taken over."""
-        new = wanted.difference(self)
-        if new and self.older:
-            self.update([(x, self.older[x]) for x in new if x in self.older])
-            new = new.difference(self)
-        return new
-
-    def learn(self, chunks: set[str]) -> None:
+        """Those that neither generation holds; what the older one holds is taken over.
+
+        Word by word: ``difference`` would go through the whole table.
+        """
+        new = {x for x in wanted if x not in self}
+        again = {x: self.older[x] for x in new if x in self.older}
+        self.update(again)
+        return new.difference(again)
+
+    def of(self, chunks: list[str]) -> list[bytes]:
+        """The ids of each chunk."""
         if len(self) > KEPT_CHUNKS:
             self.older = dict(self)
             self.clear()
         if len(self.marks) > KEPT_WORDS:
             self.marks.clear()
-        new = {x for x in self._unknown(chunks) if len(x) <= KEPT_LENGTH}
-        ended = {x: word for x in new if (word := x.rstrip(_MARKS)) != x and word and word[-1].isalnum()}
-        self._learn_whole(self, self._unknown(new.difference(ended).union(ended.values())), self.prefix)
-        ends = {x: x[len(word):] for x, word in ended.items()}
-        self._learn_whole(self.marks, set(ends.values()).difference(self.marks), "")
-        for x, word in ended.items():
-            self[x] = self[word] + self.marks[ends[x]]
-
-    def __missing__(self, chunk: str) -> bytes:
-        return self._encode([self.prefix + chunk])[0]
+        found = list(map(self.get, chunks))
+        missed = [k for k, ids in enumerate(found) if ids is None]
+        new = {chunks[k] for k in missed}
+        long = {x for x in new if len(x) > KEPT_LENGTH}
+        new -= long
+        ended = {x: word for x in new if len(word := x.rstrip(_MARKS)) < len(x) and word and word[-1].isalnum()}
+        self.update(self._whole(self._unknown(new.difference(ended).union(ended.values()))))
+        here = self._ended(ended)
+        here.update(self._whole(long))
+        for k in missed:
+            x = chunks[k]
+            found[k] = here[x] if x in here else self[x]
+        return found
 
 
 class ByteBpe:
@@ -103,7 +134,7 @@ class ByteBpe:
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
-        self.whole = Tokenizer.from_file(path) if added else None
+        self.tokenizer = tokenizer
         self.added = [t.content for t in tokenizer.get_added_tokens_decoder().values()] if added else []
         vocabulary = tokenizer.get_vocab(with_added_tokens=True)
         special = {k for k, token in tokenizer.get_added_tokens_decoder().items() if token.special}
@@ -113,32 +144,34 @@ class ByteBpe:
             self.bytes_of[number] = token.encode() if number in special else bytes(map(alphabet.__getitem__, token))
         self.lengths = np.array([len(b or b"") for b in self.bytes_of], np.int64)
         self.words = list(map(str, range(len(self.bytes_of))))
-        self.first, self.rest = _Chunks(tokenizer, ""), _Chunks(tokenizer, " ")
-
-        self.newline = self.first["\n"]
+        self.rest = _Chunks(tokenizer, np.array([(b or b"").startswith(b" ") for b in self.bytes_of]))
 
     @staticmethod
-    def cut(text: str) -> list[list[str]]:
-        """Lines of chunks; each chunk but the first of a line stands for itself with a space before it."""
+    def cut(text: str) -> list[str]:
+        """The chunks of a text with a line feed before it; those that do not begin a line follow a space."""
         if any(x in text for x in ("  ", "\n\n", " \n", "\n ", *_OTHER_SPACE)):
             head, *others = _CUT.split(text)
-            return [[head, *(c[1:] for c in others)]]
-        return [line.split(" ") for line in text.split("\n")]
+            return ["\n" + head, *(c[1:] for c in others)]
+        return ("\n" + text.replace("\n", " \n")).split(" ")
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""
+        before = len(self.rest.newline)
         for begin in range(0, len(texts), 500):
             some = texts[begin:begin + 500]
             whole = {k for k, t in enumerate(some) if t and any(token in t for token in self.added)}
             cut = [self.cut("" if k in whole else t or "") for k, t in enumerate(some)]
-            self.first.learn({line[0] for lines in cut for line in lines})
-            self.rest.learn(set(chain.from_iterable(line[1:] for lines in cut for line in lines)))
-            for k, lines in enumerate(cut):
-                if k in whole:
-                    yield array("I", self.whole.encode(some[k], add_special_tokens=False).ids).tobytes()
-                else:
-                    yield self.newline.join(
-                        [self.first[line[0]] + b"".join(map(self.rest.__getitem__, line[1:])) for line in lines])
+            found = iter(self.rest.of(list(chain.from_iterable(cut))))
+            for k, chunks in enumerate(cut):
+                ids = b"".join(islice(found, len(chunks)))[before:]
+                yield self._with_added(some[k]) if k in whole else ids
+
+    def _with_added(self, text: str) -> bytes:
+        self.tokenizer.encode_special_tokens = False
+        try:
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        finally:
+            self.tokenizer.encode_special_tokens = True
 
     def decode(self, ids: list[int]) -> bytes:
         try:

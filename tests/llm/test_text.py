@@ -428,3 +428,25 @@ def test_words_move_between_generations(monkeypatch):
         got = [np.frombuffer(x, "<u4").tolist() for x in own.encode(some)]
         assert got == [plain.encode(t, add_special_tokens=False).ids for t in some]
     assert own.rest.older
+
+
+def test_words_of_a_call_are_encoded_together_and_once_for_all_their_endings():
+    """New words go to the library as one text, and a word with marks behind it takes no place of its own."""
+    from tokenizers import Tokenizer
+
+    own, plain = bpe.ByteBpe(JSON, added=True), Tokenizer.from_file(JSON)
+    texts = [" ".join(f"word{k}x{j}{end}" for k in range(40) for end in ("", ",", ".", "!)")) for j in range(20)]
+    asked, encode = [], own.rest.tokenizer
+
+    class Counting:
+        def encode_batch_fast(self, some, **how):
+            asked.extend(some)
+            return encode.encode_batch_fast(some, **how)
+
+    own.rest.tokenizer = Counting()
+    texts += ["a\tb c\u00a0d e\n\nf  g", "x <|endoftext|> y", "<|endoftext|", "", None, " \n ", "l1\nl2 end,\n'tis", "a\u2003 b \x1c c " + "z" * 70 + ",",
+              "x <|endoftext|> y"]
+    got = [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)]
+    assert got == [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert len(asked) < 60
+    assert not [x for x in own.rest if x.startswith("word") and not x[-1].isalnum()]
