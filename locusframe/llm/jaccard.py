@@ -122,14 +122,17 @@ def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select(*pairs.columns, "na", "nb", F.size(F.array_intersect("ta", "tb")).alias("common"))
 
 
-def _sketches(sets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, n, sketch): how many shingles of a set fall into each of ``SKETCH`` classes of their hash."""
+def _sketches(sets: DataFrame) -> DataFrame:
+    """(node, n, sketch): how many shingles of a set fall into each of ``SKETCH`` classes of their hash.
+
+    Of all sets, those that meet no other included: a sketch is small, and to pick the others would shuffle the sets.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts = [np.bincount(np.array(t, np.int64) & (SKETCH - 1), minlength=SKETCH).astype(np.int32) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(counts, pa.list_(pa.int32()))], ["node", "n", "sketch"])
 
-    return sets.join(nodes, "node", "left_semi").select("node", "tokens", "n").mapInArrow(run, "node long, n long, sketch array<int>")
+    return sets.select("node", "tokens", "n").mapInArrow(run, "node long, n long, sketch array<int>")
 
 
 def _may_have_in_common(a: Column, b: Column) -> Column:
@@ -221,7 +224,7 @@ def links(sets: DataFrame, measured_all: Callable[[], None] = lambda: None) -> D
         "hub", "node").distinct(), "longer-lists")
     steps.drop(postings, hubs)
     exchange.release(sets.sparkSession)
-    sketches = steps.write(_sketches(sets, member.select("node").distinct()), "sketches")
+    sketches = steps.write(_sketches(sets), "sketches")
     left, right = (sketches.select(F.col("node").alias(name), F.col("n").alias(f"n{name}"), F.col("sketch").alias(f"sketch{name}"))
                    for name in ("hub", "node"))
     met = member.where("node <> hub").join(left, "hub").join(right, "node").select(

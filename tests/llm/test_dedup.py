@@ -178,3 +178,12 @@ def test_word_hashes_know_words_only():
 def test_near_copies_are_listed_not_enumerated(shipped):
     leads = [(token, node, 25, place) for node in range(100) for place, token in enumerate(range(6))]
     assert jaccard._boundary(shipped.createDataFrame(leads, "token long, node long, n long, place long")) == 1  # no set has pairs
+
+
+def test_sketches_are_made_without_a_shuffle_of_sets(shipped, monkeypatch):
+    """Sketches come from a scan of the sets alone, and there is one for each set."""
+    monkeypatch.setattr(jaccard, "SKETCH", 4)
+    sets = shipped.createDataFrame([(1, 3, [4, 8, 1]), (2, 2, [3, -1]), (9, 1, [6])], "node long, n long, tokens array<long>")
+    sketches = jaccard._sketches(sets)
+    assert not re.search("Exchange|Join", sketches._jdf.queryExecution().executedPlan().toString())
+    assert {(r.node, r.n, tuple(r.sketch)) for r in sketches.collect()} == {(1, 3, (2, 1, 0, 0)), (2, 2, (0, 0, 0, 2)), (9, 1, (0, 0, 1, 0))}
