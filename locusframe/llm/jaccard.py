@@ -58,7 +58,7 @@ def shingles(text: str | None, size: int = WORDS) -> np.ndarray:
     total = np.zeros(count, np.uint64)
     for k in range(size):
         total += words[k:k + count] * place[k]
-    return np.unique(hashing.mix(total))
+    return hashing.distinct(hashing.mix(total))
 
 
 def least_common(n, percent: int = LEAST_PERCENT):

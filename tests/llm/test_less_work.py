@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from locusframe.llm import secrets
+from locusframe.llm import hashing, secrets
 
 
 def test_signs_leave_out_no_match(shipped):
@@ -20,3 +21,20 @@ def test_signs_leave_out_no_match(shipped):
         for kind, (pattern, _) in secrets.PATTERNS.items():
             assert row[kind] == bool(re.search(pattern, row.text, re.ASCII)), (kind, row.text)
     assert all(any(row[kind] for row in found) for kind in secrets.KINDS)
+
+
+def test_words_read_by_eight_bytes():
+    random = np.random.default_rng(3)
+    words = {bytes(random.choice(list(b"abZ\0\xc3\xa9"), n).astype(np.uint8)) for n in [*range(1, 70)] * 60}
+    data = np.frombuffer(b" ".join(sorted(words)), np.uint8)
+    for lower in (False, True):
+        found, starts, ends = hashing.words(data, lower=lower)
+        kept = [data[a:b].tobytes() for a, b in zip(starts, ends)]
+        assert set(kept) == words
+        assert len(set(found.tolist())) == len({w.lower() if lower else w for w in words})
+        for k in range(0, len(kept), 97):
+            text = kept[k].lower() if lower else kept[k]
+            assert hashing.words(np.frombuffer(b"\t" + text + b"\nx", np.uint8), lower=lower)[0][0] == found[k]
+    for n in (0, 1, 500):
+        keys = random.integers(0, 300, n, dtype=np.uint64)
+        assert np.array_equal(hashing.distinct(keys), np.unique(keys))
