@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from locusframe.llm import hashing
 from locusframe.scratch import materialize, scratch_path
 
 #: Rows of a batch as a power of two; keys of a bucket, about; files that answers are written to.
@@ -130,7 +131,7 @@ class Answers:
         """Sorted distinct keys of all rows of the batch."""
         table = self.of(batch)
         found = [unsqueeze(x) for x in table.column(column).to_pylist() if x] if table is not None else []
-        return np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+        return hashing.distinct(np.concatenate(found)) if found else np.zeros(0, np.uint64)
 
     def values(self, batch: int, column: str) -> np.ndarray:
         table = self.of(batch)
@@ -147,27 +148,50 @@ def write_answers(df: DataFrame, label: str) -> str:
 
 
 class Members:
-    """Sorted keys with a table of their lowest bits, which settles most keys that are not among them."""
+    """Sorted distinct keys, found by two tables instead of a search through all of them.
 
-    BITS = 24
+    One has 8 to 16 places a key by the lowest bits and settles most keys that are not among them; the other says
+    where keys with the same highest bits begin. Both grow with the keys, so that small sets stay in a processor's cache.
+    """
+
+    MOST_BITS = 24
 
     def __init__(self, keys: np.ndarray):
-        self.keys, self.table = keys, np.zeros(1 << self.BITS if len(keys) else 1, bool)
+        self.keys, size = keys, len(keys).bit_length()
+        self.table = np.zeros(1 << min(self.MOST_BITS, size + 3) if len(keys) else 1, bool)
         self.mask = np.uint64(len(self.table) - 1)
         self.table[keys & self.mask] = len(keys) > 0
+        bits = min(self.MOST_BITS, size)
+        self.shift = np.uint64(max(0, int(keys[-1]).bit_length() - bits if len(keys) else 0))
+        counts = np.bincount((keys >> self.shift).view(np.int64), minlength=1 << bits)
+        self.begins = np.zeros(len(counts) + 1, np.int64)
+        np.cumsum(counts, out=self.begins[1:])
 
     def __len__(self) -> int:
         return len(self.keys)
 
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        """Where each key stands among the members; -1 if it is none."""
+        found = np.full(len(keys), -1, np.int64)
+        maybe = self.table.take((keys & self.mask).view(np.int64)).nonzero()[0]
+        wanted = keys[maybe]
+        top = np.minimum(wanted >> self.shift, np.uint64(len(self.begins) - 2)).view(np.int64)
+        at, end = self.begins.take(top), self.begins.take(top + 1)
+        left = (at < end).nonzero()[0]
+        while len(left):
+            here = at[left]
+            same = self.keys.take(here) == wanted[left]
+            found[maybe[left[same]]] = here[same]
+            at[left] += 1
+            left = left[~same & (here + 1 < end[left])]
+        return found
+
 
 def contains(sorted_keys: np.ndarray | Members, keys: np.ndarray) -> np.ndarray:
     if not len(sorted_keys):
         return np.zeros(len(keys), bool)
     if isinstance(sorted_keys, Members):
-        found = sorted_keys.table[keys & sorted_keys.mask]
-        maybe = np.flatnonzero(found)
-        found[maybe] = contains(sorted_keys.keys, keys[maybe])
-        return found
+        return sorted_keys.places(keys) >= 0
     at = np.searchsorted(sorted_keys, keys)
     at[at == len(sorted_keys)] = 0
     return sorted_keys[at] == keys
@@ -190,7 +214,7 @@ def shared_keys(copy: DataFrame, keys_of: KeysOf, bits: int, skip: str | None, l
                     if row in out:
                         continue
                     keys = coarse(keys_of(text), bits)
-                    held.append(keys if within else np.unique(keys))
+                    held.append(keys if within else hashing.distinct(keys))
                     size += len(held[-1])
                     if size >= 4_000_000:
                         yield from blobs(number, held)

@@ -37,10 +37,21 @@ SLICE, SENT = 1 << 20, 4_000_000
 _LAST = np.iinfo(np.int64).max
 
 
+def _cover(count: int) -> np.ndarray:
+    """Positions of the cover among the first ``count``."""
+    whole, rest = divmod(max(count, 0), PERIOD)
+    every = (np.arange(whole + 1)[:, None] * PERIOD + np.array(COVER)).ravel()
+    return every[:len(COVER) * whole + sum(c < rest for c in COVER)]
+
+
+_COVER_OF_MOST = _cover(1 << 16)
+_COVER_OF_MOST.flags.writeable = False
+
+
 def cover_positions(n: int) -> np.ndarray:
     """Sample positions of a text of n bytes from which a sample string fits."""
-    every = (np.arange(0, max(n, 1), PERIOD)[:, None] + np.array(COVER)).ravel()
-    return every[every <= n - SAMPLE_WIDTH]
+    count = n - SAMPLE_WIDTH + 1
+    return _cover(count) if count > 1 << 16 else _COVER_OF_MOST[:np.searchsorted(_COVER_OF_MOST, count)]
 
 
 def _slices(n: int, width: int) -> Iterator[tuple[int, int]]:
@@ -52,6 +63,8 @@ def _slices(n: int, width: int) -> Iterator[tuple[int, int]]:
 def sample_keys(data: np.ndarray) -> np.ndarray:
     """Keys of the sample strings, in order of position."""
     at = cover_positions(len(data))
+    if len(data) <= SLICE:
+        return hashing.runs_at(*hashing.running(hashing.byte_values(data)), SAMPLE_WIDTH, at)
     found = []
     for begin, end in _slices(len(data), SAMPLE_WIDTH):
         own = at[(at >= begin) & (at < end)] - begin
@@ -64,13 +77,20 @@ def tied_windows(data: np.ndarray, ties: np.ndarray | exchange.Members, bits: in
     n = len(data) - WIDTH + 1
     if n <= 0 or not len(ties):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    tied = cover_positions(len(data))[exchange.contains(ties, exchange.coarse(sample_keys(data), bits))]
-    change = np.zeros(len(data) + 1, np.int32)
+    cover, whole = cover_positions(len(data)), len(data) <= SLICE
+    sums, down = hashing.running(hashing.byte_values(data)) if whole else (None, None)
+    samples = hashing.runs_at(sums, down, SAMPLE_WIDTH, cover) if whole else sample_keys(data)
+    tied = cover[exchange.contains(ties, exchange.coarse(samples, bits))]
+    if not len(tied):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    change = np.zeros(len(data) + 1, np.int8)  # fewer than 2 * PERIOD are open at a time
     begin = tied - PERIOD + 1  # positions are distinct, but for those before the text
     change[0] = np.count_nonzero(begin <= 0)
     change[begin[begin > 0]] += 1
     change[tied + 1] -= 1
-    at = np.flatnonzero(np.cumsum(change[:n]) > 0)
+    at = np.flatnonzero(np.cumsum(change[:n], dtype=np.int8) > 0)
+    if whole:
+        return at, hashing.runs_at(sums, down, WIDTH, at)
     keys = []
     for begin, end in _slices(len(data), WIDTH):
         own = at[np.searchsorted(at, begin):np.searchsorted(at, end)] - begin
@@ -99,7 +119,7 @@ def _earlier_keys(copy: DataFrame, ties: str, bits: int, skip: str) -> str:
                 for row, text, doc in zip(*(part.column(k).to_pylist() for k in (1, 2, 3))):
                     if row in out:
                         continue
-                    own = np.unique(tied_windows(hashing.to_bytes(text), tied, bits)[1])
+                    own = hashing.distinct(tied_windows(hashing.to_bytes(text), tied, bits)[1])
                     keys.append(own)
                     owners.append(np.full(len(own), _LAST if doc is None else doc, np.int64))
                     size += len(own)
@@ -185,24 +205,44 @@ def _kept_bytes(copy: DataFrame, columns: list[str], schema: T.StructType, finis
                         inside, first = (np.concatenate(x) for x in zip(*pairs))
                         order = np.argsort(inside)
                         inside, first = inside[order], first[order]
-                results = []
+                inside = exchange.Members(inside)
+
+                def settle(waiting: list[tuple]) -> Iterator:
+                    """Results of rows (bytes, id, positions and keys of tied windows); all keys are looked up at once."""
+                    every = np.concatenate([keys for *_, keys in waiting])
+                    starts = exchange.contains(before, every)
+                    if len(inside):
+                        owners = np.repeat(np.array([doc for _, doc, _, _ in waiting], np.int64), [len(keys) for *_, keys in waiting])
+                        own = inside.places(every)
+                        starts |= (own >= 0) & (first[own] < owners)
+                    end = 0
+                    for data, _, at, keys in waiting:
+                        n, begin, end = len(data), end, end + len(keys)
+                        gone = at[starts[begin:end]]
+                        if not len(gone):
+                            yield finish(data.tobytes(), n, 0, 0)
+                            continue
+                        change = np.zeros(n + 1, np.int32)
+                        change[gone] += 1
+                        change[gone + WIDTH] -= 1
+                        removed = np.cumsum(change[:n]) > 0
+                        spans = int(np.count_nonzero(removed[1:] & ~removed[:-1])) + int(removed[0])
+                        yield finish(data[~removed].tobytes(), n, int(removed.sum()), spans)
+
+                results, waiting, size = [], [], 0
                 for row, text, doc in zip(*(part.column(k).to_pylist() for k in (1, 2, 3))):
                     data = hashing.to_bytes(text)
-                    n = len(data)
-                    if row in out and n >= WIDTH:
-                        results.append(finish(b"", n, n, 1))
+                    if row in out and len(data) >= WIDTH:
+                        results.extend(settle(waiting) if waiting else ())
+                        results.append(finish(b"", len(data), len(data), 1))
+                        waiting, size = [], 0
                         continue
-                    at, keys = tied_windows(data, tied, bits)
-                    gone = exchange.contains(before, keys)
-                    if len(inside) and len(keys):
-                        k = np.minimum(np.searchsorted(inside, keys), len(inside) - 1)
-                        gone |= (inside[k] == keys) & (first[k] < (_LAST if doc is None else doc))
-                    change = np.zeros(n + 1, np.int32)
-                    change[at[gone]] += 1
-                    change[at[gone] + WIDTH] -= 1
-                    removed = np.cumsum(change[:n]) > 0
-                    spans = int(np.count_nonzero(np.diff(removed.astype(np.int8), prepend=0) == 1))
-                    results.append(finish(data[~removed].tobytes(), n, int(removed.sum()), spans))
+                    waiting.append((data, _LAST if doc is None else doc, *tied_windows(data, tied, bits)))
+                    size += len(data)
+                    if size >= SLICE:
+                        results.extend(settle(waiting))
+                        waiting, size = [], 0
+                results.extend(settle(waiting) if waiting else ())
                 made = [pa.array(x, f.dataType.simpleString().replace("bigint", "int64")) for x, f in zip(
                     zip(*results), schema.fields[len(columns):])]
                 yield pa.RecordBatch.from_arrays(

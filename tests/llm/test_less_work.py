@@ -7,7 +7,7 @@ import re
 import numpy as np
 from pyspark.sql import functions as F
 
-from locusframe.llm import hashing, secrets
+from locusframe.llm import exchange, hashing, secrets, suffixes
 
 
 def test_signs_leave_out_no_match(shipped):
@@ -38,3 +38,22 @@ def test_words_read_by_eight_bytes():
     for n in (0, 1, 500):
         keys = random.integers(0, 300, n, dtype=np.uint64)
         assert np.array_equal(hashing.distinct(keys), np.unique(keys))
+
+
+def test_members_are_found_by_tables():
+    random = np.random.default_rng(4)
+    for most in (1 << 63, 1 << 40, 300, 1):
+        for n in (0, 1, 7, 5000):
+            keys = np.unique(random.integers(0, most, n, dtype=np.uint64))
+            asked = np.r_[keys, random.integers(0, 1 << 63, 1000, dtype=np.uint64), keys + np.uint64(1), np.uint64(2**64 - 1)]
+            places = exchange.Members(keys).places(asked)
+            assert np.array_equal(places >= 0, np.isin(asked, keys))
+            assert np.array_equal(keys[places[places >= 0]], asked[places >= 0])
+    clustered = np.arange(1000, dtype=np.uint64) + np.uint64(1 << 60)  # all share their highest bits
+    assert np.array_equal(exchange.Members(clustered).places(clustered[::-1]), np.arange(1000)[::-1])
+
+
+def test_positions_of_the_cover():
+    for n in (0, 1, 37, 38, 39, 50, 51, 200, (1 << 16) + 36, (1 << 16) + 37, (1 << 16) + 38, 300_000):
+        want = [p for p in range(max(0, n - suffixes.SAMPLE_WIDTH + 1)) if p % suffixes.PERIOD in suffixes.COVER]
+        assert suffixes.cover_positions(n).tolist() == want
